@@ -79,9 +79,8 @@ def pairs(members: DataFrame, group: list[str], member: str, block: int = BLOCK)
     )
 
 
-def linked_account_pairs(identities: DataFrame) -> DataFrame:
+def linked_account_pairs(shared: DataFrame) -> DataFrame:
     """Distinct ``(a, b, via)`` with a < b: accounts of different owners sharing a value."""
-    shared = shared_identity(identities)
     return (
         pairs(shared, ["via", "value"], "account_id")
         .filter("customer_id_a <> customer_id_b")
@@ -90,9 +89,9 @@ def linked_account_pairs(identities: DataFrame) -> DataFrame:
     )
 
 
-def acc_link(identities: DataFrame) -> DataFrame:
+def acc_link(shared: DataFrame) -> DataFrame:
     """The symmetric link table: both directions of every linked pair."""
-    once = linked_account_pairs(identities)
+    once = linked_account_pairs(shared)
     both = F.explode(
         F.array(
             F.struct(F.col("a"), F.col("b")),
@@ -102,14 +101,13 @@ def acc_link(identities: DataFrame) -> DataFrame:
     return once.select(both.alias("_p"), "via").select("_p.a", "_p.b", "via")
 
 
-def link_counts(identities: DataFrame) -> DataFrame:
+def link_counts(shared: DataFrame) -> DataFrame:
     """Number of linked account pairs per kind of identity, without listing the pairs.
 
     Accounts that use the same shared values of a kind form a class. All accounts of a class,
     and of two classes with a value in common, are linked, so pairs are counted from class
     sizes; only classes are paired. Pairs with one owner are taken off the same way.
     """
-    shared = shared_identity(identities)
     classes = (
         shared.groupBy("via", "account_id", "customer_id")
         .agg(

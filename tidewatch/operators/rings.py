@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import decay_pct, path_key
-from tidewatch.operators.links import shared_identity
 
 MIN_RING_HOPS = 3
 MIN_CHAIN_HOPS = 4
@@ -100,49 +99,64 @@ def maximal_rings(candidates: DataFrame, revisit: bool = False) -> DataFrame:
 def member_links(rings: DataFrame, shared: DataFrame) -> DataFrame:
     """``(path_key, a, b, via, value)`` for members of different owners sharing a value, a < b.
 
-    Pairs are formed only within one ring and value, so there are at most as many members to
-    pair as a path has accounts.
+    Members are brought together only within one ring and value, so the array that holds them
+    is never longer than a path.
     """
     members = rings.select("path_key", F.explode(F.array_distinct("path")).alias("account_id"))
-    holding = members.join(shared, "account_id")
-    a = holding.select(
-        "path_key", "via", "value", F.col("account_id").alias("a"), F.col("customer_id").alias("_oa")
+    together = (
+        members.join(shared, "account_id")
+        .groupBy("path_key", "via", "value")
+        .agg(F.collect_set(F.struct("account_id", "customer_id")).alias("_held_by"))
+        .filter(F.size("_held_by") > 1)
     )
-    b = holding.select(
-        "path_key", "via", "value", F.col("account_id").alias("b"), F.col("customer_id").alias("_ob")
+    linked = F.flatten(
+        F.transform(
+            "_held_by",
+            lambda x: F.transform(
+                F.filter(
+                    "_held_by",
+                    lambda y: (x["account_id"] < y["account_id"])
+                    & (x["customer_id"] != y["customer_id"]),
+                ),
+                lambda y: F.struct(x["account_id"].alias("a"), y["account_id"].alias("b")),
+            ),
+        )
     )
-    return (
-        a.join(b, ["path_key", "via", "value"])
-        .filter("a < b and _oa <> _ob")
-        .select("path_key", "a", "b", "via", "value")
+    return together.select("path_key", "via", "value", F.explode(linked).alias("_p")).select(
+        "path_key", "_p.a", "_p.b", "via", "value"
     )
 
 
 def ring_shared_pairs(rings: DataFrame, shared: DataFrame) -> DataFrame:
-    """Per ring: linked member pairs, counted in both directions and per kind, and the kinds."""
-    found = (
+    """Per ring with any: linked member pairs, counted in both directions and per kind, and the
+    kinds."""
+    return (
         member_links(rings, shared)
         .select("path_key", "a", "b", "via")
         .distinct()
         .groupBy("path_key")
         .agg(
-            (F.count(F.lit(1)) * 2).alias("_pairs"),
-            F.array_sort(F.collect_set("via")).alias("_via"),
+            (F.count(F.lit(1)) * 2).alias("shared_pairs"),
+            F.array_sort(F.collect_set("via")).alias("shared_via"),
         )
     )
-    return rings.select("path_key").join(found, "path_key", "left").select(
-        "path_key",
-        F.coalesce("_pairs", F.lit(0)).cast("bigint").alias("shared_pairs"),
-        F.coalesce("_via", F.array().cast("array<string>")).alias("shared_via"),
+
+
+def with_shared_pairs(rings: DataFrame, shared: DataFrame) -> DataFrame:
+    """All rings; those without a linked pair get 0 and no kinds."""
+    none = F.array().cast("array<string>")
+    return (
+        rings.join(ring_shared_pairs(rings, shared), "path_key", "left")
+        .withColumn("shared_pairs", F.coalesce("shared_pairs", F.lit(0)).cast("bigint"))
+        .withColumn("shared_via", F.coalesce("shared_via", none))
     )
 
 
-def round_trip(walks: DataFrame, identities: DataFrame, revisit: bool = False) -> DataFrame:
+def round_trip(candidates: DataFrame, shared: DataFrame, revisit: bool = False) -> DataFrame:
     """Maximal rings with their tier: high if an identity is shared, else medium."""
-    shared = shared_identity(identities)
-    rings = maximal_rings(round_trip_candidates(walks, shared), revisit)
+    rings = maximal_rings(candidates, revisit)
     high = (F.col("closed_by") != "same_account") | (F.col("shared_pairs") > 0)
-    return rings.join(ring_shared_pairs(rings, shared), "path_key").select(
+    return with_shared_pairs(rings, shared).select(
         "path_key",
         "origin",
         F.col("cur").alias("closed_on"),

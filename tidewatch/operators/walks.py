@@ -87,65 +87,56 @@ def successors(edge: DataFrame, rule: HopRule = HopRule()) -> DataFrame:
     )
 
 
-def _overlap_join(front: DataFrame, back: DataFrame, rule: HopRule) -> DataFrame:
-    """Paths whose first part is in ``front`` and whose rest, from the last transfer of that
-    part on, is in ``back``."""
+def _longer(walks: DataFrame, reach: int, top: int, rule: HopRule) -> DataFrame:
+    """All paths of ``reach`` + 1 to ``top`` hops, given all paths of 2 to ``reach`` hops.
+
+    A path of n hops is taken apart in one way only: a front half and a back half that share
+    one transfer, the front as long as the back or one hop longer.
+    """
+    whole = walks.filter(F.col("hops") >= (reach + 2) // 2)
     if not rule.revisit:
         # a closed path ends there, so it can be neither continued nor the tail of another
-        front = front.filter("cur <> origin")
-        back = back.filter("cur <> origin")
-    f = front.select(*[F.col(c).alias(f"f_{c}") for c in front.columns]).withColumn(
-        "_shared", F.element_at("f_txn_ids", -1)
+        whole = whole.filter("cur <> origin")
+    front = whole.select(
+        F.element_at("txn_ids", -1).alias("_shared"),
+        *[F.col(c).alias(f"f_{c}") for c in ("origin", "first_amount", "hops", "path", "txn_ids")],
+    )
+    back = whole.select(
+        F.element_at("txn_ids", 1).alias("_shared"),
+        *[
+            F.col(c).alias(f"b_{c}")
+            for c in ("cur", "last_time", "last_amount", "hops", "path", "txn_ids")
+        ],
     )
-    b = back.select(*[F.col(c).alias(f"b_{c}") for c in back.columns]).withColumn(
-        "_shared", F.element_at("b_txn_ids", 1)
+    joined = front.join(back, "_shared").filter(
+        f"f_hops - b_hops in (0, 1) and f_hops + b_hops - 1 between {reach + 1} and {top}"
     )
-    # f_path ends with the two accounts of the shared transfer, b_path starts with them
-    between = F.slice("b_path", F.lit(3), F.col("b_hops") - 2)
-    joined = f.join(b, "_shared")
     if not rule.revisit:
+        # f_path ends with the two accounts of the shared transfer, b_path starts with them
         joined = joined.filter(
-            ~F.arrays_overlap("f_path", between)
-            & (
-                (F.col("b_cur") == F.col("f_origin"))
-                | ~F.array_contains("f_path", F.col("b_cur"))
-            )
+            "not arrays_overlap(f_path, slice(b_path, 3, b_hops - 2))"
+            " and (b_cur = f_origin or not array_contains(f_path, b_cur))"
         )
-    return joined.select(
-        F.col("f_origin").alias("origin"),
-        F.col("b_cur").alias("cur"),
-        F.col("b_last_time").alias("last_time"),
-        F.col("b_last_amount").alias("last_amount"),
-        F.col("f_first_amount").alias("first_amount"),
-        (F.col("f_hops") + F.col("b_hops") - 1).alias("hops"),
-        F.concat("f_path", F.slice("b_path", F.lit(3), F.col("b_hops") - 1)).alias("path"),
-        F.concat("f_txn_ids", F.slice("b_txn_ids", F.lit(2), F.col("b_hops") - 1)).alias("txn_ids"),
+    return joined.selectExpr(
+        "f_origin as origin",
+        "b_cur as cur",
+        "b_last_time as last_time",
+        "b_last_amount as last_amount",
+        "f_first_amount as first_amount",
+        "f_hops + b_hops - 1 as hops",
+        "concat(f_path, slice(b_path, 3, b_hops - 1)) as path",
+        "concat(f_txn_ids, slice(b_txn_ids, 2, b_hops - 1)) as txn_ids",
     )
 
 
 def long_walks(edge: DataFrame, rule: HopRule = HopRule()) -> DataFrame:
     """All paths of two or more hops, read back from one staged table per round."""
-    pairs = stage(successors(edge, rule), "walk-2")
-    by_length = {2: pairs}
-    parts = [pairs]
+    walks = stage(successors(edge, rule), "walk-2")
     reach = 2
     while reach < rule.max_hops:
         top = min(2 * reach - 1, rule.max_hops)
-        new = []
-        for n in range(reach + 1, top + 1):
-            front = (n + 2) // 2
-            new.append(_overlap_join(by_length[front], by_length[n + 1 - front], rule))
-        grown = new[0]
-        for part in new[1:]:
-            grown = grown.unionByName(part)
-        grown = stage(grown, f"walk-{top}", partition_by=("hops",))
-        for n in range(reach + 1, top + 1):
-            by_length[n] = grown.filter(F.col("hops") == n)
-        parts.append(grown)
+        walks = walks.unionByName(stage(_longer(walks, reach, top, rule), f"walk-{top}"))
         reach = top
-    walks = parts[0]
-    for part in parts[1:]:
-        walks = walks.unionByName(part)
     return walks.withColumn("path_key", path_key(F.col("txn_ids"))).select(*WALK_COLUMNS)
 
 

@@ -41,14 +41,10 @@ class Run:
     def edges(self) -> DataFrame:
         return stage(self.lazy_edges(), "edges")
 
-    @cached_property
-    def identities(self) -> DataFrame:
-        found = links.identity(self.table("account"), self.table("customer"), self.table("session"))
-        return stage(found, "identities")
-
     @cached_property
     def shared(self) -> DataFrame:
-        return links.shared_identity(self.identities)
+        found = links.identity(self.table("account"), self.table("customer"), self.table("session"))
+        return stage(links.shared_identity(found), "shared-identity")
 
     @cached_property
     def long_walks(self) -> DataFrame:
@@ -56,8 +52,12 @@ class Run:
 
     # --- detections ------------------------------------------------------------------
 
+    @cached_property
+    def candidates(self) -> DataFrame:
+        return stage(rings.round_trip_candidates(self.long_walks, self.shared), "candidates")
+
     def lazy_round_trip(self) -> DataFrame:
-        return rings.round_trip(self.long_walks, self.identities)
+        return rings.round_trip(self.candidates, self.shared)
 
     @cached_property
     def round_trip(self) -> DataFrame:
