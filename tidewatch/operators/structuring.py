@@ -8,9 +8,11 @@ from pyspark.sql.window import Window
 
 from tidewatch.functions.columns import day_cell, days, decimal
 from tidewatch.operators.evidence import inline_ids
+from tidewatch.staging import stage
 
 REPORTING_THRESHOLD = "10000"
 CARRY_DAYS = 30
+MEASURES = ("n", "amount", "branches")
 
 
 def band_deposits(transaction: DataFrame, low: str = "7000", high: str = "9999.99") -> DataFrame:
@@ -108,49 +110,58 @@ def _branch_presence(deposits: DataFrame, window_days: int) -> DataFrame:
             ).alias("_to"),
         )
     )
-    return spans.select("account_id", F.col("_from").alias("at"), F.lit(1).alias("branches")).unionByName(
-        spans.select("account_id", F.col("_to").alias("at"), F.lit(-1).alias("branches"))
+    moves = F.array(
+        F.struct(F.col("_from").alias("at"), F.lit(1).alias("branches")),
+        F.struct(F.col("_to").alias("at"), F.lit(-1).alias("branches")),
     )
+    return spans.select("account_id", F.explode(moves).alias("m")).select("account_id", "m.*")
 
 
-def window_totals(deposits: DataFrame, window_days: int = 10) -> DataFrame:
-    """Count, sum and number of branches of the window that ends at each deposit time.
-
-    Every deposit enters the window at its time and leaves it ``window_days`` later, so all
-    three numbers are running sums over entries and exits. The sums run within slices of the
-    calendar, and each slice starts from the total of the slices before it; a busy account is
-    spread over its slices instead of being one long group.
-    """
-    entries = deposits.select(
-        "account_id", F.col("txn_time").alias("at"), F.lit(1).alias("n"), "amount",
-        F.lit(0).alias("branches"), F.lit(1).alias("arrivals"),
+def window_steps(deposits: DataFrame, window_days: int = 10) -> DataFrame:
+    """How count, sum and number of branches in an account's window change, per moment: every
+    deposit enters the window at its time and leaves it ``window_days`` later."""
+    moves = F.array(
+        F.struct(
+            F.col("txn_time").alias("at"), F.lit(1).alias("n"), F.col("amount"),
+            F.lit(1).alias("arrivals"),
+        ),
+        F.struct(
+            (F.col("txn_time") + days(window_days)).alias("at"), F.lit(-1).alias("n"),
+            (-F.col("amount")).alias("amount"), F.lit(0).alias("arrivals"),
+        ),
     )
-    exits = deposits.select(
-        "account_id", (F.col("txn_time") + days(window_days)).alias("at"), F.lit(-1).alias("n"),
-        (-F.col("amount")).alias("amount"), F.lit(0).alias("branches"), F.lit(0).alias("arrivals"),
+    moving = deposits.select("account_id", F.explode(moves).alias("m")).select(
+        "account_id", "m.at", "m.n", "m.amount", F.lit(0).alias("branches"), "m.arrivals"
     )
     presence = _branch_presence(deposits, window_days).select(
         "account_id", "at", F.lit(0).alias("n"), F.lit(0).cast("decimal(18,2)").alias("amount"),
         "branches", F.lit(0).alias("arrivals"),
     )
-    measures = ["n", "amount", "branches"]
-    steps = (
-        entries.unionByName(exits)
-        .unionByName(presence)
+    return (
+        moving.unionByName(presence)
         .groupBy("account_id", "at")
-        .agg(*[F.sum(c).alias(c) for c in [*measures, "arrivals"]])
+        .agg(*[F.sum(c).alias(c) for c in [*MEASURES, "arrivals"]])
         .withColumn("_slice", day_cell(F.col("at"), CARRY_DAYS))
     )
+
+
+def window_totals(steps: DataFrame) -> DataFrame:
+    """Count, sum and number of branches of the window that ends at each deposit time.
+
+    All three are running sums over the steps. The sums run within slices of the calendar, and
+    each slice starts from the total of the slices before it; a busy account is spread over its
+    slices instead of being one long group.
+    """
     earlier = (
         Window.partitionBy("account_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
         steps.groupBy("account_id", "_slice")
-        .agg(*[F.sum(c).alias(c) for c in measures])
+        .agg(*[F.sum(c).alias(c) for c in MEASURES])
         .select(
             "account_id",
             "_slice",
-            *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in measures],
+            *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in MEASURES],
         )
     )
     so_far = (
@@ -161,7 +172,7 @@ def window_totals(deposits: DataFrame, window_days: int = 10) -> DataFrame:
     return (
         steps.select(
             "account_id", "_slice", "at", "arrivals",
-            *[F.sum(c).over(so_far).alias(f"in_{c}") for c in measures],
+            *[F.sum(c).over(so_far).alias(f"in_{c}") for c in MEASURES],
         )
         .filter("arrivals > 0")
         .join(carried, ["account_id", "_slice"])
@@ -175,11 +186,9 @@ def window_totals(deposits: DataFrame, window_days: int = 10) -> DataFrame:
     )
 
 
-def densest_windows(
-    deposits: DataFrame, window_days: int = 10, min_deposits: int = 5, min_branches: int = 2
-) -> DataFrame:
+def densest_windows(totals: DataFrame, min_deposits: int = 5, min_branches: int = 2) -> DataFrame:
     """Per account the window with most deposits, then the largest sum, then the earliest end."""
-    windows = window_totals(deposits, window_days).filter(
+    windows = totals.filter(
         (F.col("n_deposits") >= min_deposits) & (F.col("n_branches") >= min_branches)
     )
     rank = F.struct(-F.col("n_deposits"), -F.col("total_amount"), F.col("window_end"))
@@ -190,8 +199,9 @@ def window_deposits(
     transaction: DataFrame, window_days: int = 10, min_deposits: int = 5, min_branches: int = 2
 ) -> DataFrame:
     """The deposits inside each account's densest window."""
-    deposits = branch_deposits(transaction)
-    windows = densest_windows(deposits, window_days, min_deposits, min_branches)
+    deposits = stage(branch_deposits(transaction), "branch-deposits")
+    steps = stage(window_steps(deposits, window_days), "window-steps")
+    windows = densest_windows(window_totals(steps), min_deposits, min_branches)
     return (
         deposits.join(windows, "account_id")
         .filter(F.col("txn_time") <= F.col("window_end"))

@@ -154,7 +154,8 @@ WITH = {
     "found": """
     select origin as account_id, ids[1] as transaction_id, 'round_trip' as alert_type,
            case when tier = 'high' then 90 else 60 end as fraud_score, tier, closed_by, hops,
-           decay_pct, null as device_id, null as n_deposits, null as total_amount, path_key as k
+           decay_pct, cast(null as varchar) as device_id, cast(null as bigint) as n_deposits,
+           cast(null as decimal(38, 2)) as total_amount, path_key as k
     from tiered
     union all
     select origin, ids[1], 'layering_chain', 60, 'medium', null, hops, decay_pct, null, null, null,
@@ -222,7 +223,8 @@ WITH = {
     select 'structuring (detector)', count(*) from daily d
     where d.account_id not in (select account_id from structuring_label where account_id is not null)""",
     "bench": """
-    select pattern_label, chains, found_full, found_partial, missed, tiers, null as false_positives
+    select pattern_label, chains, found_full, found_partial, missed, tiers,
+           cast(null as bigint) as false_positives
     from by_pattern
     union all
     select pattern_label, null, null, null, null, null, false_positives from fp""",

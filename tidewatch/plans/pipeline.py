@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.operators import links, mule, rings, structuring, walks
 from tidewatch.plans import alerts, evaluate
-from tidewatch.sources.sample import domain_table
+from tidewatch.sources.sample import SampleTables
 from tidewatch.staging import stage
 
 
@@ -24,7 +24,7 @@ class Run:
 
     @classmethod
     def over_sample(cls, spark: SparkSession, sf_dir: str) -> "Run":
-        return cls(lambda name: domain_table(spark, sf_dir, name))
+        return cls(SampleTables(spark, sf_dir))
 
     def table(self, name: str) -> DataFrame:
         """A domain table: customer, account, device, ip_address, session, transaction, ..."""

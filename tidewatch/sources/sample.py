@@ -30,7 +30,9 @@ select 'CUS-' || cast(c.c_custkey as varchar(20)) as customer_id,
                 then 'home' || cast(c.c_custkey - c.c_custkey % 46 as varchar(20)) || '@mail.example'
             else 'user' || cast(c.c_custkey as varchar(20)) || '@mail.example' end as email,
        case when c.c_custkey in (5, 12, 75) then ' '
-            when c.c_custkey % 70 = 4 then null
+            when c.c_custkey % 70 = 6 then null
+            when c.c_custkey % 38 in (0, 4)
+                then '04-' || cast(c.c_custkey - c.c_custkey % 38 as varchar(20))
             when c.c_custkey % 90 = 8
                 then '04' || cast(c.c_custkey % (@users - 10) as varchar(20)) || ' '
             else '04' || cast(c.c_custkey % (@users - 10) as varchar(20)) end as phone,
@@ -223,11 +225,22 @@ VIEWS = {
 }
 
 
-def domain_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One domain table over the sample Parquet files in ``sf_dir``."""
-    text = VIEWS[name]
-    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES if f"{{{t}}}" in text}
-    table = spark.sql(text, **used)
-    if name == "customer":
-        table = table.withColumn("kyc_payload", F.parse_json("kyc_json")).drop("kyc_json")
-    return table
+class SampleTables:
+    """Domain tables over the sample Parquet files in one folder; each file is opened once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._base: dict[str, DataFrame] = {}
+
+    def _base_table(self, name: str) -> DataFrame:
+        if name not in self._base:
+            self._base[name] = self._spark.read.parquet(f"{self._sf_dir}/{name}.parquet")
+        return self._base[name]
+
+    def __call__(self, name: str) -> DataFrame:
+        text = VIEWS[name]
+        used = {t: self._base_table(t) for t in BASE_TABLES if f"{{{t}}}" in text}
+        table = self._spark.sql(text, **used)
+        if name == "customer":
+            table = table.withColumn("kyc_payload", F.parse_json("kyc_json")).drop("kyc_json")
+        return table
