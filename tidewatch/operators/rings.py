@@ -103,7 +103,7 @@ def member_links(rings: DataFrame, shared: DataFrame) -> DataFrame:
     is never longer than a path.
     """
     members = rings.select("path_key", F.explode(F.array_distinct("path")).alias("account_id"))
-    together = (
+    held = (
         members.join(shared, "account_id")
         .groupBy("path_key", "via", "value")
         .agg(F.collect_set(F.struct("account_id", "customer_id")).alias("_held_by"))
@@ -122,7 +122,7 @@ def member_links(rings: DataFrame, shared: DataFrame) -> DataFrame:
             ),
         )
     )
-    return together.select("path_key", "via", "value", F.explode(linked).alias("_p")).select(
+    return held.select("path_key", "via", "value", F.explode(linked).alias("_p")).select(
         "path_key", "_p.a", "_p.b", "via", "value"
     )
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidewatch.operators import rings
 from tidewatch.operators.links import shared_identity
 from tidewatch.operators.walks import HopRule, long_walks
-from tidewatch.staging import stage
+from tidewatch.staging import stage, together
 
 GRAPH_RULE = HopRule(revisit=True)
 STRONG_CONTACTS = ("phone", "email")
@@ -62,6 +62,7 @@ class Graph:
     @cached_property
     def closing(self) -> DataFrame:
         """Paths that end on their origin or on an account that shares an identity with it."""
+        together(lambda: self.paths, lambda: self.shared)
         return stage(rings.round_trip_candidates(self.paths, self.shared), "graph-closing")
 
     @cached_property

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewatch.operators import links, mule, rings, structuring, walks
 from tidewatch.plans import alerts, evaluate
 from tidewatch.sources.sample import SampleTables
-from tidewatch.staging import stage
+from tidewatch.staging import stage, together
 
 
 class Run:
@@ -54,6 +54,7 @@ class Run:
 
     @cached_property
     def candidates(self) -> DataFrame:
+        together(lambda: self.long_walks, lambda: self.shared)
         return stage(rings.round_trip_candidates(self.long_walks, self.shared), "candidates")
 
     def lazy_round_trip(self) -> DataFrame:
@@ -100,12 +101,20 @@ class Run:
 
     # --- alerts and evaluation -------------------------------------------------------
 
+    def detect(self) -> None:
+        """Stage what the detectors find; the money, device and cash sides are independent."""
+        together(
+            lambda: self.layering, lambda: self.mule_members, lambda: self.flagged_deposits
+        )
+
     @cached_property
     def alerts(self) -> DataFrame:
+        self.detect()
         return alerts.fraud_alert(self.round_trip, self.layering, self.mule, self.structuring)
 
     @cached_property
     def benchmark(self) -> DataFrame:
+        self.detect()
         return evaluate.benchmark(
             self.table("ground_truth"),
             self.table("transaction"),

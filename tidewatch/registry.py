@@ -150,6 +150,7 @@ def structuring_summary(run: Run) -> DataFrame:
 
 
 def detection_counts(run: Run) -> DataFrame:
+    run.detect()
     found = {
         "round_trip": run.round_trip, "layering": run.layering, "mule": run.mule,
         "structuring": run.structuring,
@@ -197,6 +198,7 @@ def best_detection(run: Run) -> DataFrame:
 
 
 def _evaluation_inputs(run: Run):
+    run.detect()
     return (
         run.table("ground_truth"), run.table("transaction"), run.round_trip, run.layering,
         run.mule_found, run.structuring,

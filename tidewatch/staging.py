@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -44,6 +47,14 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     return spark.read.schema(df.schema).parquet(folder).select(*df.columns)
 
 
+def together(*steps: Callable[[], object]) -> None:
+    """Run independent steps at the same time, so that one step's last tasks and its planning
+    do not leave the cluster idle."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        for done in [pool.submit(inheritable_thread_target(step)) for step in steps]:
+            done.result()
+
+
 def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Add ``name`` = 1, 2, 3 ... in the given total order.
 
