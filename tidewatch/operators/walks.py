@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import path_key
 from tidewatch.operators.intervals import follow_on_pairs
-from tidewatch.staging import stage
+from tidewatch.staging import read_stage, write_stage
 
 WALK_COLUMNS = (
     "origin", "cur", "last_time", "last_amount", "first_amount", "hops", "path", "txn_ids",
@@ -130,12 +130,17 @@ def _longer(walks: DataFrame, reach: int, top: int, rule: HopRule) -> DataFrame:
 
 
 def long_walks(edge: DataFrame, rule: HopRule = HopRule()) -> DataFrame:
-    """All paths of two or more hops, read back from one staged table per round."""
-    walks = stage(successors(edge, rule), "walk-2")
+    """All paths of two or more hops, each round staged in a folder of its own. A file holds
+    few different lengths, so a filter on ``hops`` skips the files of shorter paths."""
+    spark = edge.sparkSession
+    pairs = successors(edge, rule)
+    folders = [write_stage(pairs, "walk-2")]
+    walks = read_stage(spark, pairs.schema, *folders)
     reach = 2
     while reach < rule.max_hops:
         top = min(2 * reach - 1, rule.max_hops)
-        walks = walks.unionByName(stage(_longer(walks, reach, top, rule), f"walk-{top}"))
+        folders.append(write_stage(_longer(walks, reach, top, rule), f"walk-{top}"))
+        walks = read_stage(spark, pairs.schema, *folders)
         reach = top
     return walks.withColumn("path_key", path_key(F.col("txn_ids"))).select(*WALK_COLUMNS)
 

@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 
@@ -36,22 +37,29 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def write_stage(df: DataFrame, name: str) -> str:
+    """Write ``df`` to a new folder and return the folder."""
+    folder = new_folder(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(folder)
+    return folder
+
+
+def read_stage(spark: SparkSession, schema: StructType, *folders: str) -> DataFrame:
+    """The staged rows of one or more folders as a single scan."""
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads it back."""
-    spark = df.sparkSession
-    folder = new_folder(spark, name)
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder).select(*df.columns)
+    return read_stage(df.sparkSession, df.schema, write_stage(df, name))
 
 
 def together(*steps: Callable[[], object]) -> None:
     """Run independent steps at the same time, so that one step's last tasks and its planning
     do not leave the cluster idle."""
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        for done in [pool.submit(inheritable_thread_target(step)) for step in steps]:
+        for done in [pool.submit(inherit(step)) for step in steps]:
             done.result()
 
 
