@@ -53,7 +53,15 @@ def document(*fields: Column) -> Column:
 
 
 def iso_second(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
+    """Whole seconds as text. The cast, unlike ``date_format``, never consults a time zone."""
+    text = moment.cast("string")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
+
+
+def microsecond_text(moment: Column) -> Column:
+    text = moment.cast("string")
+    filled = F.concat(F.substring(text, 1, 19), F.lit("."), F.substring(text, 21, 6))
+    return F.rpad(filled, 26, "0")
 
 
 def padded_id(prefix: str, number: Column, width: int) -> Column:

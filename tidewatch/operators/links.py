@@ -106,7 +106,9 @@ def link_counts(shared: DataFrame) -> DataFrame:
 
     Accounts that use the same shared values of a kind form a class. All accounts of a class,
     and of two classes with a value in common, are linked, so pairs are counted from class
-    sizes; only classes are paired. Pairs with one owner are taken off the same way.
+    sizes; only classes are paired. Pairs with one owner are taken off the same way. A class is
+    named by the number of its values and two 64-bit hashes over them, so that no account's
+    values are ever collected.
     """
     classes = (
         shared.groupBy("via", "account_id", "customer_id")

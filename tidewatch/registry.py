@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.functions.columns import microsecond_text
 from tidewatch.operators import links, mule, nearest, rings, structuring, walks
 from tidewatch.plans import alerts, evaluate, governance, graph_tables, patterns, quality, serving
 from tidewatch.plans.pipeline import Run
@@ -31,7 +32,7 @@ def flat(df: DataFrame) -> DataFrame:
         elif isinstance(kind, T.DateType):
             col = col.cast("string")
         elif isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
-            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            col = microsecond_text(col)
         elif isinstance(kind, T.ArrayType):
             col = F.array_join(col.cast("array<string>"), ",")
         return col.alias(field.name)
