@@ -1,6 +1,9 @@
 """Every query over the small sample tables against its SQL. One run is shared, as its staged
 tables are what a real run shares between its steps."""
 
+import contextlib
+import io
+
 import pytest
 from check import connect, rows_of
 
@@ -28,7 +31,16 @@ def graph(run):
     return patterns.Graph(graph_tables(run.table))
 
 
+def plan_of(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()
+
+
 def agree(df, con, name):
+    plan = plan_of(df)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
     result = con.execute(SQL[name])
     want = rows_of([d[0] for d in result.description], result.fetchall())
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == want
