@@ -8,8 +8,7 @@ merges what the parts sent and returns one bit for each key to the part that sen
 a few bytes for each key, no block depends on how often a key occurs, and a hot key reaches
 its block once for each part.
 
-Memory: a part holds the hashes of one split (``spark.sql.files.maxPartitionBytes``), a block
-about ``BLOCK`` keys.
+Memory: a part holds the hashes of a split of about ``PART_BYTES`` of files, a block about ``BLOCK`` keys.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.staging import new_folder, stage
@@ -27,6 +26,8 @@ from tidewatch.staging import new_folder, stage
 #: Keys that a block receives, about.
 BLOCK = 1 << 20
 LEAST_BLOCKS = 64
+#: Larger splits are cut into several parts.
+PART_BYTES = 8 << 20
 #: A document without an id comes after all others.
 NO_ID = np.iinfo(np.int64).max
 
@@ -39,9 +40,10 @@ def deal(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"dealt_{uuid.uuid4().hex}"
+    cuts = -(-_split_bytes(spark) // PART_BYTES)
     (
         docs.select(
-            F.spark_partition_id().alias("part"),
+            (F.spark_partition_id() * cuts + F.pmod(F.xxhash64("doc_id"), F.lit(cuts))).cast("int").alias("part"),
             F.col("doc_id").cast("bigint").alias("doc_id"),
             F.col("text").cast("string").alias("text"),
         )
@@ -53,6 +55,12 @@ def deal(docs: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
+def _split_bytes(spark: SparkSession) -> int:
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().rstrip("b")
+    unit = {"k": 10, "m": 20, "g": 30}.get(size[-1:], 0)
+    return int(size.rstrip("kmg")) << unit
+
+
 def text_bytes(parts: DataFrame) -> int:
     return parts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
 

@@ -30,7 +30,8 @@ from tidewatch.llm.parts import (
 )
 
 ROWS = 2
-CELLS = 4
+#: To 5, as the number of cells is a power of two.
+CELLS = 2.5
 _U = np.uint64
 #: Bytes of text that hold a word, about; only sets the width of the sketch.
 _WORD = 6
@@ -48,12 +49,14 @@ def _window_hashes(docs: pa.Table, width: int) -> np.ndarray:
 
 
 def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
-    return (mix(hashes + _U(row)) >> _U(64 - bits)).astype(np.int64)
+    cells = mix(hashes + _U(row)) >> _U(64 - bits)
+    return cells.astype(np.uint32) if bits <= 32 else cells
 
 
 def _own_cells(hashes: np.ndarray, row: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The cells of a row that a part touches, ascending, and which it touches twice or more."""
-    cells = np.sort(_cells(hashes, row, bits))
+    cells = _cells(hashes, row, bits)
+    cells.sort()
     new = np.ones(len(cells), bool)
     new[1:] = cells[1:] != cells[:-1]
     first = np.flatnonzero(new)
@@ -61,17 +64,19 @@ def _own_cells(hashes: np.ndarray, row: int, bits: int) -> tuple[np.ndarray, np.
 
 
 def _gaps(places: np.ndarray) -> bytes:
-    """Ascending places in a block as bytes: a gap below 255 is itself, else as many 255 as fit
-    and the rest."""
-    gaps = np.diff(places, prepend=0)
-    out = np.full(int((gaps // 255).sum()) + len(gaps), 255, np.uint8)
-    out[np.cumsum(gaps // 255 + 1) - 1] = gaps % 255
-    return out.tobytes()
+    """Ascending places of a block as gaps of 1, 2 or 4 bytes, whichever suits their mean. The
+    largest value of the word adds to the gap that follows it."""
+    width = 1 if places[-1] < 350 * len(places) else 2 if places[-1] < 90_000 * len(places) else 4
+    most = (1 << 8 * width) - 1
+    gaps = np.diff(places.astype(np.int64), prepend=0)
+    out = np.full(int((gaps // most).sum()) + len(gaps), most, f"u{width}")
+    out[np.cumsum(gaps // most + 1) - 1] = gaps % most
+    return bytes([width]) + out.tobytes()
 
 
 def _places(coded: bytes) -> np.ndarray:
-    steps = np.frombuffer(coded, np.uint8)
-    return np.cumsum(steps, dtype=np.int64)[steps < 255]
+    steps = np.frombuffer(coded, f"u{coded[0]}", offset=1)
+    return np.cumsum(steps, dtype=np.int64)[steps < (1 << 8 * coded[0]) - 1]
 
 
 def _sketch_blocks(bits: int) -> int:
@@ -83,10 +88,11 @@ def _send_sketch(docs: pa.Table, width: int, bits: int) -> pa.Table:
     size, rows = (1 << bits) // blocks, []
     for row in range(ROWS):
         cells, twice = _own_cells(hashes, row, bits)
-        edge = np.searchsorted(cells, np.arange(blocks + 1) * size)
+        edge = np.searchsorted(cells, (np.arange(blocks) * size).astype(cells.dtype))
+        edge = np.append(edge, len(cells))
         for b in np.flatnonzero(edge[1:] > edge[:-1]):
             own = slice(edge[b], edge[b + 1])
-            coded = _gaps(cells[own] - b * size)
+            coded = _gaps(cells[own] - cells.dtype.type(b * size))
             rows.append((row * blocks + int(b), len(coded).to_bytes(8, "little") + coded + np.packbits(twice[own]).tobytes()))
     return pa.table(
         {
@@ -118,22 +124,21 @@ class _Suspects:
         suspect = np.ones(len(hashes), bool)
         for row in range(ROWS):
             cells, _ = _own_cells(hashes, row, bits)
-            full = bits_for(answers, "cell", row * per_row + cells // size)
+            full = bits_for(answers, "cell", row * per_row + (cells // cells.dtype.type(size)).astype(np.int32))
             suspect &= full[np.searchsorted(cells, _cells(hashes, row, bits))]
+            del cells
         del hashes
-        self.suspect = suspect
-        self.parts = []
+        self.mine = []
         keys: list[list[np.ndarray]] = []
         at, doc_ids = 0, ids(docs)
         for part in slices(column(docs, "text")):
             found = words(part)
-            start, places = windows(found.offsets, width)
-            mine = suspect[at : at + len(start)]
-            at += len(start)
-            self.parts.append((part, found, start, mine))
+            start, _ = windows(found.offsets, width)
+            at, mine = at + len(start), suspect[at : at + len(start)]
             start = start[mine]
+            self.mine.append(start)
             one, two = wide(word_hashes(part, found), start, start + width)
-            of = found.documents()[start] if len(start) else start
+            of = np.searchsorted(found.offsets, start, "right") - 1
             keys.append([one, two, doc_ids[part.first + of], start - found.offsets[of]])
         none = np.zeros(0, _U)
         one, two, doc, start = (np.concatenate(x) for x in zip([none, none, none.view(np.int64), none.view(np.int64)], *keys, strict=True))
@@ -167,12 +172,10 @@ def _remove(docs: pa.Table, answers: pa.Table, width: int, bits: int, blocks: in
     removed = np.empty(len(s.order), bool)
     removed[s.order] = s.later | bits_for(answers, "later", s.block)[s.group]
     n_words, n_removed, kept, at = [], [], [], 0
-    for part, found, start, mine in s.parts:
-        gone = np.zeros(len(found.start), bool)
-        hit = removed[at : at + int(mine.sum())]
-        at += len(hit)
-        if hit.any():
-            gone = covered(start[mine][hit], width, len(found.start))
+    for part, start in zip(slices(column(docs, "text")), s.mine, strict=True):
+        found = words(part)
+        at, hit = at + len(start), removed[at : at + len(start)]
+        gone = covered(start[hit], width, len(found.start))
         data = part.data.tobytes()
         for d in range(len(part)):
             stay = ~gone[found.offsets[d] : found.offsets[d + 1]]
