@@ -149,7 +149,7 @@ def windows(offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     """Which of ``n`` items lie in one of the stretches of ``width`` items."""
-    edge = np.zeros(n + 1, np.int64)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, starts + width, -1)
+    if not len(starts):
+        return np.zeros(n, bool)
+    edge = np.bincount(starts, minlength=n + 1) - np.bincount(starts + width, minlength=n + 1)
     return np.cumsum(edge[:-1]) > 0

@@ -127,10 +127,11 @@ def ask(sent: DataFrame, judge: Callable[[pa.Table], pa.Table], name: str) -> Da
 def bits_for(answers: pa.Table, kind: str, block: np.ndarray) -> np.ndarray:
     """The answers of a kind to keys that were sent in the order of ``block``."""
     out = np.zeros(len(block), bool)
-    for k, b, bits in zip(*(answers[c].to_pylist() for c in ("kind", "block", "bits")), strict=True):
-        if k == kind:
-            first, last = np.searchsorted(block, [b, b + 1])
-            out[first:last] = np.unpackbits(np.frombuffer(bits, np.uint8), count=last - first).view(bool)
+    rows = [(b, bits) for k, b, bits in zip(*(answers[c].to_pylist() for c in ("kind", "block", "bits")), strict=True) if k == kind]
+    places = np.array([b for b, _ in rows], block.dtype)
+    first, last = (np.searchsorted(block, places, side).tolist() for side in ("left", "right"))
+    for (_, bits), a, b in zip(rows, first, last, strict=True):
+        out[a:b] = np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a).view(bool)
     return out
 
 
@@ -160,12 +161,18 @@ def empty_of(schema: str) -> pa.Table:
 
 def distinct(*keys: np.ndarray, most: Iterable[np.ndarray] = ()) -> tuple[np.ndarray, np.ndarray]:
     """Order of the rows by the keys (``most``: further sort columns), and which of the ordered rows
-    begins a new key."""
-    order = np.lexsort((*reversed((*keys, *most)),))
+    begins a new key. Only rows whose first key is not unique are sorted by the others."""
+    order = np.argsort(keys[0])
     new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = False
-        for k in keys:
+    ranked = keys[0][order]
+    new[1:] = ranked[1:] != ranked[:-1]
+    shared = np.flatnonzero(~new)
+    if len(shared):
+        tied = ~new
+        tied[shared - 1] = True
+        rows = order[tied]
+        order[tied] = rows[np.lexsort([k[rows] for k in reversed((*keys, *most))])]
+        for k in keys[1:]:
             k = k[order]
             new[1:] |= k[1:] != k[:-1]
     return order, new

@@ -123,10 +123,12 @@ class _Suspects:
         per_row, size = _sketch_blocks(bits), (1 << bits) // _sketch_blocks(bits)
         suspect = np.ones(len(hashes), bool)
         for row in range(ROWS):
-            cells, _ = _own_cells(hashes, row, bits)
+            cells = _cells(hashes, row, bits)
+            order, new = distinct(cells)
+            cells = cells[order[new]]
             full = bits_for(answers, "cell", row * per_row + (cells // cells.dtype.type(size)).astype(np.int32))
-            suspect &= full[np.searchsorted(cells, _cells(hashes, row, bits))]
-            del cells
+            suspect[order] &= full[np.cumsum(new) - 1]
+            del cells, order, new
         del hashes
         self.mine = []
         keys: list[list[np.ndarray]] = []
