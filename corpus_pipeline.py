@@ -1,17 +1,60 @@
-"""A corpus from raw documents: stages that each read what the one before has written."""
+"""A corpus from raw documents, in stages that each read what the one before has written.
+
+1. quality: documents that the byte-level network rejects go;
+2. near_duplicates: of a group of near copies the document with the smallest id stays;
+3. decontamination: documents that hold a benchmark item go;
+4. pii: personal data become their kind in brackets;
+5. mixture: each document with the words that the mix takes of it.
+
+All stages but the last keep the columns of documents. Nulls, empty texts and repeated rows are treated
+as the operators state; a null ``doc_id`` has no near copies, and rows that share an id stay or go as one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidewatch.llm import decontamination, minhash_dedup, mixing, pii, quality
 from tidewatch.staging import stage
 
-STAGES: list = []
-
-#: The classifier's weights and the word-level matching are not SQL; tests compare with brute force.
+#: The model is numpy's and links are confirmed on sets of hashes; tests compare with brute force.
 ORACLE_SQL = None
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    net = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    columns = tuple(docs.columns)
+    return quality.score(docs, net, columns).where("predicted = 1").select(*[F.col(f"`{c}`") for c in columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = minhash_dedup.near_duplicates(docs)
+    gone = stage(found.where("not kept").select(F.col("doc_id").alias("gone id")).distinct(), "gone")
+    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("gone id"), "left_anti")
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.without(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pii.redact(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminated),
+    ("pii", redacted),
+    ("mixture", mixed),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
