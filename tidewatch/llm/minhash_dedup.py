@@ -171,9 +171,10 @@ def _likely(percent: int):
 
 
 def _beside(pairs: DataFrame, rows: DataFrame, value: str, name: str) -> DataFrame:
-    """The pairs with a value of either side."""
+    """The pairs with a value of either side; merged, so that volume grows with the input alone."""
     for side in ("a", "b"):
-        pairs = pairs.join(rows.select(F.col("id").alias(side), F.col(value).alias(f"{name}_{side}")), side)
+        values = rows.select(F.col("id").alias(side), F.col(value).alias(f"{name}_{side}"))
+        pairs = pairs.join(values.hint("merge"), side)
     return pairs
 
 
@@ -214,7 +215,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "votes"))
     ids = both.select(F.col("a").alias("id")).distinct()
-    texts = stage(docs.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi"), "texts")
+    texts = stage(docs.withColumnRenamed("doc_id", "id").join(ids.hint("merge"), "id", "left_semi"), "texts")
     confirmed = lambda some: _beside(some, texts, "text", "text").mapInArrow(_confirm(shingle, percent), LINKS)
     best = both.groupBy("a").agg(F.max_by("b", F.struct("votes", F.xxhash64("a", "b"))).alias("b"))
     best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
