@@ -4,7 +4,8 @@ Links are first thinned to a forest inside each task. Then two steps alternate u
 changes: every node hands its larger neighbours to the smallest node that it knows, and every
 node's smaller neighbours meet at the smallest of them. The number of rounds grows with the
 logarithm of the number of nodes. Tables of a round are written to the shared folder, so that a
-lost executor repeats one step only and a node with very many links is split by adaptive joins.
+lost executor repeats one step only and a node with very many links is split by adaptive joins. They
+have one file for about ``ROWS`` links, however many partitions a shuffle has.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from tidewatch.staging import stage
 
 LINKS = "a bigint, b bigint"
+#: Links of a file.
+ROWS = 100_000
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -51,8 +54,9 @@ def components(links: DataFrame) -> DataFrame:
     links = links.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b"))
     links = stage(links.where("a <> b").mapInArrow(_thin, LINKS).distinct(), "links")
     before = _trace(links)
+    files = -(-before[0] // ROWS) or 1
     while True:
-        links = _small_star(_large_star(links))
+        links = _small_star(_large_star(links, files), files)
         after = _trace(links)
         if after == before:
             break
@@ -69,15 +73,15 @@ def _trace(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), F.sum(mark)).head())
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, files: int) -> DataFrame:
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = stage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("low")), "least")
+    least = stage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("low")).coalesce(files), "least")
     moved = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-    return stage(moved.where("a <> b").distinct(), "links")
+    return stage(moved.where("a <> b").distinct().coalesce(files), "links")
 
 
-def _small_star(links: DataFrame) -> DataFrame:
-    least = stage(links.groupBy("a").agg(F.min("b").alias("low")), "least")
+def _small_star(links: DataFrame, files: int) -> DataFrame:
+    least = stage(links.groupBy("a").agg(F.min("b").alias("low")).coalesce(files), "least")
     met = links.join(least, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
     own = least.select("a", F.col("low").alias("b"))
-    return stage(met.unionByName(own).distinct(), "links")
+    return stage(met.unionByName(own).distinct().coalesce(files), "links")

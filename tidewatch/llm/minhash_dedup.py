@@ -40,6 +40,8 @@ LEAST = 3
 REGION = 8
 VALUES = TREES * DEPTH
 KEY = 4 * DEPTH
+#: Documents of a written file, about, however many partitions a shuffle has.
+FILE = 8000
 #: Documents whose sets are compared at a time.
 _ROWS = 256
 
@@ -178,7 +180,7 @@ def _beside(pairs: DataFrame, rows: DataFrame, value: str, name: str) -> DataFra
     return pairs
 
 
-def candidates(reps: DataFrame) -> DataFrame:
+def candidates(reps: DataFrame, files: int) -> DataFrame:
     """``a, b, votes``: pairs of classes that are candidates in so many orders."""
     key = F.substring("signature", F.col("tree") * KEY + 1, F.lit(KEY))
     orders = reps.select("rep", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
@@ -188,7 +190,8 @@ def candidates(reps: DataFrame) -> DataFrame:
     found = stage(
         orders.repartitionByRange(parts, "tree", "key", "rep")
         .sortWithinPartitions("tree", "key", "rep")
-        .mapInArrow(_neighbours(True), columns),
+        .mapInArrow(_neighbours(True), columns)
+        .coalesce(files),
         "neighbours",
     )
     # the ends of all partitions, a few rows of each: neighbours across a cut
@@ -205,23 +208,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         docs.mapInArrow(_sign(shingle), "doc_id bigint, n_shingles bigint, one bigint, two bigint, signature binary"),
         "signed",
     )
+    files = -(-signed.count() // FILE) or 1
+    written = lambda df, name: stage(df.coalesce(files), name)
     sets = ["n_shingles", "one", "two"]
-    classes = stage(
+    classes = written(
         signed.where("doc_id is not null and n_shingles > 0")
         .groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")),
         "classes",
     )
-    pairs = stage(candidates(classes.select("rep", "signature")), "pairs")
+    pairs = written(candidates(classes.select("rep", "signature"), files), "pairs")
 
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "votes"))
     ids = both.select(F.col("a").alias("id")).distinct()
-    texts = stage(docs.withColumnRenamed("doc_id", "id").join(ids.hint("merge"), "id", "left_semi"), "texts")
+    texts = written(docs.withColumnRenamed("doc_id", "id").join(ids.hint("merge"), "id", "left_semi"), "texts")
     confirmed = lambda some: _beside(some, texts, "text", "text").mapInArrow(_confirm(shingle, percent), LINKS)
     best = both.groupBy("a").agg(F.max_by("b", F.struct("votes", F.xxhash64("a", "b"))).alias("b"))
     best = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = stage(confirmed(best), "links")
+    links = written(confirmed(best), "links")
 
-    label = stage(components(links), "labels").select(F.col("node").alias("id"), "component")
+    label = written(components(links), "labels").select(F.col("node").alias("id"), "component")
     open_pairs = pairs.select("a", "b")
     for side in ("a", "b"):
         open_pairs = open_pairs.join(
@@ -230,11 +235,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     apart = F.coalesce("in_a", "a") != F.coalesce("in_b", "b")
     open_pairs = open_pairs.where(apart).select("a", "b").join(best, ["a", "b"], "left_anti")
     signatures = classes.select(F.col("rep").alias("id"), "signature")
-    likely = stage(_beside(open_pairs, signatures, "signature", "sig").mapInArrow(_likely(percent), LINKS), "likely")
-    links = links.unionByName(stage(confirmed(likely), "links"))
+    likely = written(_beside(open_pairs, signatures, "signature", "sig").mapInArrow(_likely(percent), LINKS), "likely")
+    links = links.unionByName(written(confirmed(likely), "links"))
 
     found = components(links).select(F.col("node").alias("rep"), "component")
-    known = stage(
+    known = written(
         classes.select(*sets, "rep").join(found, "rep", "left")
         .select(*sets, F.coalesce("component", "rep").alias("component")),
         "known",
