@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import (
-    decontamination, embedding_dedup, minhash_dedup, mixing, pii, quality, substring_dedup, suffix_dedup,
-    token_counts, url_filter,
+    decontamination, embedding_dedup, minhash_dedup, mixing, oracles, pii, quality, substring_dedup,
+    suffix_dedup, token_counts, url_filter,
 )
 
 #: The model file whose pieces op5 counts; another one may be named in the session.
@@ -76,4 +76,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
