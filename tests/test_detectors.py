@@ -3,8 +3,10 @@ from collections import Counter
 from datetime import timedelta
 from decimal import Decimal
 
+import pytest
 from fixtures import START, accounts, at, deposit, sessions, transactions, txn
 from tidewatch.operators import mule, nearest, structuring
+from tidewatch.staging import ranged
 
 
 def test_pass_through_bounds(spark):
@@ -41,9 +43,31 @@ def test_mule_ring_needs_three_customers_with_new_accounts(spark):
         + [txn(f"o{a}", a, None, "950.00", at(1)) for a, _, _ in owners],
     )
     members = mule.mule_members(found, accounts(spark, owners), moving, mule.pass_through(moving))
-    (ring,) = mule.mule_ring(members).collect()
+    rings = mule.mule_ring(members)
+    (ring,) = rings.join(mule.mule_accounts(members, rings), "device_id").collect()
     assert (ring.device_id, ring.n_customers, ring.accounts) == ("d3", 3, ["A0", "A1", "A2"])
-    assert mule.ring_members(members, mule.mule_ring(members)).count() == 3
+    assert (ring.n_accounts, ring.first_account, ring.part, ring.parts) == (3, "A0", 0, 1)
+    assert mule.ring_members(members, rings).count() == 3
+
+
+def test_lists_in_parts_hold_every_id(spark):
+    """Whatever its size, a detection's parts together hold all of its ids, and no list is missing."""
+    rows = [(d, f"A{i:03d}", f"C{i}") for d, n in (("big", 83), ("small", 3), ("full", 5), ("over", 6)) for i in range(n)]
+    members = spark.createDataFrame(rows, "device_id string, account_id string, customer_id string")
+    rings = mule.mule_ring(members)
+    lists = mule.mule_accounts(members, rings, part=5).collect()
+    for device in ("big", "small", "full", "over"):
+        mine = [r for r in lists if r.device_id == device]
+        want = [a for d, a, _ in rows if d == device]
+        assert sorted(a for r in mine for a in r.accounts) == want
+        assert all(r.accounts == sorted(r.accounts) and r.accounts for r in mine)
+        assert {r.parts for r in mine} == {-(-len(want) // 5)} and all(0 <= r.part < r.parts for r in mine)
+        assert len(mine) == len({r.part for r in mine})
+    deposits = [deposit(f"d{i:02d}", "X", "9000.00", at(i % 24), f"B{i % 7}") for i in range(40)]
+    flagged = structuring.flagged_deposits(transactions(spark, deposits))
+    parts = structuring.deposit_lists(flagged, structuring.structuring_daily(flagged), part=5).collect()
+    assert sorted(t for r in parts for t in r.txn_ids) == [f"d{i:02d}" for i in range(40)]
+    assert {b for r in parts for b in r.branches} == {f"B{i}" for i in range(7)} and len(parts) > 4
 
 
 def test_structuring_daily_bounds(spark):
@@ -54,7 +78,9 @@ def test_structuring_daily_bounds(spark):
         deposit("7", "days", "9000.00", at(0)), deposit("8", "days", "9000.00", at(24)),
         deposit("9", "undone", "9000.00", at(0)), deposit("a", "undone", "9000.00", at(1), status="reversed"),
     ]
-    found = structuring.structuring_daily(structuring.flagged_deposits(transactions(spark, rows))).collect()
+    flagged = structuring.flagged_deposits(transactions(spark, rows))
+    totals = structuring.structuring_daily(flagged)
+    found = totals.join(structuring.deposit_lists(flagged, totals), "account_id").collect()
     assert [r.account_id for r in found] == ["two"]
     (r,) = found
     assert (r.n_days, r.n_deposits, r.n_branches, r.total_amount) == (1, 2, 2, Decimal("16999.99"))
@@ -63,7 +89,23 @@ def test_structuring_daily_bounds(spark):
 
 def rolling(spark, rows, **rule):
     inside = structuring.window_deposits(transactions(spark, rows), **rule)
-    return {r.account_id: r for r in structuring.structuring_rolling(inside).collect()}
+    totals = structuring.structuring_rolling(inside)
+    lists = structuring.deposit_lists(inside, totals)
+    return {r.account_id: r for r in totals.join(lists, "account_id").collect()}
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Ranges are not put together again, so that one account lies in several."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, "true")
+
+
+def test_one_account_lies_in_several_ranges(spark, many_ranges):
+    rows = spark.range(200).selectExpr("'A' as account_id", "id")
+    assert ranged(rows, "account_id", "id").select("_slot").distinct().count() > 1
 
 
 def test_structuring_rolling_bounds(spark):
@@ -84,7 +126,7 @@ def test_structuring_rolling_bounds(spark):
     assert found["inside"].txn_ids == [f"inside{i}" for i in range(5)]
 
 
-def test_structuring_rolling_equals_brute_force(spark):
+def test_structuring_rolling_equals_brute_force(spark, many_ranges):
     rng = random.Random(7)
     rows = [
         deposit(f"d{i:03d}", f"A{rng.randint(0, 2)}", f"{rng.randint(1, 99)}00.00",
@@ -124,7 +166,7 @@ def test_nearest_session(spark):
                    "none": None}
 
 
-def test_nearest_session_equals_brute_force(spark):
+def test_nearest_session_equals_brute_force(spark, many_ranges):
     rng = random.Random(1)
     logins = [(f"s{i:02d}", f"A{rng.randint(0, 3)}", None, None, at(rng.randint(0, 300))) for i in range(40)]
     txns = [txn(f"t{i}", f"A{rng.randint(0, 4)}", None, time=at(rng.randint(-20, 320))) for i in range(80)]

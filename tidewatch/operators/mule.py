@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import days, decimal
-from tidewatch.operators.evidence import inline_ids
+from tidewatch.operators.evidence import PART, in_parts, listed
 from tidewatch.operators.intervals import follow_on_pairs
 
 
@@ -60,7 +60,7 @@ def mule_members(
 
 def mule_ring(members: DataFrame, min_customers: int = 3) -> DataFrame:
     """Devices shared by ``min_customers`` or more distinct customers among the members."""
-    rings = (
+    return (
         members.groupBy("device_id")
         .agg(
             F.countDistinct("customer_id").alias("n_customers"),
@@ -68,15 +68,14 @@ def mule_ring(members: DataFrame, min_customers: int = 3) -> DataFrame:
             F.min("account_id").alias("first_account"),
         )
         .filter(F.col("n_customers") >= min_customers)
+        .withColumn("tier", F.lit("medium"))
     )
-    accounts = inline_ids(
-        members.select("device_id", "account_id"), rings, "device_id", "n_accounts",
-        [F.col("account_id")], "account_id", "accounts",
-    )
-    return rings.join(accounts, "device_id", "left").select(
-        "device_id", "n_customers", "n_accounts", "first_account", "accounts",
-        F.lit("medium").alias("tier"),
-    )
+
+
+def mule_accounts(members: DataFrame, rings: DataFrame, part: int = PART) -> DataFrame:
+    """``(device_id, part, parts, accounts)``: the accounts of each ring, in parts."""
+    found = in_parts(ring_members(members, rings), rings, "device_id", "n_accounts", "account_id", part)
+    return found.groupBy("device_id", "part", "parts").agg(listed([], "account_id").alias("accounts"))
 
 
 def ring_members(members: DataFrame, rings: DataFrame) -> DataFrame:

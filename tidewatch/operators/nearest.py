@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.functions.columns import day_cell
+from tidewatch.staging import ranged
 
 
-def nearest_session_join(transaction: DataFrame, session: DataFrame, slice_days: int = 1) -> DataFrame:
+def nearest_session_join(transaction: DataFrame, session: DataFrame) -> DataFrame:
     """For each transaction with a payer, the payer's session closest in time.
 
     Of a session before and one at or after, the nearer wins; at an equal gap the earlier one.
     Transactions of accounts without sessions get null. Transactions and sessions are merged
-    per account and calendar slice, and each looks back (and ahead) within its slice; what lies
-    beyond comes from one row per account and slice, the last (first) session of the nearest
-    slice that has any. No account is ever one group.
+    and ranged by account and time, and each looks back (and ahead) within its range; what lies
+    beyond comes from one row per account and range, the last (first) session of the nearest
+    range that has any. However busy an account is, a task holds one range.
     """
     point = "struct<time:timestamp_ntz,id:string>"
     txns = transaction.filter("account_id is not null").select(
@@ -29,12 +29,9 @@ def nearest_session_join(transaction: DataFrame, session: DataFrame, slice_days:
         F.struct(F.col("session_time").alias("time"), F.col("session_id").alias("id")).alias("s"),
     )
     # at the same time a transaction sorts before sessions: those count as "at or after"
-    merged = (
-        txns.unionByName(sessions)
-        .withColumn("_slice", day_cell(F.col("time"), slice_days))
-        .withColumn("_kind", F.when(F.col("s").isNull(), 0).otherwise(1))
-    )
-    key = ["account_id", "_slice"]
+    merged = txns.unionByName(sessions).withColumn("_kind", F.when(F.col("s").isNull(), 0).otherwise(1))
+    merged = ranged(merged, "account_id", "time", "_kind", "s.id")
+    key = ["account_id", "_slot"]
     ahead = Window.partitionBy(*key).orderBy(F.desc("time"), F.desc("_kind"), F.desc("s.id"))
     behind = Window.partitionBy(*key).orderBy("time", "_kind", "s.id")
 
@@ -43,22 +40,22 @@ def nearest_session_join(transaction: DataFrame, session: DataFrame, slice_days:
             window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
 
-    in_slice = (
+    in_range = (
         merged.withColumn("_before", nearest_so_far(behind))
         .withColumn("_after", nearest_so_far(ahead))
         .filter("_kind = 0")
         .select(*key, "transaction_id", "time", "_before", "_after")
     )
-    slices = merged.groupBy(*key).agg(F.min("s").alias("_first"), F.max("s").alias("_last"))
-    by_slice = Window.partitionBy("account_id").orderBy("_slice")
-    by_slice_desc = Window.partitionBy("account_id").orderBy(F.desc("_slice"))
-    beyond = slices.select(
+    ranges = merged.groupBy(*key).agg(F.min("s").alias("_first"), F.max("s").alias("_last"))
+    upwards = Window.partitionBy("account_id").orderBy("_slot")
+    downwards = Window.partitionBy("account_id").orderBy(F.desc("_slot"))
+    beyond = ranges.select(
         *key,
         F.last("_last", ignorenulls=True)
-        .over(by_slice.rowsBetween(Window.unboundedPreceding, -1))
+        .over(upwards.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_earlier"),
         F.last("_first", ignorenulls=True)
-        .over(by_slice_desc.rowsBetween(Window.unboundedPreceding, -1))
+        .over(downwards.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_later"),
     )
     before = F.coalesce("_before", "_earlier")
@@ -67,7 +64,7 @@ def nearest_session_join(transaction: DataFrame, session: DataFrame, slice_days:
         F.col("b").isNotNull() & (F.col("time") - F.col("b.time") <= F.col("a.time") - F.col("time"))
     )
     return (
-        in_slice.join(beyond, key)
+        in_range.join(beyond, key)
         .withColumn("b", before)
         .withColumn("a", after)
         .select(

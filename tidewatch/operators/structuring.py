@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.functions.columns import day_cell, days, decimal
-from tidewatch.operators.evidence import inline_ids
-from tidewatch.staging import stage
+from tidewatch.functions.columns import days, decimal
+from tidewatch.operators.evidence import PART, in_parts, listed
+from tidewatch.staging import ranged, stage
 
 REPORTING_THRESHOLD = "10000"
-CARRY_DAYS = 30
 MEASURES = ("n", "amount", "branches")
 
 
@@ -47,7 +46,7 @@ def flagged_deposits(
 
 def structuring_daily(deposits: DataFrame) -> DataFrame:
     """One row per account with flagged days, from its flagged deposits."""
-    totals = deposits.groupBy("account_id").agg(
+    return deposits.groupBy("account_id").agg(
         F.countDistinct("day").alias("n_days"),
         F.count(F.lit(1)).alias("n_deposits"),
         F.sum("amount").cast("decimal(28,2)").alias("total_amount"),
@@ -55,14 +54,17 @@ def structuring_daily(deposits: DataFrame) -> DataFrame:
         F.min("day").alias("first_day"),
         F.max("day").alias("last_day"),
         F.min(F.struct("txn_time", "transaction_id")).getField("transaction_id").alias("first_txn"),
+        F.lit("medium").alias("tier"),
     )
-    ids = inline_ids(
-        deposits.select("account_id", "txn_time", "transaction_id"), totals, "account_id",
-        "n_deposits", [F.col("txn_time")], "transaction_id", "txn_ids",
-    )
-    return totals.join(ids, "account_id", "left").select(
-        "account_id", "n_days", "n_deposits", "total_amount", "n_branches", "first_day",
-        "last_day", "first_txn", "txn_ids", F.lit("medium").alias("tier"),
+
+
+def deposit_lists(deposits: DataFrame, totals: DataFrame, part: int = PART) -> DataFrame:
+    """``(account_id, part, parts, branches, txn_ids)``: the deposits of each account in parts, and
+    the branches of each part's deposits."""
+    found = in_parts(deposits, totals, "account_id", "n_deposits", "transaction_id", part)
+    return found.groupBy("account_id", "part", "parts").agg(
+        F.array_sort(F.collect_set("branch_code")).alias("branches"),
+        listed(["txn_time"], "transaction_id").alias("txn_ids"),
     )
 
 
@@ -87,21 +89,19 @@ def _branch_presence(deposits: DataFrame, window_days: int) -> DataFrame:
     """+1 when a branch enters an account's window, -1 when it leaves it.
 
     A deposit keeps its branch in the window until ``window_days`` later or until the next
-    deposit at that branch takes over. The next one is looked up within a calendar slice as
-    long as the window; only the first of the following slice can take over across its edge.
+    deposit at that branch takes over. The next one is looked up within a range of the times;
+    the last of a range looks at the first of the range that follows.
     """
-    times = deposits.select("account_id", "branch_code", "txn_time").distinct()
-    times = times.withColumn("_slice", day_cell(F.col("txn_time"), window_days))
-    key = ["account_id", "branch_code", "_slice"]
-    following = (
-        times.groupBy(*key)
-        .agg(F.min("txn_time").alias("_next_first"))
-        .withColumn("_slice", F.col("_slice") - 1)
-    )
-    in_slice = F.lead("txn_time").over(Window.partitionBy(*key).orderBy("txn_time"))
+    pair = ["account_id", "branch_code"]
+    times = ranged(deposits.select(*pair, "txn_time").distinct(), *pair, "txn_time")
+    key = [*pair, "_slot"]
+    following = times.groupBy(*key).agg(F.min("txn_time").alias("_first")).select(
+        *key, F.lead("_first").over(Window.partitionBy(*pair).orderBy("_slot")).alias("_next_first")
+    )
+    in_range = F.lead("txn_time").over(Window.partitionBy(*key).orderBy("txn_time"))
     spans = (
-        times.withColumn("_next", in_slice)
-        .join(following, key, "left")
+        times.withColumn("_next", in_range)
+        .join(following, key)
         .select(
             "account_id",
             F.col("txn_time").alias("_from"),
@@ -141,41 +141,41 @@ def window_steps(deposits: DataFrame, window_days: int = 10) -> DataFrame:
         moving.unionByName(presence)
         .groupBy("account_id", "at")
         .agg(*[F.sum(c).alias(c) for c in [*MEASURES, "arrivals"]])
-        .withColumn("_slice", day_cell(F.col("at"), CARRY_DAYS))
     )
 
 
 def window_totals(steps: DataFrame) -> DataFrame:
     """Count, sum and number of branches of the window that ends at each deposit time.
 
-    All three are running sums over the steps. The sums run within slices of the calendar, and
-    each slice starts from the total of the slices before it; a busy account is spread over its
-    slices instead of being one long group.
+    All three are running sums over the steps. The steps are ranged by account and time; sums run
+    within a range, and start from the account's totals in the ranges before it. However busy an
+    account is, a task holds one range.
     """
+    steps = ranged(steps, "account_id", "at")
     earlier = (
-        Window.partitionBy("account_id").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("account_id").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
-        steps.groupBy("account_id", "_slice")
+        steps.groupBy("account_id", "_slot")
         .agg(*[F.sum(c).alias(c) for c in MEASURES])
         .select(
             "account_id",
-            "_slice",
+            "_slot",
             *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in MEASURES],
         )
     )
     so_far = (
-        Window.partitionBy("account_id", "_slice")
+        Window.partitionBy("account_id", "_slot")
         .orderBy("at")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         steps.select(
-            "account_id", "_slice", "at", "arrivals",
+            "account_id", "_slot", "at", "arrivals",
             *[F.sum(c).over(so_far).alias(f"in_{c}") for c in MEASURES],
         )
         .filter("arrivals > 0")
-        .join(carried, ["account_id", "_slice"])
+        .join(carried, ["account_id", "_slot"])
         .select(
             "account_id",
             F.col("at").alias("window_end"),
@@ -200,8 +200,8 @@ def window_deposits(
 ) -> DataFrame:
     """The deposits inside each account's densest window."""
     deposits = stage(branch_deposits(transaction), "branch-deposits")
-    steps = stage(window_steps(deposits, window_days), "window-steps")
-    windows = densest_windows(window_totals(steps), min_deposits, min_branches)
+    totals = window_totals(window_steps(deposits, window_days))
+    windows = densest_windows(totals, min_deposits, min_branches)
     return (
         deposits.join(windows, "account_id")
         .filter(F.col("txn_time") <= F.col("window_end"))
@@ -219,25 +219,11 @@ def structuring_rolling(inside: DataFrame) -> DataFrame:
         F.min("txn_time").cast("date").alias("first_day"),
         F.max("txn_time").cast("date").alias("last_day"),
     )
-    branches = inside.select("account_id", "branch_code").distinct()
-    branch_ids = inline_ids(
-        branches, totals, "account_id", "n_branches", [F.col("branch_code")], "branch_code", "branches"
-    )
-    txn_ids = inline_ids(
-        inside.select("account_id", "txn_time", "transaction_id"), totals, "account_id",
-        "n_deposits", [F.col("txn_time")], "transaction_id", "txn_ids",
-    )
-    return (
-        totals.join(branch_ids, "account_id", "left")
-        .join(txn_ids, "account_id", "left")
-        .select(
-            "account_id", "n_deposits", "n_branches", "total_amount", "max_single", "first_day",
-            "last_day",
-            (F.datediff("last_day", "first_day") + 1).alias("n_days"),
-            "branches",
-            "txn_ids",
-            F.when(F.col("n_branches") >= 3, "high").otherwise("medium").alias("tier"),
-        )
+    return totals.withColumns(
+        {
+            "n_days": F.datediff("last_day", "first_day") + 1,
+            "tier": F.when(F.col("n_branches") >= 3, "high").otherwise("medium"),
+        }
     )
 
 

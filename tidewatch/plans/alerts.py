@@ -1,4 +1,8 @@
-"""One alert per detection, with its evidence as a document."""
+"""One alert per detection, with its evidence as a document.
+
+The document of a device or account names it and counts its accounts or deposits; their ids are
+in the detection's lists, under the same device or account id.
+"""
 
 from __future__ import annotations
 
@@ -44,15 +48,14 @@ def alert_layering(chains: DataFrame) -> DataFrame:
 def alert_mule(mules: DataFrame) -> DataFrame:
     return _alert(
         mules, "mule_network", "first_account", F.lit(None), "device_id",
-        ["tier", "device_id", "n_customers", "accounts"],
+        ["tier", "device_id", "n_customers", "n_accounts"],
     )
 
 
 def alert_structuring(accounts: DataFrame) -> DataFrame:
     return _alert(
         accounts, "structuring", "account_id", F.col("first_txn"), "account_id",
-        ["tier", "n_days", "n_deposits", "total_amount", "n_branches", "first_day", "last_day",
-         "txn_ids"],
+        ["tier", "n_days", "n_deposits", "total_amount", "n_branches", "first_day", "last_day"],
     )
 
 
@@ -107,12 +110,19 @@ def v_dash_rings(alerts: DataFrame) -> DataFrame:
     )
 
 
-def v_dash_mule(alerts: DataFrame) -> DataFrame:
+def mule_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.filter("alert_type = 'mule_network'").select(
         "alert_id",
         _detail("device_id", "string").alias("device_id"),
         _detail("n_customers", "int").alias("n_customers"),
-        F.array_join(_detail("accounts", "array<string>"), ", ").alias("accounts"),
+    )
+
+
+def v_dash_mule(alerts: DataFrame, lists: DataFrame) -> DataFrame:
+    """Mule alerts with the accounts of their devices, one row for each part of a list."""
+    found = mule_alerts(alerts).join(lists, "device_id")
+    return found.select(
+        "alert_id", "device_id", "n_customers", "part", "parts", F.array_join("accounts", ", ").alias("accounts")
     )
 
 

@@ -7,10 +7,12 @@ the planner true sizes, so it can choose a broadcast join where one fits.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
+from functools import cached_property
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,23 +20,73 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
+#: Where the folders made meanwhile are noted down, if anyone asked for it.
+_NOTED: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; only a local session that
-    names none gets a temporary one."""
+    """The folder the cluster names in ``spark.checkpoint.dir``. Only a local session may name
+    none; it stages beside its warehouse."""
     context = spark.sparkContext
     folder = context.getCheckpointDir()
     if folder is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidewatch-"))
+        context.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir") + "/_staged")
         folder = context.getCheckpointDir()
     return folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    noted = _NOTED.get()
+    if noted is not None:
+        noted.append(folder)
+    return folder
+
+
+@contextmanager
+def noting(folders: list[str]) -> Iterator[None]:
+    """Add the name of every folder made inside to ``folders``."""
+    token = _NOTED.set(folders)
+    try:
+        yield
+    finally:
+        _NOTED.reset(token)
+
+
+class step(cached_property):
+    """A table of a `Staged` object that is built once; folders staged for it are the object's."""
+
+    def __get__(self, owner, kind=None):
+        if owner is None:
+            return self
+        with noting(owner.folders):
+            return super().__get__(owner, kind)
+
+
+class Staged:
+    """Something that builds tables step by step and deletes what it staged when it is closed."""
+
+    def __init__(self) -> None:
+        self.folders: list[str] = []
+
+    def close(self) -> None:
+        """Delete the staged tables. What was written elsewhere or collected stays."""
+        while self.folders:
+            drop_folder(SparkSession.active(), self.folders.pop())
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_stage(df: DataFrame, name: str) -> str:
@@ -59,31 +111,39 @@ def together(*steps: Callable[[], object]) -> None:
     do not leave the cluster idle."""
     inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        for done in [pool.submit(inherit(step)) for step in steps]:
+        for done in [pool.submit(copy_context().run, inherit(step)) for step in steps]:
             done.result()
 
 
+def ranged(df: DataFrame, *order: Column | str) -> DataFrame:
+    """``df`` staged in ranges of a total order, the number of the range in ``_slot``.
+
+    Running results over a long group are taken range by range and carried over, so that no
+    task holds a group. The rows are staged twice: before ranging, which reads them for its
+    sample and again, and after, so that all later steps see the same ranges even if a task
+    is run again.
+    """
+    placed = stage(df, "unranged").repartitionByRange(*order).withColumn("_slot", F.spark_partition_id())
+    return stage(placed, "ranged")
+
+
 def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Add ``name`` = 1, 2, 3 ... in the given total order.
 
     A window without a partition key would pull every row into one task. Here the rows are
-    range-partitioned, each partition numbers its own rows, and only one count per partition
-    is summed up. The ranged rows are staged first, so that counts and rows are certain to
-    see the same ranges even if a task is run again.
+    ranged, each range numbers its own rows, and only one count per range is summed up.
     """
-    slot = "_slot"
-    ranged = df.repartitionByRange(*order).withColumn(slot, F.spark_partition_id())
-    ranged = stage(ranged, "numbered")
-    before = Window.orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
+    rows = ranged(df, *order)
+    before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy(slot)
+        rows.groupBy("_slot")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select(slot, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+        .select("_slot", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    within = Window.partitionBy(slot).orderBy(*order)
+    within = Window.partitionBy("_slot").orderBy(*order)
     return (
-        ranged.withColumn("_rank", F.row_number().over(within))
-        .join(offsets, slot)
+        rows.withColumn("_rank", F.row_number().over(within))
+        .join(offsets, "_slot")
         .withColumn(name, F.col("_offset") + F.col("_rank"))
-        .drop(slot, "_offset", "_rank")
+        .drop("_slot", "_offset", "_rank")
     )
