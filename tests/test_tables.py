@@ -33,6 +33,21 @@ def test_link_counts_equal_listed_pairs(spark):
     assert {r.via: r.pairs for r in links.link_counts(identities).collect()} == want
     flipped = listed.select(F.col("b").alias("a"), F.col("a").alias("b"), "via")
     assert listed.exceptAll(flipped).count() == 0
+    groups = links.value_groups(identities).collect()
+    pairs = {(r.via, r.value, r.account_id): r.linked for r in groups}
+    for (via, value, account), n in pairs.items():
+        owner = next(c for a, c, v, x in rows if (a, v, x) == (account, via, value))
+        assert n == sum(v == via and x == value and c != owner for _, c, v, x in rows)
+
+
+@pytest.mark.parametrize("n", [50, 200])
+def test_a_hot_value_lists_no_pairs(spark, n):
+    """n accounts on one device, each with a second one that it shares with one more account."""
+    rows = [(f"A{i}", f"C{i}", "device", "hot") for i in range(n)]
+    rows += [(a, c, "device", f"d{i}") for i in range(n) for a, c in ((f"A{i}", f"C{i}"), (f"B{i}", f"D{i}"))]
+    identities = links.shared_identity(shared(spark, rows))
+    assert links.repeated_pairs(identities, ["via"]).count() == 0
+    assert [tuple(r) for r in links.link_counts(identities).collect()] == [("device", n * (n - 1) // 2 + n)]
 
 
 def test_shared_ip_counts_unknown_as_not_vpn(spark):
@@ -161,12 +176,14 @@ def test_alert_documents_leave_out_missing_fields(spark):
           Decimal("90.00"), Decimal("10.0"), [], "high")], path)
     chain = ring.drop("closed_on", "closed_by", "shared_via")
     mules = spark.createDataFrame(
-        [("D", 3, "A1", ["A1", "A2", "A3"], "medium")],
-        "device_id string, n_customers long, first_account string, accounts array<string>, tier string")
+        [("D", 3, 3, "A1", "medium")],
+        "device_id string, n_customers long, n_accounts long, first_account string, tier string")
+    lists = spark.createDataFrame(
+        [("D", 0, 2, ["A1", "A3"]), ("D", 1, 2, ["A2"])], "device_id string, part int, parts int, accounts array<string>")
     cash = spark.createDataFrame(
-        [("S", 1, 2, Decimal("15000.00"), 1, START.date(), START.date(), "d1", ["d1", "d2"], "medium")],
+        [("S", 1, 2, Decimal("15000.00"), 1, START.date(), START.date(), "d1", "medium")],
         "account_id string, n_days long, n_deposits long, total_amount decimal(28,2), n_branches long, "
-        "first_day date, last_day date, first_txn string, txn_ids array<string>, tier string")
+        "first_day date, last_day date, first_txn string, tier string")
     made = alerts.fraud_alert(ring, chain, mules, cash, F.lit(START))
     found = {r.alert_type: r for r in made.withColumn("doc", F.to_json("trigger_detail")).collect()}
     assert [found[k].alert_id for k in ("layering_chain", "mule_network", "round_trip", "structuring")] == [
@@ -176,7 +193,9 @@ def test_alert_documents_leave_out_missing_fields(spark):
     assert found["mule_network"].transaction_id is None and found["structuring"].transaction_id == "d1"
     shown = {r.closed_by: r.path for r in alerts.v_dash_rings(made).collect()}
     assert shown == {"same_account": "A -> B -> C -> A", None: "A -> B -> C -> A"}
-    assert alerts.v_dash_mule(made).first().accounts == "A1, A2, A3"
+    shown = {r.part: r.accounts for r in alerts.v_dash_mule(made, lists).collect()}
+    assert shown == {0: "A1, A3", 1: "A2"}
+    assert json.loads(found["mule_network"].doc)["n_accounts"] == 3
 
 
 def test_display_names(spark):

@@ -3,6 +3,7 @@ from datetime import timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from fixtures import START, accounts, at, edges, shared, transactions, txn
 from tidewatch.operators import rings
 from tidewatch.operators.walks import HopRule, long_walks, money_edge, money_walk
@@ -178,3 +179,26 @@ def test_open_part_of_a_closed_path_is_no_layering(spark):
     assert rings.layering(walks, found).count() == 0
     chain = long_walks(edges(spark, rows[:4]))
     assert keys(rings.layering(chain, found.limit(0))) == ["t1,t2,t3,t4"]
+
+
+def test_only_joined_up_choices_are_spelled_out(spark):
+    """20 parts of three to seven hops in a path of eight without a revisit; a loop adds those around it."""
+    def contained(path):
+        ids = [f"t{i}" for i in range(len(path) - 1)]
+        row = spark.createDataFrame([(len(ids), list(path), ids)], "hops int, path array<string>, txn_ids array<string>")
+        return sorted(row.select(F.explode(rings.contained_keys(3, revisit=True)).alias("k")).toPandas()["k"])
+
+    plain = contained("ABCDEFGHI")
+    runs = [",".join(f"t{i}" for i in range(s, s + n)) for n in range(3, 8) for s in range(9 - n)]
+    assert plain == sorted(runs) and len(plain) == 20
+    looped = contained("ABCBDE")
+    assert "t0,t3,t4" in looped and "t0,t2,t3" not in looped
+
+
+def test_an_end_is_multiplied_by_the_fewer_values(spark):
+    """The origin has 40 devices, each end one: one pair for each end, whatever the origin has."""
+    ends = spark.createDataFrame([("HUB", f"E{i}") for i in range(30)] + [("E0", "HUB"), ("E1", "E2")], "origin string, cur string")
+    rows = [("HUB", "c", "device", f"d{i}") for i in range(40)] + [(f"E{i}", f"o{i}", "device", f"d{i}") for i in range(30)]
+    rows += [("E3", "o3", "phone", "p"), ("HUB", "c", "phone", "p")]
+    found = {(r.origin, r.cur): r.via for r in rings.closing_links(ends, shared(spark, rows)).collect()}
+    assert found == {("HUB", f"E{i}"): "device" for i in range(30)} | {("E0", "HUB"): "device"}

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.staging import stage
+
 BLOCK = 2000
 
 
@@ -54,16 +56,19 @@ def pairs(members: DataFrame, group: list[str], member: str, block: int = BLOCK)
     Other columns come back with suffixes ``_a`` and ``_b``. ``members`` holds a member at
     most once per group. A group larger than ``block`` is cut into blocks by a hash of the
     member, and each pair of blocks is joined under its own key, so no task ever has more
-    than two blocks of a group, whatever the size of the group.
+    than two blocks of a group, whatever the size of the group. Only groups of several blocks
+    are looked up; they are at most one for ``block`` members.
     """
     carried = [c for c in members.columns if c not in group]
-    blocks = members.groupBy(*group).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_blocks")
+    large = (
+        members.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block)
+        .select(*group, F.ceil(F.col("_n") / F.lit(block)).cast("int").alias("_cuts"))
     )
+    blocks = F.coalesce("_cuts", F.lit(1))
     cells = (
-        members.join(blocks, group)
-        .withColumn("_block", F.pmod(F.xxhash64(member), F.col("_blocks")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        members.join(large, group, "left")
+        .withColumn("_block", F.pmod(F.xxhash64(member), blocks).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("_low", F.least("_block", "_other"))
         .withColumn("_high", F.greatest("_block", "_other"))
     )
@@ -101,57 +106,87 @@ def acc_link(shared: DataFrame) -> DataFrame:
     return once.select(both.alias("_p"), "via").select("_p.a", "_p.b", "via")
 
 
-def link_counts(shared: DataFrame) -> DataFrame:
-    """Number of linked account pairs per kind of identity, without listing the pairs.
+def _classes(shared: DataFrame, scope: list[str]) -> DataFrame:
+    """``(scope, account_id, cls)``: accounts with the same shared values are of one class, named by
+    the number of its values and two 64-bit hashes over them."""
+    named = shared.groupBy(*scope, "account_id").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.bit_xor(F.xxhash64("value")).alias("_x"),
+        F.bit_xor(F.xxhash64(F.lit("second"), "value")).alias("_y"),
+    )
+    return named.select(*scope, "account_id", F.concat_ws(":", "_n", "_x", "_y").alias("cls"))
+
+
+def repeated_pairs(shared: DataFrame, scope: list[str]) -> DataFrame:
+    """``(scope, cls_a, cls_b, values)``: pairs of classes that share two or more values.
 
-    Accounts that use the same shared values of a kind form a class. All accounts of a class,
-    and of two classes with a value in common, are linked, so pairs are counted from class
-    sizes; only classes are paired. Pairs with one owner are taken off the same way. A class is
-    named by the number of its values and two 64-bit hashes over them, so that no account's
-    values are ever collected.
+    They meet on pairs of values, so a value that very many accounts share brings no two of them
+    together unless they share another one.
     """
-    classes = (
-        shared.groupBy("via", "account_id", "customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.bit_xor(F.xxhash64("value")).alias("_x"),
-            F.bit_xor(F.xxhash64(F.lit("second"), "value")).alias("_y"),
-        )
-        .select("via", "account_id", "customer_id", F.concat_ws(":", "_n", "_x", "_y").alias("cls"))
-    )
-    owners = classes.groupBy("via", "cls", "customer_id").agg(F.count(F.lit(1)).alias("n"))
-    within = owners.groupBy("via", "cls").agg(
-        F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("_same")
+    classes = _classes(shared, scope)
+    held = shared.join(classes, [*scope, "account_id"]).select(*scope, "value", "cls").distinct()
+    twice = held.withColumnRenamed("value", "other").join(held, [*scope, "cls"]).filter("value < other")
+    met = pairs(twice, [*scope, "value", "other"], "cls").groupBy(*scope, "cls_a", "cls_b").agg(
+        F.count(F.lit(1)).alias("_met")
     )
-    inside = within.select(
-        "via", F.expr("(size * size - _same) div 2").alias("links")
+    # c values make c (c - 1) / 2 pairs of values
+    values = F.round((1 + F.sqrt(1 + 8 * F.col("_met"))) / 2).cast("bigint")
+    return met.select(*scope, "cls_a", "cls_b", values.alias("values"))
+
+
+def _linked(shared: DataFrame, scope: list[str]) -> DataFrame:
+    """``(via, links)`` whose sum is the number of pairs of accounts, within a scope, with a value
+    in common."""
+    classes = _classes(shared, scope)
+    size = classes.groupBy(*scope, "cls").agg(F.count(F.lit(1)).alias("size"))
+    inside = size.select("via", F.expr("size * (size - 1) div 2").alias("links"))
+    # between classes: each value counts all its pairs of classes, so a pair counts once for each
+    # of its values
+    by_class = shared.join(classes, [*scope, "account_id"]).groupBy(*scope, "value", "cls").agg(
+        F.count(F.lit(1)).alias("n")
     )
-    class_values = (
-        shared.join(classes, ["via", "account_id", "customer_id"])
-        .select("via", "value", "cls")
-        .distinct()
-    )
-    touching = pairs(class_values, ["via", "value"], "cls").select("via", "cls_a", "cls_b").distinct()
-    size = within.select("via", "cls", "size")
-    product = (
-        touching.join(size.toDF("via", "cls_a", "size_a"), ["via", "cls_a"])
-        .join(size.toDF("via", "cls_b", "size_b"), ["via", "cls_b"])
-        .select("via", (F.col("size_a") * F.col("size_b")).alias("links"))
+    between = by_class.groupBy(*scope, "value").agg(
+        F.expr("(sum(n) * sum(n) - sum(n * n)) div 2").alias("links")
     )
-    one_owner = (
-        touching.join(owners.toDF("via", "cls_a", "customer_id", "n_a"), ["via", "cls_a"])
-        .join(owners.toDF("via", "cls_b", "customer_id", "n_b"), ["via", "cls_b", "customer_id"])
-        .select("via", (-F.col("n_a") * F.col("n_b")).alias("links"))
+    again = (
+        repeated_pairs(shared, scope)
+        .join(size.toDF(*scope, "cls_a", "size_a"), [*scope, "cls_a"])
+        .join(size.toDF(*scope, "cls_b", "size_b"), [*scope, "cls_b"])
+        .select("via", ((1 - F.col("values")) * F.col("size_a") * F.col("size_b")).alias("links"))
     )
+    return inside.unionByName(between.select("via", "links")).unionByName(again)
+
+
+def link_counts(shared: DataFrame) -> DataFrame:
+    """Number of linked account pairs per kind of identity, without listing the pairs.
+
+    All pairs with a value in common, less those of one owner, counted the same way within each
+    owner. Pairs are listed only between classes of accounts that share two or more values.
+    """
+    own = _linked(shared, ["via", "customer_id"]).select("via", (-F.col("links")).alias("links"))
     return (
-        inside.unionByName(product)
-        .unionByName(one_owner)
+        _linked(shared, ["via"]).unionByName(own)
         .groupBy("via")
         .agg(F.sum("links").cast("bigint").alias("pairs"))
         .filter("pairs > 0")
     )
 
 
+def value_groups(shared: DataFrame) -> DataFrame:
+    """``(via, value, account_id, customer_id, members, linked)``: each account with the values it
+    shares, the number of accounts that use a value, and how many of them another owner has.
+
+    This is the linear form of the link tables, and the one to build on: summed up, it tells what
+    the pairs tell, and it grows with the accounts instead of with their square.
+    """
+    by_owner = stage(shared.groupBy("via", "value", "customer_id").agg(F.count(F.lit(1)).alias("own")), "own")
+    members = stage(by_owner.groupBy("via", "value").agg(F.sum("own").alias("members")), "members")
+    return (
+        shared.join(members, ["via", "value"]).join(by_owner, ["via", "value", "customer_id"])
+        .select("via", "value", "account_id", "customer_id", "members", (F.col("members") - F.col("own")).alias("linked"))
+    )
+
+
 def _shared_place(session: DataFrame, account: DataFrame, place: str) -> DataFrame:
     """Customer pairs seen on one device or address. Sessions are first summed up per customer
     and place: the number of session pairs is the product of the two counts."""

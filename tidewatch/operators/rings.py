@@ -3,8 +3,10 @@
 "Drop what is contained in something larger" is a set comparison of every path with every
 other one. It becomes an equi-join here: each path spells out the keys of the shorter paths
 it contains (a number bounded by the hop limit), and a path whose key is among them is
-dropped. Without revisits an account is left only once per path, so a contained path is always
-a run of neighbouring transfers; with revisits it may be any subsequence.
+dropped. A contained path is joined up at its accounts, so only choices of transfers are spelled
+out in which each starts where the one before it ended. Without revisits an account is left
+only once per path, so these are the runs of neighbouring transfers; a path that passes an
+account twice may also leave out the loop.
 """
 
 from __future__ import annotations
@@ -25,15 +27,22 @@ def contained_keys(shortest: int, revisit: bool) -> Column:
     """
     hops, txn_ids = F.col("hops"), F.col("txn_ids")
     if revisit:
-        choices = F.sequence(F.lit(1), F.expr("shiftleft(1, hops) - 2"))
-        chosen = F.transform(
+        # transfer i is part of a choice if bit i is set; it goes from place i of the path to i + 1
+        masks = F.sequence(F.lit(1), F.expr("shiftleft(1, hops) - 2"))
+        places = F.sequence(F.lit(0), hops - 1)
+        choices = F.transform(
+            F.filter(masks, lambda mask: F.bit_count(mask) >= shortest),
+            lambda mask: F.filter(places, lambda i: F.getbit(mask, i) == 1),
+        )
+        joined_up = F.filter(
             choices,
-            lambda mask: F.filter(
-                txn_ids, lambda _, i: F.getbit(mask, i) == 1  # transfer i is part of the choice
+            lambda chosen: F.forall(
+                F.sequence(F.lit(1), F.size(chosen) - 1),
+                lambda k: F.get("path", F.get(chosen, k - 1) + 1) == F.get("path", F.get(chosen, k)),
             ),
         )
         return F.transform(
-            F.filter(chosen, lambda ids: F.size(ids) >= shortest), lambda ids: path_key(ids)
+            joined_up, lambda chosen: path_key(F.transform(chosen, lambda i: F.get(txn_ids, i)))
         )
     return F.flatten(
         F.transform(
@@ -58,21 +67,29 @@ def drop_contained(
 
 
 def closing_links(open_walks: DataFrame, shared: DataFrame) -> DataFrame:
-    """For each (origin, end) pair that shares an identity: the first kind, by name."""
-    ends = open_walks.select("origin", "cur").distinct()
-    of_origin = shared.select(
-        F.col("account_id").alias("origin"), F.col("customer_id").alias("_owner"), "via", "value"
-    )
-    of_end = shared.select(
-        F.col("account_id").alias("cur"), F.col("customer_id").alias("_other"), "via", "value"
-    )
-    return (
-        ends.join(of_origin, "origin")
-        .join(of_end, ["cur", "via", "value"])
-        .filter("_owner <> _other")
-        .groupBy("origin", "cur")
-        .agg(F.min("via").alias("via"))
+    """For each (origin, end) pair that shares an identity: the first kind, by name.
+
+    A pair is multiplied by the values of whichever account has fewer, so an account with very
+    many devices costs its partners no more than their own.
+    """
+    held = shared.groupBy("account_id").agg(F.count(F.lit(1)).alias("n"))
+    ends = (
+        open_walks.select("origin", "cur").distinct()
+        .join(held.toDF("origin", "_n_origin"), "origin")
+        .join(held.toDF("cur", "_n_cur"), "cur")
     )
+    found = None
+    for few, many, fewer in (
+        ("origin", "cur", "_n_origin <= _n_cur"), ("cur", "origin", "_n_origin > _n_cur"),
+    ):
+        values = shared.toDF(few, "_owner", "via", "value")
+        others = shared.toDF(many, "_other", "via", "value")
+        part = (
+            ends.filter(fewer).select("origin", "cur").join(values, few)
+            .join(others, [many, "via", "value"]).filter("_owner <> _other").select("origin", "cur", "via")
+        )
+        found = part if found is None else found.unionByName(part)
+    return found.groupBy("origin", "cur").agg(F.min("via").alias("via"))
 
 
 def round_trip_candidates(walks: DataFrame, shared: DataFrame) -> DataFrame:

@@ -93,15 +93,16 @@ def _longer(walks: DataFrame, reach: int, top: int, rule: HopRule) -> DataFrame:
     A path of n hops is taken apart in one way only: a front half and a back half that share
     one transfer, the front as long as the back or one hop longer.
     """
-    whole = walks.filter(F.col("hops") >= (reach + 2) // 2)
+    whole = walks
     if not rule.revisit:
         # a closed path ends there, so it can be neither continued nor the tail of another
         whole = whole.filter("cur <> origin")
-    front = whole.select(
+    # only these lengths make up paths of reach + 1 to top hops, and only they are shuffled
+    front = whole.filter(F.col("hops").between((reach + 3) // 2, (top + 2) // 2)).select(
         F.element_at("txn_ids", -1).alias("_shared"),
         *[F.col(c).alias(f"f_{c}") for c in ("origin", "first_amount", "hops", "path", "txn_ids")],
     )
-    back = whole.select(
+    back = whole.filter(F.col("hops").between((reach + 2) // 2, (top + 1) // 2)).select(
         F.element_at("txn_ids", 1).alias("_shared"),
         *[
             F.col(c).alias(f"b_{c}")
