@@ -7,27 +7,26 @@ trimmed phone or email contact or a device.
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators import rings
 from tidewatch.operators.links import shared_identity
 from tidewatch.operators.walks import HopRule, long_walks
-from tidewatch.staging import stage, together
+from tidewatch.staging import Staged, stage, step, together
 
 GRAPH_RULE = HopRule(revisit=True)
 STRONG_CONTACTS = ("phone", "email")
 
 
-class Graph:
+class Graph(Staged):
     """One graph copy: its tables, and the paths and rings found in it."""
 
     def __init__(self, tables: dict[str, DataFrame]):
+        super().__init__()
         self.tables = tables
 
-    @cached_property
+    @step
     def transfers(self) -> DataFrame:
         edges = self.tables["edge_sent_to"].select(
             "transaction_id",
@@ -38,12 +37,12 @@ class Graph:
         )
         return stage(edges, "graph-edges")
 
-    @cached_property
+    @step
     def paths(self) -> DataFrame:
         """All paths of three to eight hops."""
         return long_walks(self.transfers, GRAPH_RULE).filter("hops >= 3")
 
-    @cached_property
+    @step
     def shared(self) -> DataFrame:
         """Accounts with the contacts and devices that more than one customer uses."""
         owns = self.tables["edge_owns"]
@@ -59,13 +58,13 @@ class Graph:
         )
         return stage(shared_identity(contact.unionByName(device)), "graph-identity")
 
-    @cached_property
+    @step
     def closing(self) -> DataFrame:
         """Paths that end on their origin or on an account that shares an identity with it."""
         together(lambda: self.paths, lambda: self.shared)
         return stage(rings.round_trip_candidates(self.paths, self.shared), "graph-closing")
 
-    @cached_property
+    @step
     def rings(self) -> DataFrame:
         return stage(rings.round_trip(self.closing, self.shared, revisit=True), "graph-rings")
 

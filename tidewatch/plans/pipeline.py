@@ -1,30 +1,57 @@
 """The monitoring run: domain tables in, detections, alerts and evaluation out.
 
 A `Run` holds one set of domain tables and builds each later table on first use. Tables that
-several steps read are staged; single-use ones stay lazy, so Catalyst sees one plan.
+several steps read are staged; single-use ones stay lazy, so Catalyst sees one plan. Results are
+published to a folder once and opened from there for dashboards, which then detect nothing again.
+A closed run leaves no staged folders behind.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.operators import links, mule, rings, structuring, walks
 from tidewatch.plans import alerts, evaluate
 from tidewatch.sources.sample import SampleTables
-from tidewatch.staging import stage, together
+from tidewatch.staging import Staged, noting, stage, step, together
 
 
-class Run:
-    def __init__(self, table: Callable[[str], DataFrame]):
+#: What a run publishes: edges, paths, identities, detections with their lists, alerts, evaluation.
+PUBLISHED = (
+    "edges", "long_walks", "shared", "candidates", "round_trip", "layering", "mule_members", "mule",
+    "mule_lists", "flagged_deposits", "structuring", "structuring_lists", "alerts", "benchmark",
+)
+
+
+class Run(Staged):
+    """``raised_at``, the time that alerts carry, is the clock's unless given."""
+
+    def __init__(self, table: Callable[[str], DataFrame], raised_at: str | None = None):
+        super().__init__()
         self._table = table
         self._tables: dict[str, DataFrame] = {}
+        self._raised_at = raised_at
 
     @classmethod
-    def over_sample(cls, spark: SparkSession, sf_dir: str) -> "Run":
-        return cls(SampleTables(spark, sf_dir))
+    def over_sample(cls, spark: SparkSession, sf_dir: str, raised_at: str | None = None) -> "Run":
+        return cls(SampleTables(spark, sf_dir), raised_at)
+
+    @classmethod
+    def opened(cls, spark: SparkSession, folder: str, table: Callable[[str], DataFrame]) -> "Run":
+        """A run over what another one has published; only domain tables come from ``table``."""
+        run = cls(table)
+        for name in PUBLISHED:
+            run.__dict__[name] = spark.read.parquet(f"{folder}/{name}")
+        return run
+
+    def publish(self, folder: str) -> None:
+        """Write all results to ``folder``, in place of those of an earlier run."""
+        self.detect()
+        for name in PUBLISHED:
+            getattr(self, name).write.mode("overwrite").parquet(f"{folder}/{name}")
 
     def table(self, name: str) -> DataFrame:
         """A domain table: customer, account, device, ip_address, session, transaction, ..."""
@@ -37,22 +64,22 @@ class Run:
     def lazy_edges(self) -> DataFrame:
         return walks.money_edge(self.table("transaction"), self.table("account"))
 
-    @cached_property
+    @step
     def edges(self) -> DataFrame:
         return stage(self.lazy_edges(), "edges")
 
-    @cached_property
+    @step
     def shared(self) -> DataFrame:
         found = links.identity(self.table("account"), self.table("customer"), self.table("session"))
         return stage(links.shared_identity(found), "shared-identity")
 
-    @cached_property
+    @step
     def long_walks(self) -> DataFrame:
         return walks.long_walks(self.edges)
 
     # --- detections ------------------------------------------------------------------
 
-    @cached_property
+    @step
     def candidates(self) -> DataFrame:
         together(lambda: self.long_walks, lambda: self.shared)
         return stage(rings.round_trip_candidates(self.long_walks, self.shared), "candidates")
@@ -60,18 +87,19 @@ class Run:
     def lazy_round_trip(self) -> DataFrame:
         return rings.round_trip(self.candidates, self.shared)
 
-    @cached_property
+    @step
     def round_trip(self) -> DataFrame:
         return stage(self.lazy_round_trip(), "round-trip")
 
     def lazy_layering(self) -> DataFrame:
-        return rings.layering(self.long_walks, self.round_trip)
+        # the transfers of all candidates are those of all rings, as each lies inside some ring
+        return rings.layering(self.long_walks, self.candidates)
 
-    @cached_property
+    @step
     def layering(self) -> DataFrame:
         return stage(self.lazy_layering(), "layering")
 
-    @cached_property
+    @step
     def mule_members(self) -> DataFrame:
         transaction = self.table("transaction")
         found = mule.mule_members(
@@ -79,40 +107,54 @@ class Run:
         )
         return stage(found, "mule-members")
 
-    @cached_property
+    @step
     def mule(self) -> DataFrame:
         return mule.mule_ring(self.mule_members)
 
-    @cached_property
+    @step
+    def mule_lists(self) -> DataFrame:
+        return mule.mule_accounts(self.mule_members, self.mule)
+
+    @step
     def mule_found(self) -> DataFrame:
         return mule.ring_members(self.mule_members, self.mule)
 
-    @cached_property
+    @step
     def flagged_deposits(self) -> DataFrame:
         return stage(structuring.flagged_deposits(self.table("transaction")), "flagged-deposits")
 
-    @cached_property
+    @step
     def structuring(self) -> DataFrame:
         return structuring.structuring_daily(self.flagged_deposits)
 
-    def structuring_rolling(self, **rule) -> DataFrame:
-        inside = structuring.window_deposits(self.table("transaction"), **rule)
-        return structuring.structuring_rolling(stage(inside, "window-deposits"))
+    @step
+    def structuring_lists(self) -> DataFrame:
+        return structuring.deposit_lists(self.flagged_deposits, self.structuring)
+
+    def window_deposits(self, **rule) -> DataFrame:
+        """Deposits of each account's densest window."""
+        with noting(self.folders):
+            return stage(structuring.window_deposits(self.table("transaction"), **rule), "window-deposits")
 
     # --- alerts and evaluation -------------------------------------------------------
 
     def detect(self) -> None:
         """Stage what the detectors find; the money, device and cash sides are independent."""
         together(
-            lambda: self.layering, lambda: self.mule_members, lambda: self.flagged_deposits
+            lambda: self.long_walks, lambda: self.shared, lambda: self.mule_members, lambda: self.flagged_deposits
         )
+        self.candidates  # noqa: B018
+        together(lambda: self.round_trip, lambda: self.layering)
 
-    @cached_property
+    @step
     def alerts(self) -> DataFrame:
         self.detect()
-        return alerts.fraud_alert(self.round_trip, self.layering, self.mule, self.structuring)
+        return alerts.fraud_alert(
+            self.round_trip, self.layering, self.mule, self.structuring,
+            None if self._raised_at is None else F.lit(self._raised_at).cast("timestamp_ntz"),
+        )
 
-    @cached_property
+    @step
     def benchmark(self) -> DataFrame:
         self.detect()
         return evaluate.benchmark(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import labels
 from tidewatch.operators.rings import member_links
-from tidewatch.plans.alerts import v_dash_alert_summary, v_dash_mule, v_dash_rings, with_tier
+from tidewatch.plans.alerts import mule_alerts, v_dash_alert_summary, v_dash_mule, v_dash_rings, with_tier
 
 PATH_ALERTS = ("round_trip", "layering_chain")
 
@@ -31,12 +31,12 @@ def identity_links(link_counts: DataFrame) -> DataFrame:
     return link_counts.orderBy(F.desc("pairs"))
 
 
-def mule_list(alerts: DataFrame) -> DataFrame:
-    return v_dash_mule(alerts).orderBy(F.desc("n_customers"))
+def mule_list(alerts: DataFrame, lists: DataFrame) -> DataFrame:
+    return v_dash_mule(alerts, lists).orderBy(F.desc("n_customers"), "device_id", "part")
 
 
 def mule_size(alerts: DataFrame) -> DataFrame:
-    found = v_dash_mule(alerts)
+    found = mule_alerts(alerts)
     return found.groupBy("n_customers").agg(F.count(F.lit(1)).alias("rings")).orderBy("n_customers")
 
 
@@ -74,7 +74,8 @@ def benchmark_list(benchmark: DataFrame) -> DataFrame:
 
 
 def ring_edges(alerts: DataFrame, edges: DataFrame) -> DataFrame:
-    """The transfers of every ring and chain alert. Filter by alert id for one picture."""
+    """The transfers of every ring and chain alert, in order of time. Filter by alert id for one
+    picture."""
     txn_ids = F.variant_get("trigger_detail", "$.txn_ids", "array<string>")
     parts = alerts.filter(F.col("alert_type").isin(*PATH_ALERTS)).select(
         "alert_id", F.explode(txn_ids).alias("transaction_id")
@@ -82,7 +83,7 @@ def ring_edges(alerts: DataFrame, edges: DataFrame) -> DataFrame:
     return edges.join(parts, "transaction_id").select(
         "alert_id", "src", "dst", "amount", F.date_format("txn_time", "dd MMM HH:mm").alias("ts"),
         "txn_time", "transaction_id",
-    )
+    ).orderBy("alert_id", "txn_time", "transaction_id")
 
 
 def ring_identity_links(alerts: DataFrame, shared: DataFrame) -> DataFrame:
@@ -97,7 +98,7 @@ def ring_identity_links(alerts: DataFrame, shared: DataFrame) -> DataFrame:
 
 def mule_members(alerts: DataFrame, mule_found: DataFrame, account: DataFrame) -> DataFrame:
     """Members of every mule alert with the day their account was opened."""
-    by_device = v_dash_mule(alerts).select("alert_id", "device_id")
+    by_device = mule_alerts(alerts).select("alert_id", "device_id")
     opened = account.select("account_id", F.date_format("open_date", "dd MMM yyyy").alias("opened"))
     return (
         mule_found.join(by_device, "device_id")
@@ -198,9 +199,9 @@ def fp_by_detector(benchmark: DataFrame, alerts: DataFrame) -> DataFrame:
     )
 
 
-def display_labels(alerts: DataFrame) -> DataFrame:
+def display_labels(alerts: DataFrame, types: list[str] | None = None) -> DataFrame:
     """The alert queue as shown: names instead of codes."""
-    return alert_queue(alerts).select(
+    return alert_queue(alerts, types).select(
         "alert_id",
         labels.pattern_name(F.col("alert_type")).alias("type"),
         F.col("fraud_score").cast("int").alias("score"),
@@ -208,4 +209,5 @@ def display_labels(alerts: DataFrame) -> DataFrame:
         labels.closed_by_name(F.col("closed_by")).alias("closed_by"),
         F.col("account_id").alias("account"),
         labels.capitalized(F.col("status")).alias("status"),
+        F.date_format("raised_at", "dd MMM yyyy HH:mm").alias("raised"),
     )
