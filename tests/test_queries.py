@@ -23,7 +23,7 @@ def con():
 
 @pytest.fixture(scope="module")
 def run(spark):
-    return Run.over_sample(spark, SF_DIR)
+    return Run.over_sample(spark, SF_DIR, registry.RAISED_AT)
 
 
 @pytest.fixture(scope="module")

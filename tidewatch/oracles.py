@@ -29,37 +29,51 @@ def _decay(first: str, last: str) -> str:
     return f"(((2000 * ({f} - {l}) + {f}) // (2 * {f})) / 10.0)"
 
 
-def _walk(edge: str, revisit: bool) -> str:
-    rule = "true" if revisit else "w.cur <> w.origin and (e.dst = w.origin or not list_contains(w.path, e.dst))"
+def _follows(edge: str) -> str:
+    """Which transfer may come right after which."""
     return f"""
-    select src as origin, dst as cur, ts as last_time, amt as last_amount, amt as first_amount,
-           1 as hops, [src, dst] as path, [id] as ids
-    from {edge}
+    select e.id, n.id as next_id, n.dst as next_dst
+    from {edge} n inner join {edge} e on e.dst = n.src
+    where n.amt between e.amt * 0.80 and e.amt
+      and n.ts - e.ts between interval 1 microsecond and interval 48 hours"""
+
+
+def _trail(edge: str, follows: str, revisit: bool) -> str:
+    """Lists of transfers that follow one another, grown at the end, with the accounts passed."""
+    allowed = "" if revisit else " and going and not list_contains(path[2:], next_dst)"
+    return f"""
+    select [id] as ids, [src, dst] as path, src <> dst as going from {edge}
     union all
-    select w.origin, e.dst, e.ts, e.amt, w.first_amount, w.hops + 1,
-           list_append(w.path, e.dst), list_append(w.ids, e.id)
-    from @SELF w join {edge} e on e.src = w.cur
-    where e.ts > w.last_time and e.ts <= w.last_time + interval 48 hour
-      and e.amt >= w.last_amount * 0.80 and e.amt <= w.last_amount
-      and w.hops < 8 and {rule}"""
+    select ids || [next_id], path || [next_dst], next_dst <> path[1]
+    from @SELF, {follows} where {follows}.id = ids[-1] and len(ids) <= 7{allowed}"""
+
+
+def _walk(edge: str, trail: str) -> str:
+    return f"""
+    select path[1] as origin, path[-1] as cur, z.ts as last_time, z.amt as last_amount,
+           a.amt as first_amount, len(ids) as hops, path, ids
+    from {trail}, {edge} a, {edge} z where a.id = ids[1] and z.id = ids[-1]"""
 
 
-def _rolling(least_deposits: int) -> str:
+def _windows(least_deposits: int) -> str:
+    """Each account's ten days that end at a deposit and hold most deposits, as a list of them."""
     return f"""
-    select * from (
-      select a.account_id, a.txn_time as window_end, count(*) as n_deposits,
-             count(distinct b.branch_code) as n_branches, sum(b.amount) as total_amount,
-             max(b.amount) as max_single, cast(min(b.txn_time) as date) as first_day,
-             cast(max(b.txn_time) as date) as last_day,
-             string_agg(distinct b.branch_code, ',' order by b.branch_code) as branches,
-             string_agg(b.transaction_id, ',' order by b.txn_time, b.transaction_id) as txn_ids
-      from (select distinct account_id, txn_time from small_deposits) a
-      join small_deposits b on b.account_id = a.account_id and b.txn_time <= a.txn_time
-                           and b.txn_time > a.txn_time - interval 10 day
-      group by a.account_id, a.txn_time
-      having count(*) >= {least_deposits} and count(distinct b.branch_code) >= 2) w
-    qualify row_number() over (partition by account_id
-                               order by n_deposits desc, total_amount desc, window_end) = 1"""
+    select account_id, arg_min(ds, (-len(ds), -list_sum([d.amount for d in ds]), window_end)) as ds
+    from (select account_id, txn_time as window_end, list(deposit) over ten_days as ds from small_deposits
+          window ten_days as (partition by account_id order by txn_time
+                              range between interval '9 days 23:59:59.999999' preceding and current row))
+    where len(ds) >= {least_deposits} and len(list_distinct([d.branch for d in ds])) > 1
+    group by account_id"""
+
+
+def _rolling(windows: str) -> str:
+    return f"""
+    select account_id, len(ds) as n_deposits, len(list_distinct([d.branch for d in ds])) as n_branches,
+           list_sum([d.amount for d in ds]) as total_amount, list_max([d.amount for d in ds]) as max_single,
+           list_min([d.at for d in ds])::date as first_day, list_max([d.at for d in ds])::date as last_day,
+           array_to_string(list_sort(list_distinct([d.branch for d in ds])), ',') as branches,
+           array_to_string([d.id for d in list_sort(ds)], ',') as txn_ids
+    from {windows}"""
 
 
 _CONTACTS = "(values ('phone'), ('email'), ('address'))"
@@ -67,90 +81,95 @@ _CONTACTS = "(values ('phone'), ('email'), ('address'))"
 WITH = {
     **{f"x_{name}": text.format(**{t: t for t in BASE_TABLES}) for name, text in VIEWS.items()},
     "p1_edge": """
-    select t.transaction_id as id, t.account_id as src, t.counterparty_account_id as dst,
-           t.amount as amt, t.txn_time as ts
-    from x_transaction t join x_account s on s.account_id = t.account_id
-                         join x_account d on d.account_id = t.counterparty_account_id
-    where t.txn_type = 'transfer' and t.status = 'completed' and s.customer_id <> d.customer_id""",
+    select transaction_id as id, account_id as src, counterparty_account_id as dst, amount as amt, txn_time as ts
+    from x_transaction tr
+    where (txn_type, status) = ('transfer', 'completed')
+      and (select max(customer_id) from x_account where x_account.account_id = tr.account_id)
+          <> (select max(customer_id) from x_account where x_account.account_id = tr.counterparty_account_id)""",
     "holder": """
-    select a.account_id as acc, a.customer_id as cust, 'phone' as via, c.phone as val
-    from x_account a join x_customer c using (customer_id) where c.phone is not null
-    union all
-    select a.account_id, a.customer_id, 'email', c.email
-    from x_account a join x_customer c using (customer_id) where c.email is not null
-    union all
-    select distinct a.account_id, a.customer_id, 'device', s.device_id
-    from x_session s join x_account a using (account_id) where s.device_id is not null""",
+    select account_id as acc, customer_id as cust, via, val
+    from x_account natural join
+         (select * from (unpivot (select customer_id, phone, email from x_customer) on phone, email
+                         into name via value val))
+    union
+    select account_id, customer_id, 'device', device_id
+    from (select account_id, device_id from x_session where device_id is not null) natural join x_account""",
     "link": """
-    select distinct p.acc as a, q.acc as b, p.via
-    from holder p join holder q on p.via = q.via and p.val = q.val and p.cust <> q.cust""",
-    "walk": _walk("p1_edge", False).replace("@SELF", "walk"),
+    select distinct p.acc as a, q.acc as b, via
+    from (select via, list({'acc': acc, 'cust': cust}) as users from holder group by via, val) g,
+         unnest(g.users) as t(p), unnest(g.users) as u(q)
+    where p.cust <> q.cust""",
+    "follows": _follows("p1_edge"),
+    "trail": _trail("p1_edge", "follows", False).replace("@SELF", "trail"),
+    "walk": _walk("p1_edge", "trail"),
+    "closer": "select a, b, min(via) as via from link group by all",
     "candidate": """
-    select w.*, case when w.cur = w.origin then 'same_account' else 'linked_' || l.via end as closed_by
-    from walk w left join (select a, b, min(via) as via from link group by a, b) l
-                       on l.a = w.origin and l.b = w.cur
-    where w.hops >= 3 and (w.cur = w.origin or l.a is not null)""",
+    select walk.*, if(cur = origin, 'same_account', 'linked_' || via) as closed_by
+    from walk left join closer on (a, b) = (origin, cur)
+    where hops > 2 and (cur = origin or via is not null)""",
     "maximal": """
-    select * from candidate c
-    where not exists (select 1 from candidate b
-                      where len(b.ids) > len(c.ids) and list_has_all(b.ids, c.ids))""",
+    select small.* from candidate small
+    anti join candidate large on len(large.ids) > len(small.ids) and list_has_all(large.ids, small.ids)""",
+    "ring_links": """
+    select ids, count(*) as shared_pairs, string_agg(distinct via, ',' order by via) as shared_via
+    from maximal join link on list_has_all(path, [a, b]) group by ids""",
     "ring": f"""
-    select m.*, (select count(*) from link l where list_contains(m.path, l.a) and list_contains(m.path, l.b))
-               as shared_pairs,
-           (select coalesce(string_agg(distinct l.via, ',' order by l.via), '') from link l
-            where list_contains(m.path, l.a) and list_contains(m.path, l.b)) as shared_via,
-           {_decay('m.first_amount', 'm.last_amount')} as decay_pct,
-           array_to_string(m.ids, ',') as path_key
-    from maximal m""",
+    select maximal.*, coalesce(shared_pairs, 0) as shared_pairs, coalesce(shared_via, '') as shared_via,
+           {_decay('first_amount', 'last_amount')} as decay_pct, array_to_string(maximal.ids, ',') as path_key
+    from maximal left join ring_links on ring_links.ids = maximal.ids""",
     "tiered": """
-    select *, case when closed_by <> 'same_account' or shared_pairs > 0 then 'high' else 'medium' end as tier
-    from ring""",
+    select *, if(closed_by = 'same_account' and shared_pairs = 0, 'medium', 'high') as tier from ring""",
+    "long_walk": "select * from walk where hops >= 4",
     "chain": f"""
-    select w.*, {_decay('w.first_amount', 'w.last_amount')} as decay_pct,
-           array_to_string(w.ids, ',') as path_key
-    from (select * from walk where hops >= 4 and cur <> origin) w
-    where not exists (select 1 from walk b where b.hops >= 4 and b.hops > w.hops
-                                             and list_has_all(b.ids, w.ids))
-      and not exists (select 1 from maximal r where list_has_any(r.ids, w.ids))""",
+    select w.*, {_decay('w.first_amount', 'w.last_amount')} as decay_pct, array_to_string(w.ids, ',') as path_key
+    from long_walk w
+    anti join long_walk more on more.hops > w.hops and list_has_all(more.ids, w.ids)
+    anti join maximal r on list_has_any(r.ids, w.ids)
+    where w.cur <> w.origin""",
     "passing": """
-    select distinct i.counterparty_account_id as account_id
-    from x_transaction i join x_transaction o on o.account_id = i.counterparty_account_id
-    where i.status = 'completed' and o.status = 'completed' and i.amount >= 1000
-      and o.txn_time > i.txn_time and o.txn_time <= i.txn_time + interval 24 hour
-      and o.amount >= 0.90 * i.amount and o.amount <= i.amount""",
+    select distinct came.account_id
+    from (select counterparty_account_id as account_id, txn_time as at, amount as got
+          from x_transaction where status = 'completed' and amount >= 1000) came
+    semi join (select account_id, txn_time as at, amount as paid from x_transaction where status = 'completed') went
+         on went.account_id = came.account_id and went.paid between 0.90 * came.got and came.got
+            and went.at - came.at between interval 1 microsecond and interval 24 hours""",
     "member": """
-    select distinct s.device_id, a.account_id, a.customer_id
-    from x_session s join x_account a using (account_id) join passing p using (account_id)
-    where a.open_date >= (select cast(min(txn_time) as date) - 150 from x_transaction)""",
+    select device_id, account_id, customer_id
+    from x_account natural join (select distinct device_id, account_id from x_session)
+    where account_id in (from passing) and open_date + 150 >= (select min(txn_time)::date from x_transaction)""",
     "mules": """
-    select device_id, count(distinct customer_id) as n_customers, count(distinct account_id) as n_accounts,
-           min(account_id) as first_account,
-           string_agg(distinct account_id, ',' order by account_id) as accounts
-    from member group by device_id having count(distinct customer_id) >= 3""",
-    "mule_accounts": """
-    select device_id, account_id, customer_id from member join mules using (device_id)""",
+    select device_id, len(list_distinct(owners)) as n_customers, len(users) as n_accounts, users[1] as first_account,
+           array_to_string(users, ',') as accounts
+    from (select device_id, list(customer_id) as owners, list(account_id order by account_id) as users
+          from member group by device_id)
+    where len(list_distinct(owners)) > 2""",
+    "mule_accounts": "select device_id, account_id, customer_id from member where device_id in (select device_id from mules)",
+    "band": """
+    select counterparty_account_id as account_id, txn_time::date as day,
+           {'at': txn_time, 'id': transaction_id, 'amount': amount, 'branch': branch_code} as deposit
+    from x_transaction
+    where (txn_type, status) = ('cash_deposit', 'completed') and amount >= 7000 and amount < 10000""",
     "flagged": """
-    select * from (
-      select transaction_id, counterparty_account_id as account_id, cast(txn_time as date) as day,
-             txn_time, amount, branch_code,
-             count(*) over d as day_n, sum(amount) over d as day_sum
-      from x_transaction
-      where txn_type = 'cash_deposit' and status = 'completed' and amount between 7000 and 9999.99
-      window d as (partition by counterparty_account_id, cast(txn_time as date))) t
-    where day_n >= 2 and day_sum >= 10000""",
+    select account_id, list_sort(flatten(list(ds))) as ds, count(*) as n_days
+    from (select account_id, day, list(deposit) as ds from band where account_id is not null group by all)
+    where len(ds) > 1 and list_sum([d.amount for d in ds]) >= 10000
+    group by account_id""",
     "daily": """
-    select account_id, count(distinct day) as n_days, count(*) as n_deposits, sum(amount) as total_amount,
-           count(distinct branch_code) as n_branches, min(day) as first_day, max(day) as last_day,
-           arg_min(transaction_id, (txn_time, transaction_id)) as first_txn,
-           string_agg(transaction_id, ',' order by txn_time, transaction_id) as txn_ids
-    from flagged group by account_id""",
+    select account_id, n_days, len(ds) as n_deposits, list_sum([d.amount for d in ds]) as total_amount,
+           len(list_distinct([d.branch for d in ds])) as n_branches, ds[1].at::date as first_day,
+           ds[-1].at::date as last_day, ds[1].id as first_txn, array_to_string([d.id for d in ds], ',') as txn_ids,
+           array_to_string(list_sort(list_distinct([d.branch for d in ds])), ',') as branches
+    from flagged""",
     "small_deposits": """
-    select transaction_id, counterparty_account_id as account_id, txn_time, amount, branch_code
+    select counterparty_account_id as account_id, txn_time,
+           {'at': txn_time, 'id': transaction_id, 'amount': amount, 'branch': branch_code} as deposit
     from x_transaction
-    where txn_type = 'cash_deposit' and status = 'completed' and amount < 10000
-      and counterparty_account_id is not null and branch_code is not null""",
-    "rolling": _rolling(5),
-    "rolling_3": _rolling(3),
+    where (txn_type, status) = ('cash_deposit', 'completed') and amount < 10000
+      and coalesce(counterparty_account_id || branch_code, '') <> ''""",
+    "windows_5": _windows(5),
+    "windows_3": _windows(3),
+    "rolling": _rolling("windows_5"),
+    "rolling_3": _rolling("windows_3"),
     "found": """
     select origin as account_id, ids[1] as transaction_id, 'round_trip' as alert_type,
            case when tier = 'high' then 90 else 60 end as fraud_score, tier, closed_by, hops,
@@ -171,57 +190,45 @@ WITH = {
                as alert_id, f.*
     from (select *, row_number() over (order by alert_type, account_id, transaction_id nulls last, k) as n
           from found) f""",
-    "det_txn": """
-    select 'R:' || path_key as det_id, tier, unnest(ids) as transaction_id from tiered
-    union all
-    select 'L:' || path_key, 'medium', unnest(ids) from chain""",
-    "path_label": """
-    select * from x_ground_truth
-    where starts_with(pattern_label, 'round_trip') or pattern_label = 'layering_chain'""",
-    "mule_label": """
-    select distinct g.chain_id, t.counterparty_account_id as account_id
-    from x_ground_truth g join x_transaction t using (transaction_id)
-    where g.pattern_label = 'mule_network' and g.hop_index = 0""",
-    "structuring_label": """
-    select distinct g.chain_id, t.counterparty_account_id as account_id
-    from x_ground_truth g join x_transaction t using (transaction_id)
-    where g.pattern_label = 'structuring'""",
+    "detection": """
+    select 'R:' || path_key as det_id, tier, ids from tiered
+    union all by name select 'L:' || path_key as det_id, 'medium' as tier, ids from chain""",
+    "det_txn": "select det_id, tier, unnest(ids) as transaction_id from detection",
+    "path_label": "select * from x_ground_truth where regexp_matches(pattern_label, '^(round_trip.*|layering_chain)$')",
+    "labelled_account": """
+    select pattern_label, chain_id, hop_index, counterparty_account_id as account_id
+    from x_transaction natural join x_ground_truth where pattern_label in ('mule_network', 'structuring')""",
+    "mule_label": "select distinct chain_id, account_id from labelled_account where pattern_label[1] = 'm' and hop_index = 0",
+    "structuring_label": "select distinct chain_id, account_id from labelled_account where pattern_label[1] = 's'",
+    "hits": "select chain_id, det_id, tier, count(*) as hit_txn from path_label natural join det_txn group by all",
     "best": """
-    select chain_id, hit_txn, tier, det_id from (
-      select g.chain_id, d.det_id, d.tier, count(*) as hit_txn
-      from path_label g join det_txn d using (transaction_id) group by all) h
-    qualify row_number() over (partition by chain_id order by hit_txn desc, tier, det_id) = 1""",
+    select chain_id, unnest(arg_min({'hit_txn': hit_txn, 'tier': tier, 'det_id': det_id}, (-hit_txn, tier, det_id)))
+    from hits group by chain_id""",
     "recall": """
-    select g.pattern_label, g.chain_id, count(*) as n_txn, coalesce(max(b.hit_txn), 0) as hit_txn,
-           max(b.tier) as tier
-    from path_label g left join best b using (chain_id) group by 1, 2
+    select pattern_label, chain_id, n_txn, ifnull(hit_txn, 0) as hit_txn, tier
+    from (select pattern_label, chain_id, count(*) as n_txn from path_label group by all) left join best using (chain_id)
     union all
-    select 'mule_network', l.chain_id, count(*), count(m.account_id), null
-    from mule_label l left join mule_accounts m on m.account_id = l.account_id group by 2
+    select 'mule_network', chain_id, sum(greatest(seen, 1)), sum(seen), null
+    from (select chain_id, (select count(*) from mule_accounts m where m.account_id = x.account_id) as seen
+          from mule_label x) group by chain_id
     union all
-    select 'structuring', l.chain_id, 1, max(case when d.account_id is null then 0 else 1 end), null
-    from structuring_label l left join daily d on d.account_id = l.account_id group by 2""",
+    select 'structuring', chain_id, 1, max(if(account_id in (select account_id from daily), 1, 0)), null
+    from structuring_label group by chain_id""",
     "by_pattern": """
-    select pattern_label, count(*) as chains, count(*) filter (hit_txn = n_txn) as found_full,
-           count(*) filter (hit_txn > 0 and hit_txn < n_txn) as found_partial,
-           count(*) filter (hit_txn = 0) as missed,
-           coalesce(string_agg(distinct tier, ',' order by tier), '') as tiers
-    from recall group by 1""",
+    select pattern_label, count(*) as chains, count_if(hit_txn = n_txn) as found_full,
+           count_if(hit_txn between 1 and n_txn - 1) as found_partial, count_if(hit_txn = 0) as missed,
+           array_to_string(list_sort(list_distinct(list(tier))), ',') as tiers
+    from recall group by pattern_label""",
+    "right_txn": "select transaction_id from x_ground_truth where pattern_label <> 'normal'",
+    "right_det": "select distinct det_id[1] as kind, det_id from det_txn where transaction_id in (from right_txn)",
+    "right_device": "select distinct device_id from mule_accounts where account_id in (select account_id from mule_label)",
     "fp": """
-    select 'round_trip (detector)' as pattern_label, count(*) as false_positives from tiered r
-    where not exists (select 1 from x_ground_truth g
-                      where g.pattern_label <> 'normal' and list_contains(r.ids, g.transaction_id))
-    union all
-    select 'layering (detector)', count(*) from chain r
-    where not exists (select 1 from x_ground_truth g
-                      where g.pattern_label <> 'normal' and list_contains(r.ids, g.transaction_id))
-    union all
-    select 'mule (detector)', count(*) from mules m
-    where not exists (select 1 from mule_accounts a join mule_label l using (account_id)
-                      where a.device_id = m.device_id)
-    union all
-    select 'structuring (detector)', count(*) from daily d
-    where d.account_id not in (select account_id from structuring_label where account_id is not null)""",
+    select * from (values
+      ('round_trip (detector)', (select count(*) from tiered) - (select count(*) from right_det where kind = 'R')),
+      ('layering (detector)', (select count(*) from chain) - (select count(*) from right_det where kind = 'L')),
+      ('mule (detector)', (select count(*) from mules) - (select count(*) from right_device)),
+      ('structuring (detector)', (select count(*) from daily anti join structuring_label using (account_id)))
+    ) f(pattern_label, false_positives)""",
     "bench": """
     select pattern_label, chains, found_full, found_partial, missed, tiers,
            cast(null as bigint) as false_positives
@@ -240,7 +247,9 @@ WITH = {
     from x_transaction t left join x_session s using (session_id)
     where t.txn_type = 'transfer' and t.status = 'completed'
       and t.account_id is not null and t.counterparty_account_id is not null""",
-    "g_walk": _walk("sent", True).replace("@SELF", "g_walk"),
+    "g_follows": _follows("sent"),
+    "g_trail": _trail("sent", "g_follows", True).replace("@SELF", "g_trail"),
+    "g_walk": _walk("sent", "g_trail"),
     "g_path": """
     select *, array_to_string(ids, ',') as path_key from g_walk where hops >= 3""",
     "g_holder": """
@@ -277,7 +286,7 @@ WITH = {
     select u.* from g_users u
     where device_id in (select device_id from g_users group by 1 having count(distinct customer_id) >= 3)""",
 }
-_RECURSIVE = {"walk", "g_walk"}
+_RECURSIVE = {"trail", "g_trail"}
 _ORDER = list(WITH)
 
 
@@ -347,23 +356,27 @@ _DAILY = """cast(n_days as bigint) as n_days, cast(n_deposits as bigint) as n_de
 _ROLLING = """account_id, n_deposits, n_branches, cast(total_amount as double) as total_amount,
     cast(max_single as double) as max_single, cast(first_day as varchar) as first_day,
     cast(last_day as varchar) as last_day, cast(last_day - first_day + 1 as bigint) as n_days, branches,
-    txn_ids, case when n_branches >= 3 then 'high' else 'medium' end as tier"""
+    txn_ids, if(n_branches >= 3, 'high', 'medium') as tier, 0::bigint as part, 1::bigint as parts"""
+#: The sample's lists are short.
+_ONE_PART = "0::bigint as part, 1::bigint as parts"
 _BENCH = """pattern_label, cast(chains as bigint) as chains, cast(found_full as bigint) as found_full,
     cast(found_partial as bigint) as found_partial, cast(missed as bigint) as missed, tiers"""
 
 
 def _shared_place(place: str, where: str = "true") -> str:
+    """Pairs of sessions of different customers at one place, summed up by pair of customers."""
     return f"""
-    select a1.customer_id as customer_a, a2.customer_id as customer_b, s1.{place}, count(*) as session_count,
-           {_time('min(least(s1.session_time, s2.session_time))')} as first_seen,
-           {_time('max(greatest(s1.session_time, s2.session_time))')} as last_seen
-    from x_session s1 join x_session s2 on s1.{place} = s2.{place} and s1.session_id <> s2.session_id
-    join x_account a1 on a1.account_id = s1.account_id join x_account a2 on a2.account_id = s2.account_id
-    where a1.customer_id < a2.customer_id and {where}
-    group by 1, 2, 3"""
+    select p.who as customer_a, q.who as customer_b, {place}, count(*) as session_count,
+           {_time('min(least(p.at, q.at))')} as first_seen, {_time('max(greatest(p.at, q.at))')} as last_seen
+    from (select {place}, list({{'who': customer_id, 'at': session_time}}) as visits
+          from x_session natural join (select account_id, customer_id from x_account)
+          where {place} is not null and {where} group by {place}) place,
+         unnest(place.visits) as t(p), unnest(place.visits) as u(q)
+    where p.who < q.who group by all"""
 
 
-_OPEN_IP = "s1.ip_id in (select ip_id from x_ip_address where coalesce(is_vpn, false) = false)"
+_RAISED = "'2024-07-01 09:30:00.000000'"
+_OPEN_IP = "ip_id in (select ip_id from x_ip_address where is_vpn is not true)"
 _CASH = "coalesce(channel in ('branch', 'atm'), false)"
 
 
@@ -448,10 +461,26 @@ def _selects() -> dict[str, str]:
         "raw_sample": "select min(customer_id) as customer_id, "
             f"'{','.join(sorted(FIELDS['customer']))}' as keys from x_customer",
         **{f"curate_{n}": _curated(n) for n in entity_tables},
-        "reset_curated": _counts({"ACCOUNT": "x_account", "TRANSACTION": "x_transaction"}),
+        "reset_curated": _counts({n.upper(): f"x_{n}" for n in FILES}),
+        "published_run": _counts({
+            "EDGES": "p1_edge", "LONG_WALKS": "(select * from walk where hops > 1)", "CANDIDATES": "candidate",
+            "SHARED": "(select distinct acc, via, val from holder where (via, val) in"
+                      " (select (via, val) from holder group by via, val having count(distinct cust) > 1))",
+            "ROUND_TRIP": "tiered", "LAYERING": "chain", "MULE_MEMBERS": "member", "MULE": "mules",
+            "MULE_LISTS": "mules", "STRUCTURING": "daily", "STRUCTURING_LISTS": "daily",
+            "FLAGGED_DEPOSITS": "(select unnest(ds) from flagged)", "ALERTS": "found", "BENCHMARK": "bench"}),
         **_GRAPH_TABLES,
         "graph_csv_sink": _counts({n: f"({t}) t" for n, t in _GRAPH_TABLES.items()}),
-        "graph_csv_source": f"""select id as transaction_id, src as src_account_id, dst as dst_account_id,
+        "graph_csv_source": " union all ".join([
+            "select 'edge_owns' as edge, customer_id as start_key, account_id as end_key from x_account"
+            " where customer_id in (select customer_id from x_customer)",
+            "select 'edge_sent_to', src, dst from sent where len(list_intersect([src, dst],"
+            " (select list(account_id) from x_account))) = len(list_distinct([src, dst]))",
+            *[f"select distinct 'edge_used_{k}', account_id, {k}_id from x_session where {k}_id is not null"
+              " and account_id in (select account_id from x_account)"
+              f" and {k}_id in (select {k}_id from x_{v})" for k, v in (("device", "device"), ("ip", "ip_address"))],
+            "select 'edge_has_contact', customer_id, contact_key from contact_key"]),
+        "graph_csv_transfers": f"""select id as transaction_id, src as src_account_id, dst as dst_account_id,
             cast(amt as double) as amount, {_time('ts')} as txn_time, channel, device_id, ip_id from sent
             where src in (select account_id from x_account) and dst in (select account_id from x_account)""",
         "graph_duplicate_nodes": " union all ".join(
@@ -517,6 +546,11 @@ def _selects() -> dict[str, str]:
         "money_edge": f"""select id as transaction_id, src, dst, cast(amt as double) as amount,
             {_time('ts')} as txn_time from p1_edge""",
         "acc_link": "select a, b, via from link",
+        "identity_groups": """select via, val as value, acc as account_id, cust as customer_id, members,
+            members - (select count(*) from holder k where (k.via, k.val, k.cust) = (h.via, h.val, h.cust)) as linked
+            from (select *, count(*) over (partition by via, val) as members,
+                         min(cust) over (partition by via, val) <> max(cust) over (partition by via, val) as shared
+                  from holder) h where shared""",
         "money_walk": f"select {_WALK_COLUMNS} from walk",
         "round_trip_candidates": f"select {_WALK_COLUMNS}, closed_by from candidate",
         "maximal_rings": f"select {_WALK_COLUMNS}, closed_by from maximal",
@@ -528,8 +562,10 @@ def _selects() -> dict[str, str]:
             array_to_string(path, ',') as path, array_to_string(ids, ',') as txn_ids, {_AMOUNTS}, decay_pct,
             'medium' as tier from chain""",
         "pass_through": "select account_id from passing",
-        "mule_ring": "select device_id, n_customers, n_accounts, first_account, accounts, 'medium' as tier from mules",
-        "structuring_daily": f"select account_id, {_DAILY}, first_txn, txn_ids, 'medium' as tier from daily",
+        "mule_ring": f"""select device_id, n_customers, n_accounts, first_account, accounts,
+            'medium' as tier, {_ONE_PART} from mules""",
+        "structuring_daily": f"""select account_id, {_DAILY}, first_txn, txn_ids, branches, 'medium' as tier, {_ONE_PART}
+            from daily""",
         "structuring_rolling": f"select {_ROLLING} from rolling",
         "structuring_rolling_3": f"select {_ROLLING} from rolling_3",
         "structuring_summary": """select case when n_branches >= 3 then 'high' else 'medium' end as tier,
@@ -556,9 +592,9 @@ def _selects() -> dict[str, str]:
             array_to_string(ids, ',') as txn_ids, {_AMOUNTS}, decay_pct from chain""",
         "alert_mule": """select first_account as account_id, cast(null as varchar) as transaction_id,
             'mule_network' as alert_type, 60.0::double as fraud_score, 'medium' as tier, device_id,
-            n_customers, accounts from mules""",
+            n_customers, n_accounts from mules""",
         "alert_structuring": f"""select account_id, first_txn as transaction_id, 'structuring' as alert_type,
-            60.0::double as fraud_score, 'medium' as tier, {_DAILY}, txn_ids from daily""",
+            60.0::double as fraud_score, 'medium' as tier, {_DAILY} from daily""",
         "v_dash_rings": f"""select * from (
             select a.alert_id, t.tier, t.closed_by, cast(t.hops as bigint) as hops,
                    array_to_string(t.path, ' -> ') as path, {_AMOUNTS.replace('(', '(t.')}, t.decay_pct
@@ -567,7 +603,7 @@ def _selects() -> dict[str, str]:
             select a.alert_id, 'medium', null, cast(t.hops as bigint), array_to_string(t.path, ' -> '),
                    cast(t.first_amount as double), cast(t.last_amount as double), t.decay_pct
             from alert a join chain t on t.path_key = a.k where a.alert_type = 'layering_chain') v""",
-        "v_dash_mule": """select a.alert_id, m.device_id, m.n_customers, replace(m.accounts, ',', ', ') as accounts
+        "v_dash_mule": f"""select a.alert_id, m.device_id, m.n_customers, replace(m.accounts, ',', ', ') as accounts, {_ONE_PART}
             from alert a join mules m on m.device_id = a.k where a.alert_type = 'mule_network'""",
         "v_dash_alert_summary": "select alert_type, tier, count(*) as alerts from found group by 1, 2",
         # dashboards
@@ -580,8 +616,10 @@ def _selects() -> dict[str, str]:
         "dash_mule_size": "select n_customers, count(*) as rings from mules group by 1",
         "dash_open_alerts": "select count(*) as open_alerts from found",
         "dash_alerts_by_type": "select alert_type, tier, count(*) as alerts from found group by 1, 2",
-        "dash_alert_queue": """select alert_id, alert_type, cast(fraud_score as double) as fraud_score, account_id,
-            tier, closed_by, 'open' as status from alert""",
+        "dash_alert_queue": f"""select alert_id, alert_type, cast(fraud_score as double) as fraud_score, account_id,
+            tier, closed_by, 'open' as status, {_RAISED} as raised_at from alert""",
+        "dash_alert_queue_by_type": f"""select alert_id, alert_type, 60.0::double as fraud_score, account_id, tier, closed_by,
+            'open' as status, {_RAISED} as raised_at from alert where alert_type in ('mule_network', 'structuring')""",
         "dash_benchmark": f"select {_BENCH}, cast(false_positives as bigint) as false_positives from bench",
         "dash_structuring": f"select account_id, {_DAILY} from daily",
         "ring_edges": f"""select a.alert_id, e.src, e.dst, cast(e.amt as double) as amount,
@@ -624,7 +662,7 @@ def _selects() -> dict[str, str]:
         "display_labels": f"""select alert_id, {_names(labels.PATTERNS, 'alert_type')} as type,
             cast(fraud_score as bigint) as score, {_title('tier')} as tier,
             coalesce({_names(labels.CLOSED_BY, 'closed_by')}, '—') as closed_by, account_id as account,
-            'Open' as status from alert""",
+            'Open' as status, '01 Jul 2024 09:30' as raised from alert""",
         # evaluation
         "detection_txns": "select det_id, tier, transaction_id from det_txn",
         "mule_ground_truth": "select chain_id, account_id from mule_label",

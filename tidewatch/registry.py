@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tidewatch.functions.columns import microsecond_text
 from tidewatch.operators import links, mule, nearest, rings, structuring, walks
 from tidewatch.plans import alerts, evaluate, governance, graph_tables, patterns, quality, serving
-from tidewatch.plans.pipeline import Run
+from tidewatch.plans.pipeline import PUBLISHED, Run
 from tidewatch.sources import landing
 from tidewatch.staging import new_folder
 
@@ -40,8 +40,12 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*[plain(f) for f in df.schema.fields])
 
 
+#: When the alerts of the sample were raised, so that the time can be checked.
+RAISED_AT = "2024-07-01 09:30:00"
+
+
 def _over_run(build: Callable[[Run], DataFrame]) -> Query:
-    return lambda spark, sf_dir: flat(build(Run.over_sample(spark, sf_dir)))
+    return lambda spark, sf_dir: flat(build(Run.over_sample(spark, sf_dir, RAISED_AT)))
 
 
 def _over_graph(build: Callable[[patterns.Graph], DataFrame]) -> Query:
@@ -123,11 +127,11 @@ def _curate(name: str) -> Query:
 
 
 def reset_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the curated account and transaction tables twice; the second run replaces the first."""
+    """Write all curated tables twice; the second run replaces the first."""
     folder = new_folder(spark, "curated")
     counts = {}
     for _ in range(2):
-        _, raw = _landed(spark, sf_dir, ["account", "transaction"])
+        _, raw = _landed(spark, sf_dir, list(landing.FILES))
         for name, df in raw.items():
             landing.write_curated(landing.curate(df, name), folder, name)
             counts[name.upper()] = spark.read.parquet(f"{folder}/{name}")
@@ -146,8 +150,24 @@ def money_walk(run: Run) -> DataFrame:
     return walks.single_hops(run.edges).unionByName(run.long_walks)
 
 
+def structuring_rolling(run: Run, **rule) -> DataFrame:
+    """Each account's densest window with its lists, one row for each part of them."""
+    inside = run.window_deposits(**rule)
+    totals = structuring.structuring_rolling(inside)
+    return totals.join(structuring.deposit_lists(inside, totals), "account_id")
+
+
 def structuring_summary(run: Run) -> DataFrame:
-    return structuring.structuring_summary(run.structuring_rolling(min_deposits=3))
+    return structuring.structuring_summary(structuring.structuring_rolling(run.window_deposits(min_deposits=3)))
+
+
+def published_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each table that a run has published."""
+    folder = new_folder(spark, "published")
+    with Run.over_sample(spark, sf_dir) as run:
+        run.publish(folder)
+    opened = Run.opened(spark, folder, run.table)
+    return landing.row_counts({name.upper(): getattr(opened, name) for name in PUBLISHED})
 
 
 def detection_counts(run: Run) -> DataFrame:
@@ -245,6 +265,18 @@ def graph_csv_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def graph_csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges of all edge tables whose two ends exist, read from CSV."""
+    tables, found = _csv_copy(spark, sf_dir), None
+    for name, ends in graph_tables.EDGE_ENDS.items():
+        (start, _), (end, _) = ends
+        part = graph_tables.attached_edges(tables, name).select(
+            F.lit(name).alias("edge"), F.col(start).alias("start_key"), F.col(end).alias("end_key")
+        )
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def graph_csv_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The typed transfers whose two ends exist, read from CSV."""
     return flat(graph_tables.attached_edges(_csv_copy(spark, sf_dir), "edge_sent_to"))
 
@@ -280,6 +312,7 @@ RUN_QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     # detectors
     "money_edge": lambda r: r.lazy_edges(),
     "acc_link": lambda r: links.acc_link(r.shared),
+    "identity_groups": lambda r: links.value_groups(r.shared),
     "money_walk": money_walk,
     "round_trip_candidates": lambda r: rings.round_trip_candidates(r.long_walks, r.shared),
     "maximal_rings": lambda r: rings.maximal_rings(r.candidates),
@@ -289,10 +322,10 @@ RUN_QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "round_trip": lambda r: r.lazy_round_trip(),
     "layering": lambda r: r.lazy_layering(),
     "pass_through": lambda r: mule.pass_through(r.table("transaction")),
-    "mule_ring": lambda r: r.mule,
-    "structuring_daily": lambda r: r.structuring,
-    "structuring_rolling": lambda r: r.structuring_rolling(),
-    "structuring_rolling_3": lambda r: r.structuring_rolling(min_deposits=3),
+    "mule_ring": lambda r: r.mule.join(r.mule_lists, "device_id"),
+    "structuring_daily": lambda r: r.structuring.join(r.structuring_lists, "account_id"),
+    "structuring_rolling": structuring_rolling,
+    "structuring_rolling_3": lambda r: structuring_rolling(r, min_deposits=3),
     "structuring_summary": structuring_summary,
     "detection_counts": detection_counts,
     # alerts
@@ -310,26 +343,27 @@ RUN_QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     ),
     "alert_mule": lambda r: _detail_fields(
         alerts.alert_mule(r.mule),
-        {"tier": "string", "device_id": "string", "n_customers": "int", "accounts": "array<string>"},
+        {"tier": "string", "device_id": "string", "n_customers": "int", "n_accounts": "int"},
     ),
     "alert_structuring": lambda r: _detail_fields(
         alerts.alert_structuring(r.structuring),
         {"tier": "string", "n_days": "int", "n_deposits": "int", "total_amount": "decimal(28,2)",
-         "n_branches": "int", "first_day": "date", "last_day": "date", "txn_ids": "array<string>"},
+         "n_branches": "int", "first_day": "date", "last_day": "date"},
     ),
     "v_dash_rings": lambda r: alerts.v_dash_rings(r.alerts),
-    "v_dash_mule": lambda r: alerts.v_dash_mule(r.alerts),
+    "v_dash_mule": lambda r: alerts.v_dash_mule(r.alerts, r.mule_lists),
     "v_dash_alert_summary": lambda r: alerts.v_dash_alert_summary(r.alerts),
     # dashboards
     "dash_rings_by_tier": lambda r: serving.rings_by_tier(r.alerts),
     "dash_ring_list": lambda r: serving.ring_list(r.alerts),
     "dash_ring_length": lambda r: serving.ring_length(r.alerts),
     "dash_identity_links": lambda r: serving.identity_links(identity_link_counts(r)),
-    "dash_mule_list": lambda r: serving.mule_list(r.alerts),
+    "dash_mule_list": lambda r: serving.mule_list(r.alerts, r.mule_lists),
     "dash_mule_size": lambda r: serving.mule_size(r.alerts),
     "dash_open_alerts": lambda r: serving.open_alerts(r.alerts),
     "dash_alerts_by_type": lambda r: serving.alerts_by_type(r.alerts),
-    "dash_alert_queue": lambda r: serving.alert_queue(r.alerts).drop("raised_at"),
+    "dash_alert_queue": lambda r: serving.alert_queue(r.alerts),
+    "dash_alert_queue_by_type": lambda r: serving.alert_queue(r.alerts, ["mule_network", "structuring"]),
     "dash_benchmark": lambda r: serving.benchmark_list(r.benchmark),
     "dash_structuring": lambda r: serving.structuring_list(r.structuring),
     "ring_edges": lambda r: serving.ring_edges(r.alerts, r.edges),
@@ -387,7 +421,9 @@ SOURCE_QUERIES: dict[str, Query] = {
     **{name: _graph_table(name) for name in graph_tables.CSV_SCHEMAS},
     "graph_csv_sink": graph_csv_sink,
     "graph_csv_source": graph_csv_source,
+    "graph_csv_transfers": graph_csv_transfers,
     "graph_duplicate_nodes": graph_duplicate_nodes,
+    "published_run": published_run,
 }
 
 

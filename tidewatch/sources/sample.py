@@ -2,8 +2,9 @@
 
 The sample data has events, orders and line items but no bank. These views give every row of
 it a banking role: users are accounts, pairs of neighbouring users share an owner, events are
-logins and transfers, line items are cash deposits, orders are cash withdrawals. The text is
-plain SQL over ``{events}``, ``{orders}``, ``{lineitem}``, ``{customer}`` and ``{nation}``
+logins and transfers, line items are cash deposits, orders are cash withdrawals. So that every
+rule has something to find, some events are long chains of transfers, some orders bursts of
+deposits, and one device is registered twice. The text is plain SQL over ``{events}``, ``{orders}``, ``{lineitem}``, ``{customer}`` and ``{nation}``
 that Spark and other SQL engines read alike, so the check queries start from the same rows.
 """
 
@@ -100,6 +101,11 @@ select device_id,
        max(session_time) as last_seen
 from  (@session) s
 group by device_id
+union all
+select device_id, 'fp2-' || device_id, 'desktop', 'linux', min(session_time), max(session_time)
+from  (@session) s
+where  device_id = 'DEV-S0'
+group by device_id
 """
 
 IP_ADDRESS = """
@@ -172,7 +178,42 @@ select 'WDR-' || cast(o_orderkey as varchar(20)),
 from   {orders}
 """
 
-TRANSACTION = _TRANSFER + " union all " + _DEPOSIT + " union all " + _WITHDRAWAL
+# Rows to take a row of the sample several times; the key 0 makes it a plain equality join.
+_TIMES = "(" + " union all ".join(f"select {k} as k, 0 as z" for k in range(8)) + ")"
+
+# Some events start money on its way over five to eight accounts, and half of it comes back.
+_CHAIN = f"""
+select 'CHN-' || cast(event_id as varchar(20)) || '-' || cast(k as varchar(20)),
+       'ACC-' || cast((user_id + 2 * k) % @users as varchar(20)),
+       'ACC-' || cast(case when back and k = hops - 1 then user_id
+                           else (user_id + 2 * k + 2) % @users end as varchar(20)),
+       cast(null as varchar(20)),
+       ts + interval '1' hour * k,
+       cast(950 + event_id % 40 - 12 * k as decimal(18, 2)),
+       'AUD', 'transfer', 'web', cast(null as varchar(20)), event_type, 'completed'
+from  (select event_id, user_id, ts, event_type, k,
+              cast(floor(event_id / 1000.0) as int) % 2 = 0 as back,
+              5 + cast(floor(event_id / 250.0) as int) % 4 as hops
+       from {{events}} join {_TIMES} times on z = event_id % 250) c
+where  k < hops or not back
+"""
+
+# Some orders are five deposits over eight days at two or three branches.
+_BURST = f"""
+select 'BST-' || cast(o_orderkey as varchar(20)) || '-' || cast(k as varchar(20)),
+       cast(null as varchar(20)),
+       'ACC-' || cast(o_custkey % @users as varchar(20)),
+       cast(null as varchar(20)),
+       o_orderdate + interval '48' hour * k,
+       cast(3000 + 100 * k + o_custkey % 50 as decimal(18, 2)),
+       'AUD', 'cash_deposit', 'branch',
+       'BR-' || cast(k % (2 + cast(floor(o_orderkey / 100.0) as int) % 2) as varchar(20)),
+       o_orderpriority, 'completed'
+from   {{orders}} join {_TIMES} times on z = o_orderkey % 100
+where  k < 5
+"""
+
+TRANSACTION = " union all ".join((_TRANSFER, _DEPOSIT, _WITHDRAWAL, _CHAIN, _BURST))
 
 GROUND_TRUTH = """
 select 'TRF-' || cast(event_id as varchar(20)) as transaction_id,
