@@ -57,7 +57,9 @@ def code(dimensions: int) -> list[np.ndarray]:
         u = (seed >> np.uint64(11)).astype(float) / (1 << 53) + 2.0**-54
         normal = np.sqrt(-2 * np.log(u[::2])) * np.cos(2 * np.pi * u[1::2])
         normal = normal.reshape(WORDS, len(own))
-        out.append(normal / np.linalg.norm(normal, axis=1, keepdims=True) / np.sqrt(min(BLOCKS, dimensions)))
+        normal /= np.linalg.norm(normal, axis=1, keepdims=True)
+        # a block of one dimension has two directions only
+        out.append(np.unique(normal, axis=0) / np.sqrt(min(BLOCKS, dimensions)))
     return out
 
 
@@ -78,7 +80,7 @@ def decode(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     reach = np.minimum(cap, top[:, -1] - 1e-12)
     for k, x in enumerate(inner):
         value = value[:, None] + x[row]
-        name = name[:, None] * WORDS + np.arange(WORDS)
+        name = name[:, None] * x.shape[1] + np.arange(x.shape[1])
         rest = best[k + 1] if k + 1 < len(inner) else np.zeros(n)
         keep = value + rest[row][:, None] >= reach[row][:, None]
         row, name, value = np.broadcast_to(row[:, None], keep.shape)[keep], name[keep], value[keep]
