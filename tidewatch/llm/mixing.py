@@ -128,6 +128,9 @@ def slots(sources: DataFrame) -> DataFrame:
     counts = dealt.groupBy("source", "shard", "n").agg(F.count(F.lit(1)).alias("count"))
     before = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("first", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    # few counts are many slots, so they are dealt out again
+    parts = min(shards, int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counts = counts.repartition(parts, "source", "shard")
     numbered = counts.withColumn("slot", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)))
     numbered = numbered.withColumn("round", F.floor(F.col("slot") / F.col("n")).cast("bigint"))
     block = permuted(F.col("slot") % F.col("n"), F.col("n"), F.lit(SEED + 2), F.col("source"), F.col("round"))
