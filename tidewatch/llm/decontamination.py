@@ -2,7 +2,8 @@
 
 A token is a word without the ASCII punctuation around it, in lower case. Templates put a typed
 placeholder for numbers (digits with ``.,`` inside, a sign before, a percent sign after), for units (a
-word of ``UNITS`` after a number) and for names (A-Z followed by a-z, not at the start of a sentence).
+word of ``UNITS`` after a number) and for names (A-Z followed by a-z, not at the start of a sentence). A
+window with names also counts with the names as they are, for texts all in capitals or small letters.
 A window is ``WINDOW`` tokens of a template; an item with fewer has one window of all its tokens.
 
 Documents are scanned where they are read; windows that a bitmap of fixed size over the items'
@@ -72,8 +73,9 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(Rolling(FOLDED[data]).of(found.start, found.end))
 
 
-def tokens(part: Slice) -> tuple[Words, np.ndarray, np.ndarray]:
-    """Stripped words, the hash of each in the template, and its kind (0: a plain word)."""
+def tokens(part: Slice) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Stripped words, the hash of each in the template and in the one that keeps names, and its kind
+    (0: a plain word)."""
     data, found = part.data, words(part)
     body = np.flatnonzero(_BODY[data])
     first, last = np.searchsorted(body, found.start), np.searchsorted(body, found.end) - 1
@@ -96,16 +98,15 @@ def tokens(part: Slice) -> tuple[Words, np.ndarray, np.ndarray]:
         second = data[np.minimum(start + 1, len(data) - 1)]
         name = _UPPER[data[start]] & (end > start + 1) & _LOWER[second] & ~opens
         kind[name], kind[unit], kind[number] = 3, 2, 1
-        for k, value in ((1, _NUMBER), (2, _UNIT), (3, _NAME)):
-            hashes[kind == k] = value
-    return Words(start, end, offsets), hashes, kind
+        hashes[kind == 1], hashes[kind == 2] = _NUMBER, _UNIT
+    return Words(start, end, offsets), np.where(kind == 3, _NAME, hashes), hashes, kind
 
 
 def template_windows(part: Slice, widths: list[int], whole: bool = False):
-    """``(document, place, window hash, slots)`` of each window of a slice; slots as a function of
-    the chosen windows. With ``whole`` a short document is one window of its own width."""
-    found, hashes, kind = tokens(part)
-    rolled = Rolling(hashes)
+    """``(document, place, width, hash, named, slots)`` of each window of a slice; slots as a function
+    of the chosen windows. Windows with names come a second time (not ``named``) with the names as plain
+    words. With ``whole`` a short document is one window of its own width."""
+    found, hashes, plain, kind = tokens(part)
     counts = found.counts()
     start, width = [], []
     for w in widths:
@@ -117,19 +118,26 @@ def template_windows(part: Slice, widths: list[int], whole: bool = False):
         start.append(found.offsets[short])
         width.append(counts[short])
     start, width = np.concatenate(start), np.concatenate(width)
-    key = mix(rolled.of(start, start + width) + width.astype(_U))
+    names = _before(kind == 3)
+    again = np.flatnonzero(names[start + width] > names[start])
+    named = np.arange(len(start) + len(again)) < len(start)
+    key = np.concatenate(
+        (Rolling(hashes).of(start, start + width), Rolling(plain).of(start[again], start[again] + width[again]))
+    )
+    start, width = np.concatenate((start, start[again])), np.concatenate((width, width[again]))
+    key = mix(key + width.astype(_U))
     document = np.searchsorted(found.offsets, start, "right") - 1
 
     def slots(chosen: np.ndarray) -> list[list[str]]:
         data, out = part.data.tobytes(), []
-        for s, w in zip(start[chosen].tolist(), width[chosen].tolist(), strict=True):
-            at = np.flatnonzero(kind[s : s + w]) + s
+        for s, w, n in zip(start[chosen].tolist(), width[chosen].tolist(), named[chosen].tolist(), strict=True):
+            at = np.flatnonzero((kind[s : s + w] > 0) & (n | (kind[s : s + w] < 3))) + s
             out.append(
                 [f"{_KINDS[kind[i]]}:{data[found.start[i] : found.end[i]].decode('utf-8', 'replace').lower()}" for i in at]
             )
         return out
 
-    return document, start - found.offsets[document], width, key, slots
+    return document, start - found.offsets[document], width, key, named, slots
 
 
 _ITEM = "item_id bigint, place int, width int, key bigint, slots array<string>, n_windows int"
@@ -139,7 +147,7 @@ _HIT = "doc_id bigint, mark bigint, place int, key bigint, slots array<string>"
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch["text"]):
-            document, place, width, key, slots = template_windows(part, [WINDOW], whole=True)
+            document, place, width, key, named, slots = template_windows(part, [WINDOW], whole=True)
             yield pa.record_batch(
                 {
                     "item_id": batch["item_id"].take(pa.array(document + part.first)),
@@ -147,7 +155,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     "width": pa.array(width, pa.int32()),
                     "key": pa.array(key.view(np.int64)),
                     "slots": pa.array(slots(np.arange(len(key))), pa.list_(pa.string())),
-                    "n_windows": pa.array(np.bincount(document, minlength=len(part))[document], pa.int32()),
+                    "n_windows": pa.array(np.bincount(document[named], minlength=len(part))[document], pa.int32()),
                 }
             )
 
@@ -173,7 +181,7 @@ def _hits(packed: bytes, widths: list[int]):
         bits = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
         for batch in batches:
             for part in slices(batch["text"]):
-                document, place, _, key, slots = template_windows(part, widths)
+                document, place, _, key, _, slots = template_windows(part, widths)
                 hit = np.flatnonzero(bits[key >> _U(64 - BITS)])
                 row = pa.array(document[hit] + part.first)
                 yield pa.record_batch(
