@@ -144,7 +144,10 @@ def _gradients(net: Network, part: Slice, label: np.ndarray) -> list[np.ndarray]
     to_weights = np.concatenate((mean, most), axis=1).T @ error
     each = np.repeat(np.arange(len(size)), size)
     back = error[each, None] * (net.weights[:FILTERS] / size[each, None])
-    back = back + np.where(active == most[each], error[each, None] * net.weights[FILTERS:], 0)
+    # of equally large chunks the first one moves the maximum
+    place = np.arange(len(active))[:, None]
+    first = np.minimum.reduceat(np.where(active == most[each], place, len(active)), head)
+    back = back + np.where(place == first[each], error[each, None] * net.weights[FILTERS:], 0)
     back = (back * (active > 0)).astype(np.float32)
     to_byte, to_filters = np.zeros_like(net.byte), np.zeros_like(net.filters)
     for f in range(FILTERS):
