@@ -6,9 +6,10 @@ none and is linked with nothing. Documents with equal sets are one class with it
 
 ``TREES`` sorted orders of the classes, each by ``DEPTH`` signature values, are dealt by range, so
 equal prefixes of any number spread over tasks. In an order the neighbours with the longest
-common prefix are candidates: next neighbours that share ``LEAST`` values, and all pairs of a
-region, which reaches as many values deep as leave it with ``REGION`` classes. Regions that stay
-larger to the last value are tied to their first row.
+common prefix are candidates: the next ``REGION`` - 1 that share ``LEAST`` values. They come from as many
+values deep as leave a region with ``REGION`` classes, so the depth is each region's own, and all
+pairs of a region of that size are among them. Regions that stay larger to the last value are
+also tied to their first row.
 
 Each class confirms its most frequent candidate on the full sets; the candidates between the
 components that result follow, unless the whole signatures put them more than five standard
@@ -118,17 +119,17 @@ def _neighbours(ends: bool):
         keys = np.frombuffer(b"".join(rows["key"].to_pylist()), ">u4").reshape(-1, DEPTH)
         n = len(rep)
         same = np.cumprod(keys[1:] == keys[:-1], axis=1).sum(axis=1) * (tree[1:] == tree[:-1])
-        first = np.flatnonzero(same >= LEAST)
-        pairs = [np.stack((first, first + 1))]
+        # the next rows that share LEAST values, nearest first; all pairs of a small region are among them
+        pairs, common = [], same
+        for step in range(1, REGION):
+            at = np.flatnonzero(common >= LEAST)
+            pairs.append(np.stack((at, at + step)))
+            common = np.minimum(common[:-1], same[step:])
         done = np.zeros(n, bool)
         for depth in range(LEAST, DEPTH + 1):
             region = np.concatenate(([0], np.cumsum(same < depth)))
             size = np.bincount(region)[region]
-            small = (size <= REGION) & ~done
-            for step in range(2, REGION):
-                at = np.flatnonzero((region[step:] == region[:-step]) & small[step:])
-                pairs.append(np.stack((at, at + step)))
-            done |= small
+            done |= size <= REGION
         head = np.concatenate(([True], same < DEPTH))
         head = np.flatnonzero(head)[np.cumsum(head) - 1]
         rest = np.flatnonzero(~done & (head < np.arange(n)))
