@@ -78,6 +78,21 @@ def test_a_large_group_of_near_copies_is_one(docs_of):
     assert {r.component_id for r in found} == {0} and sum(r.kept for r in found) == 1
 
 
+@pytest.mark.parametrize("common", [165, 173])
+def test_pairs_among_documents_that_share_a_template(docs_of, common):
+    # 200 shingles, of which all documents share 165 (70 %) or 173 (76 %), and pairs 180 (82 %)
+    draw = random.Random(13)
+    word = lambda: f"w{draw.randrange(10**9)}"
+    template, rows = [word() for _ in range(common + 4)], []
+    for i in range(1600):
+        text = template + [word() for _ in range(200 - common)]
+        rows.append((i, " ".join(text)))
+        if i < 400:
+            rows.append((10_000 + i, " ".join(text[:-20] + [word() for _ in range(20)])))
+    found = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(docs_of(rows)).collect()}
+    assert found == {i: i % 10_000 for i, _ in rows}
+
+
 def test_odd_documents(docs_of):
     rows = odd_rows()
     found = minhash_dedup.near_duplicates(docs_of(rows), 3, 85).collect()

@@ -11,6 +11,15 @@ values deep as leave a region with ``REGION`` classes, so the depth is each regi
 pairs of a region of that size are among them. Regions that stay larger to the last value are
 also tied to their first row.
 
+From the depths at which its regions have ``REGION`` classes follows a class's chance that the forest
+misses a pair of it at the threshold. Classes with more than ``MISS`` are crowded (they share a template
+below the threshold, say) and go through an exact join after the forest: shingles ordered by their
+frequency among the crowded classes, rarest first, of two sets that link a prefix of the larger one,
+``n - ceil(p n) + 1`` long, shares a shingle with a prefix of the smaller one, ``n - ceil(2 p n / (1 + p)) + 1``
+long. A template below the threshold lies behind those prefixes. Only pairs between the components
+that the forest left apart go on. Any order gives the same links, so frequencies are counted in a table of
+fixed size.
+
 Each class confirms its most frequent candidate on the full sets; the candidates between the
 components that result follow, unless the whole signatures put them more than five standard
 deviations below the threshold. So a large group of copies costs a few confirmations for each copy
@@ -39,6 +48,10 @@ TREES = 12
 DEPTH = 8
 LEAST = 3
 REGION = 8
+#: A class's chance to lose a pair at the threshold above which it is crowded.
+MISS = 1e-3
+#: Places of the table of frequencies.
+BITS = 20
 VALUES = TREES * DEPTH
 KEY = 4 * DEPTH
 #: Documents of a written file, about, however many partitions a shuffle has.
@@ -108,7 +121,8 @@ def _sign(k: int):
 
 
 def _neighbours(ends: bool):
-    """Candidates among sorted rows; with ``ends`` also the first and last rows of the partition."""
+    """Candidates among sorted rows; with ``ends`` also the first and last rows of the partition, with
+    their key, and the depth of rows whose region is larger than ``REGION`` at first, with an empty key."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
@@ -125,20 +139,24 @@ def _neighbours(ends: bool):
             at = np.flatnonzero(common >= LEAST)
             pairs.append(np.stack((at, at + step)))
             common = np.minimum(common[:-1], same[step:])
-        done = np.zeros(n, bool)
-        for depth in range(LEAST, DEPTH + 1):
+        deep = np.full(n, DEPTH + 1)
+        for depth in range(DEPTH, LEAST - 1, -1):
             region = np.concatenate(([0], np.cumsum(same < depth)))
-            size = np.bincount(region)[region]
-            done |= size <= REGION
+            size = np.bincount(region)
+            if ends:  # the other half of a region may be in the partition beside
+                size[[0, -1]] *= 2
+            deep[size[region] <= REGION] = depth
         head = np.concatenate(([True], same < DEPTH))
         head = np.flatnonzero(head)[np.cumsum(head) - 1]
-        rest = np.flatnonzero(~done & (head < np.arange(n)))
+        rest = np.flatnonzero((deep > DEPTH) & (head < np.arange(n)))
         pairs.append(np.stack((head[rest], rest)))
         a, b = rep[np.concatenate(pairs, axis=1)]
         yield _candidates(np.minimum(a, b), np.maximum(a, b), None)
         if ends:
             edge = np.unique(np.concatenate((np.arange(min(n, REGION)), np.arange(max(0, n - REGION), n))))
             yield _candidates(rep[edge], tree[edge].astype(np.int64), [keys[i].tobytes() for i in edge])
+            some = np.flatnonzero(deep > LEAST)
+            yield _candidates(rep[some], deep[some], [b""] * len(some))
 
     return work
 
@@ -181,8 +199,81 @@ def _beside(pairs: DataFrame, rows: DataFrame, value: str, name: str) -> DataFra
     return pairs
 
 
-def candidates(reps: DataFrame, files: int) -> DataFrame:
-    """``a, b, votes``: pairs of classes that are candidates in so many orders."""
+def _frequencies(k: int):
+    """How many sets of a partition have a shingle in each place of the table."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << BITS, np.int64)
+        for batch in batches:
+            for x in _sets(batch["text"], k):
+                np.add.at(total, x >> _U(64 - BITS), 1)
+        some = np.flatnonzero(total)
+        for at in range(0, len(some), FILE):
+            own = some[at : at + FILE]
+            yield pa.record_batch({"place": pa.array(own, pa.int64()), "n": pa.array(total[own], pa.int64())})
+
+    return work
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The table of a partition of places, in eighths of a power of two."""
+    out = np.zeros(1 << BITS, np.uint8)
+    for batch in batches:
+        out[batch["place"].to_numpy()] = np.minimum(255, 8 * np.log2(1 + batch["n"].to_numpy()))
+    yield pa.record_batch({"levels": pa.array([out.tobytes()], pa.binary())})
+
+
+def _prefixes(k: int, percent: int, packed: bytes):
+    """The prefix of each set; ``first`` marks the part that a larger set's prefix must meet."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = np.frombuffer(packed, np.uint8)
+        for batch in batches:
+            for at in range(0, batch.num_rows, _ROWS):
+                rows = batch.slice(at, _ROWS)
+                sets = _sets(rows["text"], k)
+                n = np.array([len(x) for x in sets])
+                long = n + percent * n // -100 + 1
+                # sets are sorted by hash, so equal frequencies are in one order everywhere
+                kept = [x[np.argsort(levels[x >> _U(64 - BITS)], kind="stable")][:m] for x, m in zip(sets, long, strict=True)]
+                place = np.concatenate([np.arange(m) for m in long])
+                row = np.repeat(np.arange(len(n)), long)
+                yield pa.record_batch(
+                    {
+                        "token": pa.array(np.concatenate(kept).view(np.int64)),
+                        "id": rows["id"].take(pa.array(row)),
+                        "component": rows["component"].take(pa.array(row)),
+                        "n": pa.array(n[row], pa.int64()),
+                        "first": pa.array(place < (n + 2 * percent * n // -(100 + percent) + 1)[row]),
+                    }
+                )
+
+    return work
+
+
+def crowded_pairs(texts: DataFrame, k: int, percent: int, files: int) -> DataFrame:
+    """``a, b`` of all pairs between components that may link; ``texts`` has ``id, text, component``."""
+    places = texts.select("text").mapInArrow(_frequencies(k), "place bigint, n bigint")
+    places = places.groupBy("place").agg(F.sum("n").alias("n"))
+    tables = places.coalesce(8).mapInArrow(_packed, "levels binary").collect()
+    levels = np.zeros(1 << BITS, np.uint8)
+    for r in tables:
+        levels = np.maximum(levels, np.frombuffer(r.levels, np.uint8))
+    columns = "token bigint, id bigint, component bigint, n bigint, first boolean"
+    rows = stage(texts.mapInArrow(_prefixes(k, percent, levels.tobytes()), columns).coalesce(files), "prefixes")
+    # a shingle within one component joins nothing, however many sets have it
+    between = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    between = between.where("low < high").select("token")
+    rows = stage(rows.join(between.hint("merge"), "token", "left_semi").coalesce(files), "between")
+    side = lambda name: [F.col("token"), *[F.col(c).alias(f"{c}_{name}") for c in ("id", "component", "n")]]
+    met = rows.select(*side("x")).join(rows.where("first").select(*side("y")), "token")
+    smaller = F.struct("n_y", "id_y") < F.struct(F.col("n_x"), F.col("id_x"))
+    met = met.where((F.col("component_x") != F.col("component_y")) & smaller & (100 * F.col("n_y") >= percent * F.col("n_x")))
+    return met.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
+
+
+def candidates(reps: DataFrame, files: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``a, b, votes``: pairs of classes that are candidates in so many orders; ``id`` of crowded classes."""
     key = F.substring("signature", F.col("tree") * KEY + 1, F.lit(KEY))
     orders = reps.select("rep", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     orders = orders.select("tree", key.alias("key"), "rep")
@@ -196,10 +287,16 @@ def candidates(reps: DataFrame, files: int) -> DataFrame:
         "neighbours",
     )
     # the ends of all partitions, a few rows of each: neighbours across a cut
-    ends = found.where("key is not null").select(F.col("b").cast("int").alias("tree"), "key", F.col("a").alias("rep"))
+    ends = found.where("length(key) > 0").select(F.col("b").cast("int").alias("tree"), "key", F.col("a").alias("rep"))
     across = ends.coalesce(1).sortWithinPartitions("tree", "key", "rep").mapInArrow(_neighbours(False), columns)
     pairs = found.where("key is null").unionByName(across)
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes"))
+    lost = [math.log1p(-((min(percent, 99) / 100) ** d)) for d in range(LEAST, DEPTH + 1)] + [0.0]
+    more = F.element_at(F.array(*[F.lit(x - lost[0]) for x in lost]), (F.col("b") - LEAST + 1).cast("int"))
+    crowded = (
+        found.where("length(key) = 0").groupBy(F.col("a").alias("id")).agg(F.sum(more).alias("more"))
+        .where(F.col("more") + TREES * lost[0] > math.log(MISS)).select("id")
+    )
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes")), crowded
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -217,7 +314,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         .groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")),
         "classes",
     )
-    pairs = written(candidates(classes.select("rep", "signature"), files), "pairs")
+    pairs, crowded = candidates(classes.select("rep", "signature"), files, percent)
+    pairs, crowded = written(pairs, "pairs"), written(crowded, "crowded")
 
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "votes"))
     ids = both.select(F.col("a").alias("id")).distinct()
@@ -236,8 +334,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     apart = F.coalesce("in_a", "a") != F.coalesce("in_b", "b")
     open_pairs = open_pairs.where(apart).select("a", "b").join(best, ["a", "b"], "left_anti")
     signatures = classes.select(F.col("rep").alias("id"), "signature")
-    likely = written(_beside(open_pairs, signatures, "signature", "sig").mapInArrow(_likely(percent), LINKS), "likely")
-    links = links.unionByName(written(confirmed(likely), "links"))
+    linked = lambda some: written(
+        confirmed(written(_beside(some, signatures, "signature", "sig").mapInArrow(_likely(percent), LINKS), "likely")),
+        "links",
+    )
+    links = links.unionByName(linked(open_pairs))
+
+    if crowded.head(1):
+        label = written(components(links), "labels").select(F.col("node").alias("id"), "component")
+        crowd = crowded.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        crowd = texts.select("id", "text").join(crowd.hint("merge"), "id")
+        links = links.unionByName(linked(written(crowded_pairs(crowd, shingle, percent, files), "met")))
 
     found = components(links).select(F.col("node").alias("rep"), "component")
     known = written(
