@@ -177,3 +177,19 @@ def test_recall_at_the_threshold():
         row, name = embedding_dedup.decode(v)
         sets.append([set(name[row == i].tolist()) for i in range(len(v))])
     assert np.mean([bool(p & q) for p, q in zip(*sets, strict=True)]) >= 0.99
+
+
+@pytest.mark.parametrize("spread", ["k^-0.5", "k^-1", "half empty"])
+def test_recall_of_uneven_coordinates(spread):
+    draw = np.random.default_rng(6)
+    k = np.arange(1, 65)
+    scale = {"k^-0.5": k**-0.5, "k^-1": 1 / k, "half empty": np.where(k <= 32, 1, 1e-6)}[spread]
+    x, off = draw.normal(size=(2, 2000, 64)) * scale
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    off -= (off * x).sum(axis=1)[:, None] * x
+    off /= np.linalg.norm(off, axis=1)[:, None]
+    sets = []
+    for v in (x, 0.98 * x + np.sqrt(1 - 0.98**2) * off):
+        row, name = embedding_dedup.decode(v)
+        sets.append([set(name[a:b].tolist()) for a, b in zip(*[np.searchsorted(row, np.arange(2000) + i) for i in (0, 1)], strict=True)])
+    assert np.mean([bool(p & q) for p, q in zip(*sets, strict=True)]) >= 0.998

@@ -7,6 +7,9 @@ one, is a direction. A vector's filters are list-decoded block by block: a parti
 dropped as soon as the best words of the blocks that are left cannot lift it to ``CAP``. A vector
 that reaches no filter gets its best one.
 
+Vectors are decoded in a fixed pseudorandom rotation of their space, so that blocks hold alike much of
+a vector also where coordinates differ in spread or are empty; cosines are of the vectors as they are.
+
 Vectors meet on label and filter and are compared in double precision there. A linked pair is
 counted only in the lowest filter that both share. A bucket returns a count for each vector and
 a forest of its links, never pairs; one with more than ``ROWS`` vectors is cut into blocks, and each
@@ -24,6 +27,7 @@ differ in vector are each compared, and counted together.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,23 +53,34 @@ _CAPS = "label bigint, id bigint, size bigint, vector binary, filters array<int>
 _FOUND = "a bigint, b bigint, n bigint"
 
 
+def _normal(n: int, salt: int) -> np.ndarray:
+    seed = mix(np.arange(1, 2 * n + 1, dtype=np.uint64) + np.uint64(salt))
+    u = (seed >> np.uint64(11)).astype(float) / (1 << 53) + 2.0**-54
+    return np.sqrt(-2 * np.log(u[::2])) * np.cos(2 * np.pi * u[1::2])
+
+
 def code(dimensions: int) -> list[np.ndarray]:
     """The words of each block: unit vectors over the square root of the number of blocks."""
     out = []
     for k, own in enumerate(np.array_split(np.arange(dimensions), min(BLOCKS, dimensions))):
-        seed = mix(np.arange(1, 2 * WORDS * len(own) + 1, dtype=np.uint64) + np.uint64(1000003 * (k + 1)))
-        u = (seed >> np.uint64(11)).astype(float) / (1 << 53) + 2.0**-54
-        normal = np.sqrt(-2 * np.log(u[::2])) * np.cos(2 * np.pi * u[1::2])
-        normal = normal.reshape(WORDS, len(own))
+        normal = _normal(WORDS * len(own), 1000003 * (k + 1)).reshape(WORDS, len(own))
         normal /= np.linalg.norm(normal, axis=1, keepdims=True)
         # a block of one dimension has two directions only
         out.append(np.unique(normal, axis=0) / np.sqrt(min(BLOCKS, dimensions)))
     return out
 
 
+@lru_cache(maxsize=4)
+def rotation(dimensions: int) -> np.ndarray:
+    """A pseudorandom orthogonal matrix, the same in every task."""
+    q, r = np.linalg.qr(_normal(dimensions * dimensions, 1 << 40).reshape(dimensions, dimensions))
+    return q * np.where(np.diag(r) < 0, -1.0, 1.0)
+
+
 def decode(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(row, filter)`` of all filters that the rows reach."""
     n, dimensions = unit.shape
+    unit = unit @ rotation(dimensions)
     words = code(dimensions)
     cap = CAP / np.sqrt(dimensions)
     cuts = np.cumsum([w.shape[1] for w in words])[:-1]
