@@ -4,7 +4,8 @@
 2. near_duplicates: of a group of near copies the document with the smallest id stays;
 3. decontamination: documents that hold a benchmark item go;
 4. pii: personal data become their kind in brackets;
-5. mixture: each document with the words that the mix takes of it.
+5. mixture: the mix is written, in a folder for each output shard; the stage's table is each document
+   with the words that the mix takes of it.
 
 All stages but the last keep the columns of documents. Nulls, empty texts and repeated rows are treated
 as the operators state; a null ``doc_id`` has no near copies, and rows that share an id stay or go as one.
@@ -42,8 +43,8 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pii.redact(docs)
 
 
-def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs)
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str, out: str | None = None) -> DataFrame:
+    return mixing.mix(docs, out)
 
 
 STAGES = [
@@ -55,9 +56,9 @@ STAGES = [
 ]
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
+def run(spark: SparkSession, sf_dir: str, out: str | None = None) -> DataFrame:
+    """All stages over the documents of a folder; the mix is written to ``out``, or beside the stages."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        docs = stage(step(spark, docs, sf_dir, out) if step is mixed else step(spark, docs, sf_dir), name)
     return docs

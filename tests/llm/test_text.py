@@ -301,6 +301,37 @@ def test_mix_meets_targets(docs_of, monkeypatch, block, shard):
     assert sorted(map(str, found)) == sorted(map(str, again))
 
 
+def test_mix_is_written_with_its_words(docs_of, monkeypatch, tmp_path):
+    monkeypatch.setattr(mixing, "BLOCK", 4)
+    monkeypatch.setattr(mixing, "SHARD", 10)
+    draw = random.Random(8)
+    rows = [(i, "\n ".join(f"{i}.{k}" for k in range(draw.randint(0, 30))), draw.choice(["a", "b", None])) for i in range(60)]
+    rows += [(3, "3.0 3.1 3.2 3.3 3.4", "a")] * 2 + [(None, "x.0 x.1", "b"), (70, None, "a")]
+    docs, out = docs_of(rows, "words parts shard"), str(tmp_path / "mix")
+    found = sorted(mixing.mixture(docs, out).collect(), key=str)
+    assert len({r.shard for r in found}) == len(list((tmp_path / "mix").glob("shard=*"))) > 5
+    blocks, taken = {}, {}
+    for r in found:
+        words = r.words.split(" ")
+        assert len(words) == sum(p.n for p in r.parts) <= 4
+        blocks.setdefault((r.source, r.block), set()).add(r.words)
+        for p in r.parts:
+            own, words = words[: p.n], words[p.n :]
+            name, first = own[0].split(".")
+            assert own == [f"{name}.{int(first) + k}" for k in range(p.n)] and name == ("x" if p.doc_id is None else str(p.doc_id))
+            taken[p.doc_id] = taken.get(p.doc_id, 0) + p.n
+    # a block is the same in all its slots, but for the last slot, which may be cut
+    assert all(max(some, key=len).startswith(x) for some in blocks.values() for x in some)
+    slots = [(r.source, r.slot) for r in found]
+    assert len(set(slots)) == len(slots)
+    counts = {}
+    for r in mixing.mix(docs).collect():
+        counts[r.doc_id] = counts.get(r.doc_id, 0) + r.taken
+    assert {i: n for i, n in counts.items() if n} == taken
+    monkeypatch.setattr(mixing, "SEED", mixing.SEED + 1)
+    assert sorted(mixing.mixture(docs).collect(), key=str) != found
+
+
 def test_permutation_is_one(spark):
     from pyspark.sql import functions as F
 

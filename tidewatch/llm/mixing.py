@@ -14,6 +14,10 @@ The permutation is a mixed-radix Feistel network over ``a * b >= n`` places, wal
 below ``n``. All draws are hashes of fixed seeds, so reruns agree. Positions in a stream are running
 sums within slices of the hash, in three levels: no window holds a source.
 
+The mix is a table of slots with the words of their blocks, written in a folder for each shard. The
+ranges of documents that a slot needs go to the texts, by two hashes of the row, and only the words
+cut out there go on to the shards. Counts by document are sums over the written table.
+
 Rows: null text has size 0; every row is a document of its own, also if its id is null or repeated;
 a source without words has target 0.
 """
@@ -24,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.staging import stage
+from tidewatch.staging import new_folder, stage
 
 BLOCK = 256
 #: Slots of an output shard, about.
@@ -36,6 +40,8 @@ SEED = 20240501
 #: Slices of a source, and documents of a slice of a slice, about.
 _SLICES, _ROWS = 64, 1000
 _ROUNDS, _WALKS = 4, 16
+#: Slots of a source and shard that are put together in one task.
+_RUN = 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -86,7 +92,7 @@ def placed(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("within", so_far("size", before(levels, "mark", "doc_id", "rid")))
     same = rows["source"].eqNullSafe(bases["source"]) & (rows["one"] == bases["one"]) & (rows["two"] == bases["two"])
     return rows.join(bases, same).select(
-        *[rows[c] for c in ("rid", "doc_id", "source", "size")], (F.col("base") + F.col("within")).alias("start")
+        *[rows[c] for c in ("rid", "doc_id", "source", "size", "print0", "print1")], (F.col("base") + F.col("within")).alias("start")
     )
 
 
@@ -137,15 +143,17 @@ def slots(sources: DataFrame) -> DataFrame:
     return numbered.select("source", "shard", "slot", "round", block.alias("block"))
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` of all rows."""
+def _mixed(docs: DataFrame, folder: str | None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sizes of all rows, the sources and the written mix."""
+    spark = docs.sparkSession
+    text = F.col("text").cast("string")
+    named = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
+        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"), text.alias("text"),
+    )
+    prints = [F.xxhash64(F.lit(k), "doc_id", "source", "text").alias(f"print{k}") for k in range(2)]
     rows = stage(
-        docs.select(
-            F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
-            F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
-            F.monotonically_increasing_id().alias("rid"),
-        ),
-        "sizes",
+        named.select("doc_id", "source", "size", *prints, F.monotonically_increasing_id().alias("rid")), "sizes"
     )
     sources = stage(targets(rows), "targets").withColumn("words", F.round("target").cast("bigint"))
     drawn = stage(slots(sources), "slots")
@@ -165,24 +173,60 @@ def mix(docs: DataFrame) -> DataFrame:
     )
     filled = BLOCK - F.when(F.col("block") == F.col("n") - 1, F.col("lacking")).otherwise(0)
     taken = F.least(filled, F.col("words") - ahead)
-    times = drawn.withColumns({"taken": taken, "filled": filled}).where("taken > 0").groupBy("source", "block").agg(
-        F.sum(F.when(F.col("taken") == F.col("filled"), 1).otherwise(0)).alias("whole"),
-        F.max(F.when(F.col("taken") < F.col("filled"), F.col("taken")).otherwise(0)).alias("cut"),
-    )
+    drawn = drawn.withColumn("taken", taken).where("taken > 0").select("source", "shard", "slot", "block", "taken")
 
     pieces = placed(rows).where("size > 0").withColumn(
         "piece",
         F.explode(F.sequence(F.floor(F.col("start") / BLOCK), F.floor((F.col("start") + F.col("size") - 1) / BLOCK))),
     )
     origin = F.col("piece") * BLOCK
+    low = F.greatest(F.lit(0), F.col("start") - origin)
     pieces = pieces.select(
-        "rid", F.col("source").alias("s"), "piece",
-        F.greatest(F.lit(0), F.col("start") - origin).alias("low"),
+        "rid", "doc_id", "print0", "print1", F.col("source").alias("s"), "piece", low.alias("low"),
         F.least(F.lit(BLOCK), F.col("start") + F.col("size") - origin).alias("high"),
+        (origin + low - F.col("start")).alias("first"),
+    )
+    joined = pieces.join(drawn, F.col("s").eqNullSafe(F.col("source")) & (F.col("piece") == F.col("block")))
+    joined = joined.withColumn("n", F.least("high", "taken") - F.col("low")).where("n > 0")
+    ranges = joined.groupBy("print0", "print1", "source").agg(
+        F.collect_list(F.struct("shard", "slot", "block", "low", "rid", "doc_id", "first", "n")).alias("ranges")
+    )
+
+    # rows that are equal in all have one text
+    same = Window.partitionBy("print0", "print1").orderBy("print0")
+    texts = named.where("size > 0").select(*prints, "text").withColumn("again", F.lag("print0").over(same))
+    texts = texts.where("again is null").join(ranges.hint("merge"), ["print0", "print1"])
+    texts = texts.select("source", "ranges", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("all"))
+    cut = lambda r: F.array_join(F.slice("all", r["first"].cast("int") + 1, r["n"].cast("int")), " ")
+    # the size keeps the list of words a column of its own, which is made once for each text
+    cuts = F.when(F.size("all") > 0, F.transform("ranges", lambda r: r.withField("words", cut(r))))
+    sent = texts.select("source", F.explode(cuts).alias("r")).select("source", "r.*")
+
+    slot = ["shard", "source", "run", "slot", "block"]
+    sent = sent.withColumn("run", F.floor(F.col("slot") / _RUN)).repartition("shard", "source", "run")
+    blocks = sent.groupBy(*slot).agg(
+        F.array_sort(F.collect_list(F.struct("low", "rid", "doc_id", "n", "words"))).alias("parts")
     )
-    joined = pieces.join(times, F.col("s").eqNullSafe(F.col("source")) & (F.col("piece") == F.col("block")))
-    words = F.col("whole") * (F.col("high") - F.col("low")) + F.greatest(F.lit(0), F.least("high", "cut") - F.col("low"))
-    taken = joined.groupBy("rid").agg(F.sum(words).alias("taken"))
+    blocks = blocks.select(
+        "slot", "source", "block", F.array_join(F.col("parts.words"), " ").alias("words"),
+        F.transform("parts", lambda p: F.struct(p["rid"].alias("rid"), p["doc_id"].alias("doc_id"), p["n"].alias("n"))).alias("parts"),
+        "shard",
+    )
+    folder = folder or new_folder(spark, "mixture")
+    blocks.write.partitionBy("shard").option("compression", "zstd").parquet(folder)
+    return rows, sources, spark.read.schema(blocks.schema).parquet(folder)
+
+
+def mixture(docs: DataFrame, folder: str | None = None) -> DataFrame:
+    """``slot, source, block, words, parts, shard`` of the mix, as written to the folder: the words of the
+    slot with blanks between, and how many of them come from which rows, in order."""
+    return _mixed(docs, folder)[2]
+
+
+def mix(docs: DataFrame, folder: str | None = None) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` of all rows; the mix itself is written to the folder."""
+    rows, sources, blocks = _mixed(docs, folder)
+    taken = blocks.select(F.explode("parts").alias("p")).groupBy(F.col("p.rid").alias("rid")).agg(F.sum("p.n").alias("taken"))
     result = rows.join(taken, "rid", "left")
     known = sources.select(F.col("source").alias("s"), "source_size", "target")
     return result.join(known, F.col("source").eqNullSafe(F.col("s"))).select(
