@@ -118,6 +118,14 @@ def test_leaks_whole_shouted_and_with_other_parameters(spark, docs_of):
     assert leaks(spark, docs_of([]), [(1, QUESTION)]) == set() == leaks(spark, docs_of(rows), [])
 
 
+def test_one_inconsistent_slot_leaves_the_other_windows(spark, docs_of):
+    item = ("a lorry drives 60 km in 2 hours on the first day of its long way to the north coast "
+            "and then another 60 km in 3 hours on the last day before it stops there")
+    fruit = "she buys 3 apples and 5 pears at the market and brings all of them home"
+    rows = [(1, item.replace("60", "65", 1)), (2, fruit.replace("3", "4").replace("5", "4")), (3, item.replace("60", "65"))]
+    assert leaks(spark, docs_of(rows), [(7, item), (8, fruit)]) == {(1, 7, False), (2, 8, True), (3, 7, True)}
+
+
 def test_short_items_match_whole(spark, docs_of):
     rows = [(1, "they ask: What is the capital of France? Now."), (2, "What is the capital city of France")]
     assert leaks(spark, docs_of(rows), [(5, "What is the capital of France?")]) == {(1, 5, False)}

@@ -8,10 +8,10 @@ A window is ``WINDOW`` tokens of a template; an item with fewer has one window o
 
 Documents are scanned where they are read; windows that a bitmap of fixed size over the items'
 windows lets through go on, with the values in their slots. They are hash-joined with the items'
-windows. On an alignment (place in the document less place in the item) slots must be consistent:
-the same value of the item always has the same value in the document and the other way round, so
-a question asked with other parameters is caught, and text that only shares the template's words
-is not. A document is contaminated by an item when consistent alignments cover ``SHARE`` of its windows.
+windows. Windows whose values are the item's count as they are. Others count where the alignment (place in
+the document less place in the item) is consistent: the same value of the item always has the same value
+in the document, while two of its values may become one. So a question asked with other parameters is
+caught, and text that only shares the template's words is not. A document is contaminated by an item when consistent alignments cover ``SHARE`` of its windows.
 
 Rows: null texts and texts without tokens match nothing, as do items without tokens; an item id may
 be null; rows are told apart by id and text, null ids included.
@@ -227,27 +227,21 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
         *line, F.col("p.item_slots").alias("theirs"), F.col("p.slots").alias("ours")
     )
     pairs = stage(pairs.groupBy(*line, "theirs", "ours").agg(F.count(F.lit(1)).alias("n")), "slots")
-    broken = (
-        pairs.groupBy(*line, "theirs").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*line)
-        .unionByName(pairs.groupBy(*line, "ours").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*line))
-        .distinct()
-    )
-    changed = pairs.where("theirs <> ours").select(*line).distinct().withColumn("changed", F.lit(1))
+    broken = pairs.groupBy(*line, "theirs").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*line).distinct()
+    broken = broken.select(*[F.col(c).alias(f"_{c}") for c in line], F.lit(1).alias("broken"))
     key = ["doc_id", "mark", "item_id"]
-    for name, other in (("broken", broken.withColumn("broken", F.lit(1))), ("changed", changed)):
-        other = other.select(*[F.col(c).alias(f"_{c}") for c in line], name)
-        same = F.lit(True)
-        for c in line:
-            same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
-        found = found.join(other, same, "left").drop(*[f"_{c}" for c in line])
-    good = found.where("broken is null").groupBy(*key, "n_windows", "item_place").agg(F.max("changed").alias("changed"))
+    same = F.lit(True)
+    for c in line:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    found = found.join(broken, same, "left").withColumn("changed", F.col("slots") != F.col("item_slots"))
+    good = found.where("broken is null or not changed").groupBy(*key, "n_windows", "item_place").agg(F.max("changed").alias("changed"))
     return (
         good.groupBy(*key, "n_windows")
         .agg(F.count(F.lit(1)).alias("n_matched"), F.max("changed").alias("changed"))
         .where(F.col("n_matched") >= SHARE * F.col("n_windows"))
         .select(
             *key, F.col("n_matched"), F.col("n_windows").cast("bigint").alias("n_windows"),
-            (F.col("n_matched") / F.col("n_windows")).alias("share"), F.col("changed").isNotNull().alias("reparameterised"),
+            (F.col("n_matched") / F.col("n_windows")).alias("share"), F.col("changed").alias("reparameterised"),
         )
     )
 
