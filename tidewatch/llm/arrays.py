@@ -118,13 +118,14 @@ class Words:
         return np.repeat(np.arange(len(self.offsets) - 1), self.counts())
 
 
-def words(part: Slice) -> Words:
+def words(part: Slice, blank: np.ndarray = _SPACE) -> Words:
+    """The words of a slice; ``blank`` tells the bytes between words."""
     data, offsets = part.data, part.offsets
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return Words(none, none, np.zeros(len(offsets), np.int64))
-    space = _SPACE[data]
+    space = blank[data]
     before, after = np.empty(n, bool), np.empty(n, bool)
     before[0] = after[-1] = True
     before[1:], after[:-1] = space[:-1], space[1:]

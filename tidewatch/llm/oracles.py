@@ -75,10 +75,41 @@ select vec_id, (select count(*) from links where a = vec_id) as n_links, compone
 from embeddings join class on id = vec_id"""
 
 
+COLLOCATION = f"""
+with lowered as (
+  select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') as t from documents),
+pieces as (select lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) as piece from lowered),
+split as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as ws from pieces),
+total as (select lang, sum(len(ws)) as n from split group by lang),
+runs as (
+  select lang, k, array_to_string(ws[i : i + k - 1], ' ') as phrase
+  from (select lang, ws, k, unnest(range(1, greatest(len(ws) - k + 2, 1))) as i
+        from split cross join (values (1), (2), (3)) as sizes(k))),
+counted as (select lang, k, phrase, count(*) as a from runs group by all having count(*) >= 10),
+cuts as (
+  select lang, phrase, k, a, string_split(phrase, ' ') as ws, unnest(range(1, k)) as cut from counted where k > 1),
+scored as (
+  select c.lang, c.phrase, c.k, c.a, cut, f.a as l, r.a as r,
+         (1000000::hugeint * c.a * c.a) // (f.a::hugeint * r.a) as score
+  from cuts c join counted f on f.lang = c.lang and f.phrase = array_to_string(ws[1 : cut], ' ')
+       join counted r on r.lang = c.lang and r.phrase = array_to_string(ws[cut + 1 :], ' ')),
+worst as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+inner_phrases as (
+  select lang, array_to_string(string_split(phrase, ' ')[i : i + 1], ' ') as phrase, a as longer
+  from counted cross join (values (1), (2)) as places(i) where k = 3),
+covered as (
+  select lang, phrase from worst join inner_phrases using (lang, phrase) where 100 * longer >= 50 * a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r,
+       cast(n as bigint) as n, cast(score as bigint) as score
+from worst anti join covered using (lang, phrase) join total using (lang)
+qualify rank <= 2000"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_suffix_dedup": SUFFIX,
         "op8_embedding_dedup": EMBEDDING,
         "op9_minhash_dedup": MINHASH,
         "op10_substring_dedup": SUBSTRING,
+        "op11_collocations": COLLOCATION,
     }

@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.staging import new_folder, stage
@@ -35,8 +35,8 @@ SENT = "part int, block int, sent binary"
 ANSWER = "part int, kind string, block int, bits binary"
 
 
-def deal(docs: DataFrame) -> DataFrame:
-    """``part, doc_id, text`` of all rows, written in buckets of ``part``."""
+def deal(docs: DataFrame, *more: Column) -> DataFrame:
+    """``part, doc_id, text`` and ``more`` of all rows, written in buckets of ``part``."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"dealt_{uuid.uuid4().hex}"
@@ -46,6 +46,7 @@ def deal(docs: DataFrame) -> DataFrame:
             (F.spark_partition_id() * cuts + F.pmod(F.xxhash64("doc_id"), F.lit(cuts))).cast("int").alias("part"),
             F.col("doc_id").cast("bigint").alias("doc_id"),
             F.col("text").cast("string").alias("text"),
+            *more,
         )
         .write.bucketBy(buckets, "part")
         .option("path", new_folder(spark, "dealt"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import (
-    decontamination, embedding_dedup, minhash_dedup, mixing, oracles, pii, quality, substring_dedup,
+    collocations, decontamination, embedding_dedup, minhash_dedup, mixing, oracles, pii, quality, substring_dedup,
     suffix_dedup, token_counts, url_filter,
 )
 
@@ -65,12 +65,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_quality, op2_pii, op3_suffix_dedup, op4_mixing, op5_token_counts, op6_url_filter,
             op7_decontamination, op8_embedding_dedup, op9_minhash_dedup, op10_substring_dedup,
+            op11_collocations,
         )
     }
 
