@@ -40,13 +40,14 @@ def brute(rows, longest=3, least=10, share=50, top=2000):
             l, r = counts[lang, *ws[:k]], counts[lang, *ws[k:]]
             cuts.append((1000000 * a * a // (l * r), k, l, r))
         found[lang, *ws] = (a, min(cuts))
+    longer = Counter()
+    for (lang, *us), (b, _) in found.items():
+        for k in range(2, len(us)):
+            for i in range(len(us) - k + 1):
+                longer[lang, *us[i : i + k]] = max(longer[lang, *us[i : i + k]], b)
     out = []
     for (lang, *ws), (a, (score, _, l, r)) in found.items():
-        longer = [
-            b for (other, *us), (b, _) in found.items()
-            if other == lang and len(us) > len(ws) and any(us[i : i + len(ws)] == ws for i in range(len(us)))
-        ]
-        if not any(100 * b >= share * a for b in longer):
+        if 100 * longer[lang, *ws] < share * a:
             out.append((lang, -score, -a, " ".join(ws).encode(), l, r))
     out.sort()
     ranked, seen = [], Counter()
