@@ -103,7 +103,7 @@ def test_summary_loses_no_frequent_key(least):
     parts = [np.unique(x, return_counts=True) for x in np.array_split(keys, 17)]
     halves = []
     for some in (parts[:9], parts[9:]):
-        half = collocations.Summary(len(keys) // least + 1)
+        half = collocations.Summary(len(keys) // least + 1, least)
         for k, n in some:
             half.merge(k, n)
             assert len(half.keys) <= half.capacity
@@ -112,7 +112,7 @@ def test_summary_loses_no_frequent_key(least):
     whole.lost += halves[1].lost
     whole.merge(halves[1].keys, halves[1].counts)
     exact, often = np.unique(keys, return_counts=True)
-    assert set(exact[often >= least].tolist()) <= set(whole.survivors(least).tolist())
+    assert set(exact[often >= least].tolist()) <= set(whole.survivors().tolist())
     assert whole.lost * (whole.capacity + 1) <= len(keys)
 
 
@@ -129,7 +129,7 @@ def test_capacity_binds_and_answers_are_whole(spark, monkeypatch):
 
     monkeypatch.setattr(collocations.Summary, "merge", watched)
     counts = np.unique(np.random.default_rng(1).integers(0, 10**9, 5000).astype(np.uint64), return_counts=True)
-    summary = collocations.Summary(5000 // 10 + 1)
+    summary = collocations.Summary(5000 // 10 + 1, 10)
     summary.merge(*counts)
     assert taken[-1] > 0 and len(summary.keys) <= summary.capacity
     monkeypatch.undo()

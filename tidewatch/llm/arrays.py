@@ -54,7 +54,7 @@ class Powers:
                 setattr(self, name, np.cumprod(x))
 
 
-_ONE, _TWO = Powers(0xD1342543DE82EF95), Powers(0xAF251AF3B0F025B5)
+_ONE, TWO = Powers(0xD1342543DE82EF95), Powers(0xAF251AF3B0F025B5)
 
 
 class Rolling:
@@ -72,7 +72,7 @@ class Rolling:
 
 def wide(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """128 bits for each stretch: two independent 64-bit hashes."""
-    return Rolling(values).of(start, end), Rolling(mix(values), _TWO).of(start, end)
+    return Rolling(values).of(start, end), Rolling(mix(values), TWO).of(start, end)
 
 
 @dataclass

@@ -8,23 +8,24 @@ counted, in two passes over documents that stay where they were dealt:
    partition merges what it gets into one Misra-Gries summary. Its capacity exceeds the
    partition's mass divided by the threshold, so what the summary takes off any count, in all, is
    below the threshold: whatever reaches it is still there, and a run whose count and loss
-   together stay below it is surely too rare. The answer is one bit for each hash sent. A count that a part
-   sends stops at the threshold, as it then proves itself; a run that is everywhere adds no more to the mass
-   than that for each part.
-2. Parts count the surviving runs as text, and their sums are exact. Hashes that collide can only
+   together stay below it is surely too rare. The answer to a part is those of its hashes that survive. A
+   count that a part sends stops at the threshold, as it then proves itself; a run that is everywhere adds
+   no more to the mass than that for each part.
+2. Parts count the surviving runs as text, and their sums are exact. Hashes or marks that collide can only
    let a run survive that the exact count then drops.
 
 Both parts of a frequent phrase are at least as frequent, so all counts that a score needs are there.
 
 Rows: null and empty texts have no words; a null language is ``und``; every row counts, repeated or not, and
 ids are not read. Equal scores and counts are ordered by the phrase's UTF-8 bytes. An empty table has no
-phrases. Memory: a part's run hashes (about 80 bytes for a word), and the longest text.
+phrases. Memory: a part's run hashes (about 80 bytes for a word), the longest text.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,10 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.llm.arrays import FOLDED, Rolling, Slice, Words, mix, slices, wide, word_hashes, words
-from tidewatch.llm.parts import (
-    SENT, answered, ask, bits_for, blocks_for, column, deal, distinct, each_part, pack, part_of, text_bytes, unpack,
-)
+from tidewatch.llm.arrays import FOLDED, TWO, Rolling, Slice, Words, mix, slices, word_hashes, words
+from tidewatch.llm.parts import SENT, ask, blocks_for, column, deal, distinct, each_part, pack, part_of, text_bytes, unpack
 from tidewatch.staging import stage
 
 NO_LANGUAGE = "und"
@@ -43,6 +42,8 @@ NO_LANGUAGE = "und"
 KEY_BITS = 40
 #: Bytes of text to each run that a part sends, about; only the number of partitions depends on it.
 _BYTES_A_RUN = 5
+#: Texts are taken in slices of about so many bytes.
+SLICE = 4 << 20
 #: Shares in which a language's best phrases are chosen before they meet.
 _SHARES = 64
 _U = np.uint64
@@ -51,21 +52,25 @@ _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
 _BLANK = _BREAK.copy()
 _BLANK[list(b" \t")] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
 COUNTED = "lang string, n_words int, phrase string, n bigint"
 
 
 class Runs:
-    """The runs of words of a slice, piece by piece."""
+    """The runs of words of a slice, piece by piece, and a 64-bit hash of each run and its language."""
 
-    def __init__(self, part: Slice):
+    def __init__(self, part: Slice, salts: np.ndarray):
+        self.part = part
         self.words: Words = words(part, _BLANK)
         self.hashes = word_hashes(part, self.words, FOLDED)
-        marks = _BREAK[part.data].astype(np.int64)
+        marks = _BREAK[part.data].astype(np.int32)
         begin = part.offsets[:-1]
         np.add.at(marks, begin[begin < len(marks)], 1)
-        self.piece = np.cumsum(marks)[self.words.start]
-        self.document = self.words.documents()
+        self.piece = np.cumsum(marks, dtype=np.int32)[self.words.start]
+        self.rolling = Rolling(self.hashes)
+        self.salts = salts[self.words.documents()]
 
     def starts(self, length: int) -> np.ndarray:
         last = len(self.piece) - length + 1
@@ -73,6 +78,9 @@ class Runs:
             return np.zeros(0, np.int64)
         return np.flatnonzero(self.piece[:last] == self.piece[length - 1 :])
 
+    def of(self, start: np.ndarray, length: int) -> np.ndarray:
+        return mix(self.rolling.of(start, start + length) ^ self.salts[start])
+
 
 def _salts(languages: list[str]) -> np.ndarray:
     """A 64-bit value for the language of each document."""
@@ -80,29 +88,10 @@ def _salts(languages: list[str]) -> np.ndarray:
     return np.array([known[x] for x in languages], _U)
 
 
-def _keys(runs: Runs, salts: np.ndarray, longest: int, bits: int) -> list[np.ndarray]:
-    """Hash of each run, by length: as many leading bits as the partitions and `KEY_BITS` need."""
-    rolling = Rolling(runs.hashes)
-    found = []
-    for length in range(1, longest + 1):
-        start = runs.starts(length)
-        hashed = mix(rolling.of(start, start + length) ^ salts[runs.document[start]])
-        found.append(hashed >> _U(64 - bits))
-    return found
-
-
-class _Own:
-    """The distinct run hashes of a part, in ascending order, with their counts."""
-
-    def __init__(self, docs: pa.Table, longest: int, blocks: int):
-        self.bits = KEY_BITS + int(np.log2(blocks))
-        self.languages = column(docs, "lang").to_pylist()
-        self.salts = _salts(self.languages)
-        found = [np.zeros(0, _U)]
-        for part in slices(column(docs, "text")):
-            found += _keys(Runs(part), self.salts[part.first : part.first + len(part)], longest, self.bits)
-        self.keys, self.counts = np.unique(np.concatenate(found), return_counts=True)
-        self.block = (self.keys >> _U(KEY_BITS)).astype(np.int64)
+def _all_runs(docs: pa.Table) -> Iterator[Runs]:
+    salts = _salts(column(docs, "lang").to_pylist())
+    for part in slices(column(docs, "text"), SLICE):
+        yield Runs(part, salts[part.first : part.first + len(part)])
 
 
 def _count_type(least: int) -> type:
@@ -110,101 +99,168 @@ def _count_type(least: int) -> type:
 
 
 def _send(docs: pa.Table, longest: int, least: int, blocks: int) -> pa.Table:
-    own = _Own(docs, longest, blocks)
+    """A part's distinct hashes, as many leading bits as the partitions and `KEY_BITS` need, and counts."""
+    found = [np.zeros(0, _U)]
+    for runs in _all_runs(docs):
+        for length in range(1, longest + 1):
+            found.append(runs.of(runs.starts(length), length) >> _U(64 - _bits(blocks)))
+    keys, counts = np.unique(np.concatenate(found), return_counts=True)
     return pack(
-        part_of(docs), own.block, blocks,
-        own.keys.astype(np.uint32), (own.keys >> _U(32)).astype(np.uint8),
-        np.minimum(own.counts, least).astype(_count_type(least)),
+        part_of(docs), (keys >> _U(KEY_BITS)).astype(np.int64), blocks,
+        keys.astype(np.uint32), (keys >> _U(32)).astype(np.uint8),
+        np.minimum(counts, least).astype(_count_type(least)),
     )
 
 
-class Summary:
-    """A Misra-Gries summary of at most ``capacity`` counters. ``lost`` is what was taken off any one
-    count; ``lost * (capacity + 1)`` never exceeds the mass taken in."""
+def _bits(blocks: int) -> int:
+    return KEY_BITS + int(np.log2(blocks))
+
 
-    def __init__(self, capacity: int):
-        self.capacity, self.lost = capacity, 0
+class Summary:
+    """A Misra-Gries summary of at most ``capacity`` counters, to find keys that reach ``least``. ``lost`` is
+    what was taken off any one count; ``lost * (capacity + 1)`` never exceeds the mass taken in. A counter
+    stops at ``least``: its key is proved, and what is taken off later stands in ``lost``."""
+
+    def __init__(self, capacity: int, least: int):
+        if least >= 1 << (64 - KEY_BITS):
+            raise ValueError("the threshold is too high")
+        self.capacity, self.least, self.lost = capacity, least, 0
         self.keys, self.counts = np.zeros(0, _U), np.zeros(0, np.int64)
 
     def merge(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Take in counts or the counters of another summary of this capacity."""
-        keys = np.concatenate((self.keys, keys))
-        counts = np.concatenate((self.counts, counts))
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
+        shift = _U(64 - KEY_BITS)
+        both = np.concatenate((self.keys << shift | self.counts.astype(_U), keys << shift | counts.astype(_U)))
+        both.sort()
+        keys, counts = both >> shift, (both & _U((1 << (64 - KEY_BITS)) - 1)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-        keys, counts = keys[first], np.add.reduceat(counts, first) if len(first) else counts
+        if len(first):
+            keys, counts = keys[first], np.minimum(np.add.reduceat(counts, first), self.least)
         if len(keys) > self.capacity:
-            cut = int(np.partition(counts, len(counts) - self.capacity - 1)[len(counts) - self.capacity - 1])
+            place = len(counts) - self.capacity - 1
+            cut = int(np.partition(counts, place)[place])
             counts = counts - cut
             self.lost += cut
             keys, counts = keys[counts > 0], counts[counts > 0]
         self.keys, self.counts = keys, counts
 
-    def survivors(self, least: int) -> np.ndarray:
+    def survivors(self) -> np.ndarray:
         """All keys that may have reached ``least``, ascending."""
-        return self.keys[self.counts + self.lost >= least]
+        return self.keys[self.counts + self.lost >= self.least]
+
+
+class _Marks:
+    """Which keys are in a set, and a few more: one bit of a table by the low bits of the key."""
+
+    def __init__(self, keys: np.ndarray, bits: int):
+        self.mask = _U((1 << bits) - 1)
+        self.table = np.zeros(1 << bits, bool)
+        self.table[keys & self.mask] = True
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        return self.table[keys & self.mask]
 
 
 def _judge(got: pa.Table, least: int) -> pa.Table:
-    """Merge what the parts sent to a partition, and tell each which of its runs survive."""
+    """Merge what the parts sent to a partition, and return to each which of its runs survive."""
     sent = []
     for raw in got["sent"].to_pylist():
         low, high, counts = unpack(raw, np.uint32, np.uint8, _count_type(least))
-        sent.append((low.astype(_U) | (high.astype(_U) << _U(32)), counts.astype(np.int64)))
-    summary = Summary(sum(int(counts.sum()) for _, counts in sent) // least + 1)
+        sent.append((low.astype(_U) | (high.astype(_U) << _U(32)), counts))
+    summary = Summary(sum(int(counts.sum(dtype=np.int64)) for _, counts in sent) // least + 1, least)
     waiting, size = [], 0
-    for keys, counts in sent:
+    for i, (keys, counts) in enumerate(sent):
         waiting.append((keys, counts))
         size += len(keys)
-        if size > summary.capacity:
+        if size > summary.capacity or i == len(sent) - 1:
             summary.merge(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
             waiting, size = [], 0
-    if waiting:
-        summary.merge(*(np.concatenate(x) for x in zip(*waiting, strict=True)))
-    stay = summary.survivors(least)
-    if not len(stay):
-        return answered(got, "run", [np.zeros(len(keys), bool) for keys, _ in sent])
-    place = [np.minimum(np.searchsorted(stay, keys), len(stay) - 1) for keys, _ in sent]
-    return answered(got, "run", [stay[p] == keys for p, (keys, _) in zip(place, sent, strict=True)])
+    stay = _Marks(summary.survivors(), 22)
+    answers = []
+    for keys, _ in sent:
+        keys = keys[stay[keys]]
+        answers.append(keys.astype(np.uint32).tobytes() + (keys >> _U(32)).astype(np.uint8).tobytes())
+    return pa.table(
+        {
+            "part": column(got, "part"), "kind": pa.array(["run"] * len(sent), pa.string()),
+            "block": column(got, "block"), "bits": pa.array(answers, pa.binary()),
+        }
+    )
+
+
+def _texts(runs: Runs, start: np.ndarray, length: int) -> pa.Array:
+    """The runs' words in lower case, one blank between them."""
+    data, begin, end = runs.part.data, runs.words.start[start], runs.words.end[start + length - 1]
+    size = end - begin
+    offsets = np.concatenate(([0], np.cumsum(size)))
+    step = np.arange(offsets[-1]) - np.repeat(offsets[:-1], size)
+    chars = data[np.repeat(begin, size) + step]
+    made = pa.Array.from_buffers(
+        pa.large_binary(), len(size), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(_LOWER[chars])]
+    ).cast(pa.binary())
+    if length == 1:
+        return made
+    blanks, tabs = (np.add.reduceat(chars == c, offsets[:-1], dtype=np.int64) if len(size) else size for c in (32, 9))
+    wider = np.flatnonzero((blanks != length - 1) | (tabs > 0))
+    if not len(wider):
+        return made
+    texts = made.to_pylist()
+    for i in wider.tolist():
+        texts[i] = b" ".join(texts[i].split())
+    return pa.array(texts, pa.binary())
 
 
 def _count(docs: pa.Table, answers: pa.Table, longest: int, blocks: int) -> pa.Table:
     """Counts of a part's surviving runs as text, and of all its words (``n_words`` 0) by language."""
-    own = _Own(docs, longest, blocks)
-    stay = own.keys[bits_for(answers, "run", own.block)]
-    counts: Counter = Counter()
-    for part in slices(column(docs, "text")):
-        mine = slice(part.first, part.first + len(part))
-        runs, salts, languages = Runs(part), own.salts[mine], own.languages[mine]
-        for language, n in zip(languages, runs.words.counts().tolist(), strict=True):
-            counts[language, 0, b""] += n
-        data = part.data.tobytes().lower()
-        for length, keys in enumerate(_keys(runs, salts, longest, own.bits), 1):
+    keys = [np.zeros(0, _U)]
+    for block, raw in zip(answers["block"].to_pylist(), answers["bits"].to_pylist(), strict=True):
+        low, high = unpack(raw, np.uint32, np.uint8)
+        keys.append(low.astype(_U) | (high.astype(_U) << _U(32)) | _U(block << KEY_BITS))
+    stay = _Marks(np.concatenate(keys), 24)
+    languages = column(docs, "lang")
+    n_words: Counter = Counter()
+    found: list[tuple] = []
+    for runs in _all_runs(docs):
+        first, of = runs.part.first, runs.words.documents()
+        counts = runs.words.counts()
+        for d, n in enumerate(counts.tolist()):
+            n_words[languages[first + d].as_py()] += n
+        other = Rolling(mix(runs.hashes), TWO)
+        for length in range(1, longest + 1):
             start = runs.starts(length)
-            if not len(stay) or not len(start):
-                continue
-            place = np.minimum(np.searchsorted(stay, keys), len(stay) - 1)
-            start = start[stay[place] == keys]
-            one, two = wide(runs.hashes, start, start + length)
-            salt = salts[runs.document[start]]
-            order, new = distinct(one ^ salt, two ^ salt)
-            first = np.flatnonzero(new)
-            often = np.diff(np.append(first, len(order))).tolist()
-            begin = start[order[first]]
-            begins, ends = runs.words.start[begin].tolist(), runs.words.end[begin + length - 1].tolist()
-            of = runs.document[begin].tolist()
-            for a, b, d, n in zip(begins, ends, of, often, strict=True):
-                phrase = data[a:b] if length == 1 else b" ".join(data[a:b].split())
-                counts[languages[d], length, phrase] += n
-    return pa.table(
-        {
-            "lang": pa.array([k[0] for k in counts], pa.string()),
-            "n_words": pa.array([k[1] for k in counts], pa.int32()),
-            "phrase": pa.array([k[2] for k in counts], pa.binary()).cast(pa.string()),
-            "n": pa.array(list(counts.values()), pa.int64()),
-        }
-    )
+            one = runs.of(start, length)
+            mine = stay[one >> _U(64 - _bits(blocks))]
+            start, one = start[mine], one[mine]
+            two = other.of(start, start + length) ^ runs.salts[start]
+            order, new = distinct(one, two)
+            begin = np.flatnonzero(new)
+            often = np.diff(np.append(begin, len(order)))
+            begin = order[begin]
+            found.append((
+                one[begin], two[begin], often, np.full(len(begin), length, np.int32), first + of[start[begin]],
+                _texts(runs, start[begin], length),
+            ))
+    if found:
+        one, two, often, length, document = (np.concatenate([f[i] for f in found]) for i in range(5))
+        order, new = distinct(one, two)
+        begin = np.flatnonzero(new)
+        kept = order[begin]
+        sums = np.add.reduceat(often[order], begin) if len(begin) else often
+        made = [
+            languages.take(pa.array(document[kept])), pa.array(length[kept]),
+            pa.concat_arrays([f[5] for f in found]).take(pa.array(kept)).cast(pa.string()), pa.array(sums.astype(np.int64)),
+        ]
+    else:
+        made = [pa.array([], t) for t in (pa.string(), pa.int32(), pa.string(), pa.int64())]
+    totals = list(n_words.items())
+    names = ["lang", "n_words", "phrase", "n"]
+    return pa.concat_tables([
+        pa.table(made, names=names),
+        pa.table([
+            pa.array([k for k, _ in totals], pa.string()), pa.array([0] * len(totals), pa.int32()),
+            pa.array([""] * len(totals), pa.string()), pa.array([n for _, n in totals], pa.int64()),
+        ], names=names),
+    ])
 
 
 def frequent(docs: DataFrame, longest: int = 3, least: int = 10) -> DataFrame:
