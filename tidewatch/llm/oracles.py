@@ -105,6 +105,42 @@ from worst anti join covered using (lang, phrase) join total using (lang)
 qualify rank <= 2000"""
 
 
+TRIE = f"""
+with turns as (
+  select conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as k,
+         len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) as w
+  from conversations where conv_id is not null),
+own as (select conv_id, list({{'k': k, 'w': w}} order by turn nulls first, k) as ts from turns group by conv_id),
+-- the checksum takes in a byte, then eight times a bit (-1)
+coded as (
+  select conv_id, ts, xor(list_reduce(
+    flatten(list_transform(string_split(conv_id::varchar, ''), lambda c: [ascii(c)::bigint] || [-1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, x: case when x >= 0 then xor(a, x) when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end,
+    4294967295::bigint), 4294967295) % 4 as h
+  from own),
+rebuilt as (
+  select c.conv_id, coalesce(b.ts[1 : h], []) || c.ts[h + 1 :] as ts
+  from coded c left join own b on b.conv_id = c.conv_id - c.conv_id % 20),
+beginnings as (select conv_id, ts, unnest(range(0, len(ts) + 1)) as depth from rebuilt),
+spelled as (
+  select conv_id, depth, array_to_string([t.k for t in ts[1 : depth]], '') as node, len(ts) = depth as whole,
+         coalesce(ts[depth].w, 0) as w
+  from beginnings),
+nodes as (
+  select node, depth, min(conv_id) as conv_id, count(*) as n_convs, max(w) as w,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (whole), '')) as ends_sha256
+  from spelled group by node, depth),
+linked as (
+  select c.*, p.node as above, p.conv_id as parent_conv_id
+  from nodes c left join nodes p on p.depth = c.depth - 1 and p.node = left(c.node, 32 * (c.depth - 1)::int)),
+counted as (select *, (select count(*) from linked x where x.above = n.node) as n_children from linked n)
+select t.conv_id, t.depth, t.parent_conv_id, t.n_convs, t.n_children,
+       cast(count(*) filter (s.n_children = 0) as bigint) as n_leaves,
+       cast(sum((s.n_convs - 1) * s.w) as bigint) as saved_tokens, t.ends_sha256
+from counted t join counted s on starts_with(s.node, t.node)
+group by t.node, t.conv_id, t.depth, t.parent_conv_id, t.n_convs, t.n_children, t.ends_sha256"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_suffix_dedup": SUFFIX,
@@ -112,4 +148,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_minhash_dedup": MINHASH,
         "op10_substring_dedup": SUBSTRING,
         "op11_collocations": COLLOCATION,
+        "op13_conversation_trie": TRIE,
     }

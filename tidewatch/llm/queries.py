@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import (
-    collocations, decontamination, embedding_dedup, minhash_dedup, mixing, oracles, pii, quality, substring_dedup,
-    suffix_dedup, token_counts, url_filter,
+    collocations, conversation_trie, decontamination, embedding_dedup, minhash_dedup, mixing, oracles, packing, pii,
+    quality, substring_dedup, suffix_dedup, token_counts, url_filter,
 )
+from tidewatch.staging import stage
 
 #: The model file whose pieces op5 counts; another one may be named in the session.
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+#: The model file of op12; another one may be named in the session.
+BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,13 +72,22 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), spark.conf.get("tidewatch.byte_bpe", BYTE_BPE))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = stage(conversation_trie.paths(table(spark, sf_dir, "conversations")), "paths")
+    return conversation_trie.trie(conversation_trie.grafted(own))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_quality, op2_pii, op3_suffix_dedup, op4_mixing, op5_token_counts, op6_url_filter,
             op7_decontamination, op8_embedding_dedup, op9_minhash_dedup, op10_substring_dedup,
-            op11_collocations,
+            op11_collocations, op12_packing, op13_conversation_trie,
         )
     }
 
