@@ -145,20 +145,6 @@ def test_encoder_may_forget(tokenizer, monkeypatch):
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tokenizer.encode(t).ids for t in texts]
 
 
-def test_encoder_survives_equal_hashes(tokenizer, monkeypatch):
-    """Units with the same first hash are told apart by the second."""
-    wide = byte_bpe.wide
-
-    def poor(values, start, end):
-        one, two = wide(values, start, end)
-        return one & np.uint64(7), two
-
-    monkeypatch.setattr(byte_bpe, "wide", poor)
-    texts = [f"some words {i} and more {i * 7}" for i in range(30)]
-    got = byte_bpe.Encoder(MODEL).documents(pa.array(texts))
-    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [tokenizer.encode(t).ids for t in texts]
-
-
 # --- the operator -----------------------------------------------------------------------
 
 

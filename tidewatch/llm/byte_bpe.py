@@ -2,8 +2,8 @@
 
 The model's splitting pattern never joins characters over certain places: the edges of white space, where a
 single blank goes with the word after it, and a change between ASCII letters or digits and ASCII
-punctuation. Texts are cut there into units, as arrays; units are told apart by 128 bits of
-hash, and only those not seen before are tokenized. What the two tokenizer libraries might split differently
+punctuation. Texts are cut there into units, and the units of a slice become an Arrow dictionary, so that only
+those not seen before are tokenized. What the two tokenizer libraries might split differently
 (characters outside `_PLAIN`) and texts with rare white space or with special tokens go to the model's own
 library.
 """
@@ -17,21 +17,16 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-from tidewatch.llm.arrays import BYTES, Slice, slices, wide
+from tidewatch.llm.arrays import Slice, slices
 
 #: Texts are taken in slices of about so many bytes; so many units are remembered.
 CHUNK, KNOWN = 4 << 20, 1 << 20
-_U = np.uint64
 
 #: The splitting pattern of the model family, a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-# White space other than blank, tab, line feed and carriage return, and characters that some take for it.
-_RARE = (
-    rb"[\x0b\x0c\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe1\xa0\x8e|\xe2\x80[\x80-\x8f\xa8-\xaf]"
-    rb"|\xe2\x81[\x9f-\xaf]|\xe3\x80\x80|\xef\xbb\xbf"
-)
 # Characters whose kind (letter, number, other) has not changed since Unicode 5.
 _PLAIN = re.compile("[\t\n\r -~¡-ɏ‐-‧€Α-Ωα-ωА-яぁ-ゖァ-ヺ一-龥가-힣]*")
 
@@ -41,6 +36,8 @@ _KIND = np.zeros(256, np.uint8)  # 1: letter or digit, 2: punctuation, 0: goes w
 for _b in range(33, 127):
     _KIND[_b] = 1 if chr(_b).isalnum() else 2
 _KIND[ord("'")] = 0
+_RARE_LEAD = np.zeros(256, bool)
+_RARE_LEAD[[0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]] = True
 
 
 def _bytes_of_characters() -> dict[str, int]:
@@ -72,6 +69,29 @@ def unit_starts(part: Slice) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def rare_places(data: np.ndarray) -> np.ndarray:
+    """Where there is white space other than blank, tab, line feed and carriage return, or a character that
+    some take for it."""
+    at = np.flatnonzero(_RARE_LEAD[data])
+    one = data[at]
+    two, three = (np.append(data, np.zeros(2, np.uint8))[at + i] for i in (1, 2))
+    rare = one < 0x20
+    rare |= (one == 0xC2) & ((two == 0x85) | (two == 0xA0))
+    rare |= (one == 0xE1) & (((two == 0x9A) & (three == 0x80)) | ((two == 0xA0) & (three == 0x8E)))
+    rare |= (one == 0xE2) & (two == 0x80) & ((three <= 0x8F) | ((three >= 0xA8) & (three <= 0xAF)))
+    rare |= (one == 0xE2) & (two == 0x81) & (three >= 0x9F) & (three <= 0xAF)
+    rare |= (one == 0xE3) & (two == 0x80) & (three == 0x80)
+    rare |= (one == 0xEF) & (two == 0xBB) & (three == 0xBF)
+    return at[rare]
+
+
+def _offsets_and_bytes(units: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    _, place, data = units.buffers()
+    offsets = np.frombuffer(place, np.int64, len(units) + 1, 8 * units.offset)
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return offsets - offsets[0], data[offsets[0] : offsets[-1]]
+
+
 class Encoder:
     """``Encoder(file)(column)`` gives ``(first, ids, offsets)`` for slices of a text column."""
 
@@ -82,11 +102,10 @@ class Encoder:
         with open(model_file, encoding="utf-8") as f:
             model = json.load(f)
         self.own = Tokenizer.from_file(model_file)
-        special = [x["content"] for x in model["added_tokens"]]
-        self.apart = re.compile(b"|".join([_RARE, *(re.escape(x.encode()) for x in special)]))
+        self.special = [x["content"].encode() for x in model["added_tokens"]]
         vocabulary, split = model["model"]["vocab"], model["pre_tokenizer"]
         byte = _bytes_of_characters()
-        ranks = {bytes(byte[c] for c in x): i for x, i in vocabulary.items() if x not in special}
+        ranks = {bytes(byte[c] for c in x): i for x, i in vocabulary.items() if x.encode() not in self.special}
         merged = [bytes(byte[c] for c in "".join(m if isinstance(m, list) else m.split(" "))) for m in model["model"]["merges"]]
         if (
             split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True)
@@ -100,85 +119,80 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.one, self.two = np.zeros(0, _U), np.zeros(0, _U)  # hashes of known units, ascending by the first
-        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)  # their ids in self.ids
+        self.known = pa.array([], pa.large_binary())
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)  # ids of known units, in self.ids
         self.ids = np.zeros(0, np.uint32)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.own.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _tokenize(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of units, joined, and how many each has. Words follow one another as in a text; the
-        edges of units come from the widths of the ids."""
-        odd = [i for i, u in enumerate(units) if _WHITE[u[-1]] or not _PLAIN.fullmatch(u.decode())]
-        gone = set(odd)
-        sizes = np.zeros(len(units), np.int64)
-        kept = [i for i in range(len(units)) if i not in gone]
+    def _in_a_row(self, units: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units that follow one another as in a text, and how many each has. The edges of units
+        come from the widths of the ids."""
+        offsets, data = _offsets_and_bytes(units)
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(units), np.int64)
         # a unit that does not begin with a blank follows a line end, which is a unit of its own
-        text = b"".join(units[i] if units[i][0] == 32 else b"\n" + units[i] for i in kept).decode()
-        ids = self.fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=()) if text else np.zeros(0, np.uint32)
-        edge = np.cumsum(self.width[ids])
-        lead = np.array([units[i][0] != 32 for i in kept], np.int64)
-        length = np.array([len(units[i]) for i in kept], np.int64)
-        end = np.cumsum(length + lead)
+        lead = data[offsets[:-1]] != 32
+        text = np.insert(data, offsets[:-1][lead], 10).tobytes().decode()
+        ids = self.fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
+        edge, end = np.cumsum(self.width[ids]), offsets[1:] + np.cumsum(lead)
         last = np.searchsorted(edge, end) + 1
-        first = np.concatenate(([0], last[:-1])) + lead if len(last) else last
-        if len(end) and (edge[last - 1] != end).any():
+        if (edge[last - 1] != end).any():
             raise ValueError("the model joins characters over the edge of a unit")
-        sizes[kept] = last - first
-        other = {i: self.whole(units[i].decode()) for i in odd}
-        for i, x in other.items():
-            sizes[i] = len(x)
-        out = np.empty(int(sizes.sum()), np.uint32)
-        begin = np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(sizes) else sizes
-        if kept:
-            _gather(ids, first, sizes[kept], out, begin[kept])
-        for i, x in other.items():
-            out[begin[i] : begin[i] + len(x)] = x
-        return out, sizes
-
-    def _learn(self, data: bytes, start: np.ndarray, end: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
-        units = [data[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
-        ids, sizes = self._tokenize(units)
-        begin = len(self.ids) + np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        self.ids = np.concatenate((self.ids, ids))
-        one = np.concatenate((self.one, one))
-        order = np.argsort(one, kind="stable")
-        self.one = one[order]
-        self.two = np.concatenate((self.two, two))[order]
-        self.begin = np.concatenate((self.begin, begin))[order]
-        self.size = np.concatenate((self.size, sizes))[order]
+        keep = np.ones(len(ids), bool)
+        keep[np.concatenate(([0], last[:-1]))[lead]] = False
+        return ids[keep], np.diff(last, prepend=0) - lead
+
+    def _learn(self, units: pa.LargeBinaryArray) -> None:
+        """Tokenize units and remember them."""
+        offsets, data = _offsets_and_bytes(units)
+        odd = _WHITE[data[offsets[1:] - 1]]
+        for i in np.flatnonzero(np.maximum.reduceat(data, offsets[:-1]) >= 0x80).tolist():
+            odd[i] = odd[i] or not _PLAIN.fullmatch(units[i].as_py().decode())
+        plain = units.filter(pa.array(~odd))
+        ids, sizes = self._in_a_row(plain)
+        others = [self.whole(x.decode()) for x in units.filter(pa.array(odd)).to_pylist()]
+        sizes = np.concatenate((sizes, np.array([len(x) for x in others], np.int64)))
+        self.begin = np.concatenate((self.begin, len(self.ids) + np.cumsum(sizes) - sizes))
+        self.size = np.concatenate((self.size, sizes))
+        self.ids = np.concatenate([self.ids, ids, *others])
+        self.known = pa.concat_arrays([self.known, plain, units.filter(pa.array(odd))])
+
+    def _rows(self, units: pa.LargeBinaryArray) -> np.ndarray:
+        """The row of each unit among those known."""
+        coded = units.dictionary_encode()
+        place = pc.index_in(coded.dictionary, self.known)
+        if place.null_count:
+            if len(self.known) + place.null_count > KNOWN:
+                self._forget()
+                place = pc.index_in(coded.dictionary, self.known)
+            self._learn(coded.dictionary.filter(place.is_null()))
+            place = pc.index_in(coded.dictionary, self.known)
+        return place.to_numpy()[coded.indices.to_numpy()]
 
     def _slice(self, part: Slice) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of a slice, and where each document's begin."""
         start = unit_starts(part)
-        end = np.append(start[1:], len(part.data)) if len(start) else start
-        one, two = wide(BYTES[part.data], start, end)
-        seen, at = np.unique(one, return_index=True)
-        place = np.searchsorted(self.one, seen)
-        new = np.ones(len(seen), bool)
-        near = place < len(self.one)
-        new[near] = self.one[place[near]] != seen[near]
-        data = part.data.tobytes()
-        if new.any():
-            if len(self.one) + int(new.sum()) > KNOWN:
-                self._forget()
-                new[:] = True
-            at = at[new]
-            self._learn(data, start[at], end[at], one[at], two[at])
-        row = np.searchsorted(self.one, one)
+        if not len(start):
+            return np.zeros(0, np.uint32), np.zeros(len(part.offsets), np.int64)
+        edges = np.append(start, len(part.data)).astype(np.int64)
+        row = self._rows(
+            pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(edges), pa.py_buffer(part.data)])
+        )
         size = self.size[row]
-        begin = np.concatenate(([0], np.cumsum(size)))
-        ids = np.empty(int(begin[-1]), np.uint32)
-        _gather(self.ids, self.begin[row], size, ids, begin[:-1])
-        offsets = begin[np.searchsorted(start, part.offsets)]
-        # documents apart, and any in which a unit has the first hash of another one
-        clash = np.searchsorted(part.offsets, start[self.two[row] != two], "right") - 1
-        alone = {int(np.searchsorted(part.offsets, m.start(), "right")) - 1 for m in self.apart.finditer(data)}
-        alone |= set(clash.tolist())
-        if alone:
-            pieces = [ids[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-            for d in alone:
+        end = np.cumsum(size)
+        ids = self.ids[np.repeat(self.begin[row] - (end - size), size) + np.arange(int(end[-1]))]
+        offsets = np.concatenate(([0], end))[np.searchsorted(start, part.offsets)]
+        data, apart = part.data.tobytes(), rare_places(part.data).tolist()
+        for token in self.special:
+            at = data.find(token)
+            while at >= 0:
+                apart.append(at)
+                at = data.find(token, at + 1)
+        if apart:
+            pieces = [ids[a:b] for a, b in pairwise(offsets.tolist())]
+            for d in np.unique(np.searchsorted(part.offsets, apart, "right") - 1).tolist():
                 pieces[d] = self.whole(data[part.offsets[d] : part.offsets[d + 1]].decode())
             ids = np.concatenate(pieces)
             offsets = np.concatenate(([0], np.cumsum([len(x) for x in pieces])))
@@ -195,11 +209,3 @@ class Encoder:
             coded = ids.astype("<u4").tobytes()
             for a, b in pairwise(offsets.tolist()):
                 yield coded[4 * a : 4 * b]
-
-
-def _gather(source: np.ndarray, begin: np.ndarray, size: np.ndarray, target: np.ndarray, to: np.ndarray) -> None:
-    """Copy stretches of ``source`` to ``target``."""
-    if not len(size):
-        return
-    step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    target[np.repeat(to, size) + step] = source[np.repeat(begin, size) + step]
