@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import decay_pct, path_key
+from tidewatch.operators.walks import HopRule
 
 MIN_RING_HOPS = 3
 MIN_CHAIN_HOPS = 4
@@ -202,28 +203,31 @@ def drop_overlapping(paths: DataFrame, others: DataFrame) -> DataFrame:
     return paths.join(touching, "path_key", "left_anti")
 
 
-def layering(walks: DataFrame, rings: DataFrame) -> DataFrame:
-    """Open paths of four or more hops, maximal, with no transfer in a round trip.
+def without_extension(paths: DataFrame, walks: DataFrame, max_hops: int) -> DataFrame:
+    """Open ``paths`` that no transfer can be put before or after, out of all ``walks`` without revisits.
 
-    Any longer path that contains a path also has a part that is exactly one hop longer and
-    contains it, and that part is a path of its own. So only the two keys of each path without
-    its first and without its last transfer are needed to find the paths to drop.
+    A longer path that contains a path also has a part that is exactly one hop longer and contains it. So
+    it is enough to look for one transfer that may precede the first or follow the last, and whose other
+    account is new to the path, or closes it. Paths of ``max_hops`` cannot grow.
     """
-    long_paths = walks.filter(F.col("hops") >= MIN_CHAIN_HOPS)
-    one_less = (
-        long_paths.filter(F.col("hops") > MIN_CHAIN_HOPS)
-        .select(
-            F.explode(
-                F.array(
-                    path_key(F.slice("txn_ids", F.lit(1), F.col("hops") - 1)),
-                    path_key(F.slice("txn_ids", F.lit(2), F.col("hops") - 1)),
-                )
-            ).alias("path_key")
-        )
-        .distinct()
+    pairs = walks.filter("hops = 2")
+    after = pairs.select(F.element_at("txn_ids", 1).alias("_last"), F.col("cur").alias("_next")).distinct()
+    before = pairs.select(F.element_at("txn_ids", 2).alias("_first"), F.col("origin").alias("_previous")).distinct()
+    ends = paths.withColumn("_first", F.get("txn_ids", F.lit(0))).withColumn("_last", F.element_at("txn_ids", -1))
+    grows = ends["hops"] < max_hops
+    onward = (ends["_last"] == after["_last"]) & grows & (
+        (after["_next"] == ends["origin"]) | ~F.array_contains(ends["path"], after["_next"])
+    )
+    back = (ends["_first"] == before["_first"]) & grows & (
+        (before["_previous"] == ends["cur"]) | ~F.array_contains(ends["path"], before["_previous"])
     )
-    maximal = long_paths.filter("cur <> origin").join(one_less, "path_key", "left_anti")
-    return drop_overlapping(maximal, rings).select(
+    return ends.join(after, onward, "left_anti").join(before, back, "left_anti").drop("_first", "_last")
+
+
+def layering(walks: DataFrame, rings: DataFrame, max_hops: int = HopRule.max_hops) -> DataFrame:
+    """Open paths of four or more hops, maximal, with no transfer in a round trip."""
+    still_open = walks.filter(F.col("hops") >= MIN_CHAIN_HOPS).filter("cur <> origin")
+    return drop_overlapping(without_extension(still_open, walks, max_hops), rings).select(
         "path_key",
         "origin",
         F.col("cur").alias("ends_on"),

@@ -33,6 +33,7 @@ class HopRule:
     keep: str = "0.80"
     max_hops: int = 8
     revisit: bool = False  # graph patterns may pass an account twice, detectors may not
+    hub_pairs: int = 10_000  # an account with more pairs of a transfer in and one out is a hub
 
 
 def money_edge(transaction: DataFrame, account: DataFrame) -> DataFrame:
@@ -56,8 +57,9 @@ def money_edge(transaction: DataFrame, account: DataFrame) -> DataFrame:
     )
 
 
-def successors(edge: DataFrame, rule: HopRule = HopRule()) -> DataFrame:
-    """All pairs of transfers in which the second may follow the first, as 2-hop paths."""
+def successors(edge: DataFrame, rule: HopRule = HopRule(), onward: DataFrame | None = None) -> DataFrame:
+    """All pairs of transfers in which the second, out of ``onward`` if given, may follow the first, as
+    2-hop paths."""
     first = edge.select(
         F.col("transaction_id").alias("id"),
         "src",
@@ -65,7 +67,7 @@ def successors(edge: DataFrame, rule: HopRule = HopRule()) -> DataFrame:
         F.col("txn_time").alias("time"),
         "amount",
     )
-    then = edge.select(
+    then = (edge if onward is None else onward).select(
         F.col("transaction_id").alias("then_id"),
         F.col("src").alias("then_at"),
         F.col("dst").alias("then_dst"),
@@ -78,6 +80,7 @@ def successors(edge: DataFrame, rule: HopRule = HopRule()) -> DataFrame:
     return pairs.select(
         F.col("src").alias("origin"),
         F.col("then_dst").alias("cur"),
+        F.col("time").alias("first_time"),
         F.col("then_time").alias("last_time"),
         F.col("then_amount").alias("last_amount"),
         F.col("amount").alias("first_amount"),
@@ -87,11 +90,11 @@ def successors(edge: DataFrame, rule: HopRule = HopRule()) -> DataFrame:
     )
 
 
-def _longer(walks: DataFrame, reach: int, top: int, rule: HopRule) -> DataFrame:
-    """All paths of ``reach`` + 1 to ``top`` hops, given all paths of 2 to ``reach`` hops.
+def halves(walks: DataFrame, reach: int, top: int, rule: HopRule) -> tuple[DataFrame, DataFrame]:
+    """Front and back halves of all paths of ``reach`` + 1 to ``top`` hops, given those of 2 to ``reach``.
 
     A path of n hops is taken apart in one way only: a front half and a back half that share
-    one transfer, the front as long as the back or one hop longer.
+    one transfer, ``_shared``, the front as long as the back or one hop longer.
     """
     whole = walks
     if not rule.revisit:
@@ -100,7 +103,7 @@ def _longer(walks: DataFrame, reach: int, top: int, rule: HopRule) -> DataFrame:
     # only these lengths make up paths of reach + 1 to top hops, and only they are shuffled
     front = whole.filter(F.col("hops").between((reach + 3) // 2, (top + 2) // 2)).select(
         F.element_at("txn_ids", -1).alias("_shared"),
-        *[F.col(c).alias(f"f_{c}") for c in ("origin", "first_amount", "hops", "path", "txn_ids")],
+        *[F.col(c).alias(f"f_{c}") for c in ("origin", "first_time", "first_amount", "hops", "path", "txn_ids")],
     )
     back = whole.filter(F.col("hops").between((reach + 2) // 2, (top + 1) // 2)).select(
         F.element_at("txn_ids", 1).alias("_shared"),
@@ -109,7 +112,12 @@ def _longer(walks: DataFrame, reach: int, top: int, rule: HopRule) -> DataFrame:
             for c in ("cur", "last_time", "last_amount", "hops", "path", "txn_ids")
         ],
     )
-    joined = front.join(back, "_shared").filter(
+    return front, back
+
+
+def put_together(joined: DataFrame, reach: int, top: int, rule: HopRule, *keep: str) -> DataFrame:
+    """The paths of halves joined on their shared transfer; the columns ``keep`` are handed on."""
+    joined = joined.filter(
         f"f_hops - b_hops in (0, 1) and f_hops + b_hops - 1 between {reach + 1} and {top}"
     )
     if not rule.revisit:
@@ -121,28 +129,37 @@ def _longer(walks: DataFrame, reach: int, top: int, rule: HopRule) -> DataFrame:
     return joined.selectExpr(
         "f_origin as origin",
         "b_cur as cur",
+        "f_first_time as first_time",
         "b_last_time as last_time",
         "b_last_amount as last_amount",
         "f_first_amount as first_amount",
         "f_hops + b_hops - 1 as hops",
         "concat(f_path, slice(b_path, 3, b_hops - 1)) as path",
         "concat(f_txn_ids, slice(b_txn_ids, 2, b_hops - 1)) as txn_ids",
+        *keep,
     )
 
 
-def long_walks(edge: DataFrame, rule: HopRule = HopRule()) -> DataFrame:
-    """All paths of two or more hops, each round staged in a folder of its own. A file holds
-    few different lengths, so a filter on ``hops`` skips the files of shorter paths."""
-    spark = edge.sparkSession
-    pairs = successors(edge, rule)
+def staged_walks(pairs: DataFrame, most: int, rule: HopRule) -> DataFrame:
+    """All paths of two to ``most`` hops made of ``pairs``, each round staged in a folder of its own. A
+    file holds few different lengths, so a filter on ``hops`` skips the files of shorter paths."""
+    spark = pairs.sparkSession
     folders = [write_stage(pairs, "walk-2")]
     walks = read_stage(spark, pairs.schema, *folders)
     reach = 2
-    while reach < rule.max_hops:
-        top = min(2 * reach - 1, rule.max_hops)
-        folders.append(write_stage(_longer(walks, reach, top, rule), f"walk-{top}"))
+    while reach < most:
+        top = min(2 * reach - 1, most)
+        front, back = halves(walks, reach, top, rule)
+        longer = put_together(front.join(back, "_shared"), reach, top, rule)
+        folders.append(write_stage(longer, f"walk-{top}"))
         walks = read_stage(spark, pairs.schema, *folders)
         reach = top
+    return walks
+
+
+def long_walks(edge: DataFrame, rule: HopRule = HopRule()) -> DataFrame:
+    """All paths of two or more hops, staged."""
+    walks = staged_walks(successors(edge, rule), rule.max_hops, rule)
     return walks.withColumn("path_key", path_key(F.col("txn_ids"))).select(*WALK_COLUMNS)
 
 

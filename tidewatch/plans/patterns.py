@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.operators import rings
+from tidewatch.operators.closing import closing_paths
 from tidewatch.operators.links import shared_identity
 from tidewatch.operators.walks import HopRule, long_walks
 from tidewatch.staging import Staged, stage, step, together
@@ -61,8 +62,12 @@ class Graph(Staged):
     @step
     def closing(self) -> DataFrame:
         """Paths that end on their origin or on an account that shares an identity with it."""
-        together(lambda: self.paths, lambda: self.shared)
-        return stage(rings.round_trip_candidates(self.paths, self.shared), "graph-closing")
+        if "paths" in self.__dict__:
+            found = rings.round_trip_candidates(self.paths, self.shared)
+        else:
+            together(lambda: self.transfers, lambda: self.shared)
+            found = closing_paths(self.transfers, self.shared, GRAPH_RULE)
+        return stage(found, "graph-closing")
 
     @step
     def rings(self) -> DataFrame:
@@ -70,7 +75,8 @@ class Graph(Staged):
 
 
 def cycles(graph: Graph, shortest: int = 3, longest: int = 8) -> DataFrame:
-    return graph.paths.filter("cur = origin").filter(F.col("hops").between(shortest, longest))
+    found = graph.closing.filter("closed_by = 'same_account'").drop("closed_by")
+    return found.filter(F.col("hops").between(shortest, longest))
 
 
 def cycles_3_6(graph: Graph) -> DataFrame:

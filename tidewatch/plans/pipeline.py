@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.operators import links, mule, rings, structuring, walks
+from tidewatch.operators import closing, links, mule, rings, structuring, walks
 from tidewatch.plans import alerts, evaluate
 from tidewatch.sources.sample import SampleTables
 from tidewatch.staging import Staged, noting, stage, step, together
@@ -79,10 +79,17 @@ class Run(Staged):
 
     # --- detections ------------------------------------------------------------------
 
+    def lazy_candidates(self) -> DataFrame:
+        """Closing paths, picked out where all paths have been listed, else put together from halves."""
+        if "long_walks" in self.__dict__:
+            return rings.round_trip_candidates(self.long_walks, self.shared)
+        together(lambda: self.edges, lambda: self.shared)
+        with noting(self.folders):
+            return closing.closing_paths(self.edges, self.shared)
+
     @step
     def candidates(self) -> DataFrame:
-        together(lambda: self.long_walks, lambda: self.shared)
-        return stage(rings.round_trip_candidates(self.long_walks, self.shared), "candidates")
+        return stage(self.lazy_candidates(), "candidates")
 
     def lazy_round_trip(self) -> DataFrame:
         return rings.round_trip(self.candidates, self.shared)
@@ -92,6 +99,7 @@ class Run(Staged):
         return stage(self.lazy_round_trip(), "round-trip")
 
     def lazy_layering(self) -> DataFrame:
+        self.long_walks  # noqa: B018
         # the transfers of all candidates are those of all rings, as each lies inside some ring
         return rings.layering(self.long_walks, self.candidates)
 

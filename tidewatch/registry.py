@@ -314,7 +314,7 @@ RUN_QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "acc_link": lambda r: links.acc_link(r.shared),
     "identity_groups": lambda r: links.value_groups(r.shared),
     "money_walk": money_walk,
-    "round_trip_candidates": lambda r: rings.round_trip_candidates(r.long_walks, r.shared),
+    "round_trip_candidates": lambda r: r.lazy_candidates(),
     "maximal_rings": lambda r: rings.maximal_rings(r.candidates),
     "ring_shared_pairs": lambda r: rings.with_shared_pairs(
         rings.maximal_rings(r.candidates), r.shared
