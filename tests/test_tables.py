@@ -99,6 +99,32 @@ def test_landing_nulls_and_bad_lines(spark, tmp_path):
         landing.land_raw_json(spark, str(bad)).collect()
 
 
+def test_raw_tables_are_loaded_once_and_whole(spark, tmp_path):
+    """What is loaded is stamped once; a load with one bad line leaves all tables as they were."""
+    def lines(name, *texts):
+        path = tmp_path / f"{name}.jsonl"
+        path.write_text("\n".join(texts))
+        return str(path)
+
+    store = str(tmp_path / "raw")
+    good = {
+        "account": lines("a1", '{"account_id": "A", "balance": 1.5, "extra": [1]}', "", '{"account_id": null}'),
+        "device": lines("d1", '{"device_id": "D"}'),
+    }
+    raw = landing.load_raw(spark, store, good)
+    first = sorted(map(str, raw["account"].select("src_file", "loaded_ts").collect()))
+    assert len(first) == 2 and sorted(map(str, raw["account"].select("src_file", "loaded_ts").collect())) == first
+    assert sorted(r.account_id or "" for r in landing.curate(raw["account"], "account").collect()) == ["", "A"]
+    plan = landing.curate(raw["account"], "account").select("account_id")._jdf.queryExecution().toString()
+    assert "parse_json" not in plan and "ReadSchema: struct<payload:struct<0:string>>" in plan
+    bad = {"account": lines("a2", '{"account_id": "B"}'), "device": lines("d2", '{"device_id": "E"}', "{broken")}
+    with pytest.raises(Exception):
+        landing.load_raw(spark, store, bad)
+    again = landing.open_raw(spark, store, ["account", "device"])
+    assert sorted(map(str, again["account"].select("src_file", "loaded_ts").collect())) == first
+    assert [r.device_id for r in landing.curate(again["device"], "device").collect()] == ["D"]
+
+
 def test_gzip_and_time_survive_landing(spark, tmp_path):
     table = sessions(spark, [("s1", "A", "D", None, at(0, 5))]).withColumn("channel", F.lit("web")).withColumn(
         "auth_method", F.lit(None).cast("string"))

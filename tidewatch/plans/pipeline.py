@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidewatch.operators import closing, links, mule, rings, structuring, walks
 from tidewatch.plans import alerts, evaluate
 from tidewatch.sources.sample import SampleTables
+from tidewatch.sources.snapshots import Snapshots
 from tidewatch.staging import Staged, noting, stage, step, together
 
 
@@ -41,17 +42,18 @@ class Run(Staged):
 
     @classmethod
     def opened(cls, spark: SparkSession, folder: str, table: Callable[[str], DataFrame]) -> "Run":
-        """A run over what another one has published; only domain tables come from ``table``."""
+        """A run over what another one has published; only domain tables come from ``table``. All results
+        are of one run, and stay so if another one is published meanwhile."""
         run = cls(table)
-        for name in PUBLISHED:
-            run.__dict__[name] = spark.read.parquet(f"{folder}/{name}")
+        run.__dict__.update(Snapshots(spark, folder).read(PUBLISHED))
         return run
 
-    def publish(self, folder: str) -> None:
-        """Write all results to ``folder``, in place of those of an earlier run."""
+    def publish(self, folder: str, keep: int = 2) -> str:
+        """Publish all results under ``folder`` in place of an earlier run's, at once; the newest ``keep`` runs
+        stay for those who have opened them. The folder of this run's results."""
         self.detect()
-        for name in PUBLISHED:
-            getattr(self, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+        results = {name: getattr(self, name) for name in PUBLISHED}
+        return Snapshots(SparkSession.active(), folder, keep).write(results)
 
     def table(self, name: str) -> DataFrame:
         """A domain table: customer, account, device, ip_address, session, transaction, ..."""
@@ -117,11 +119,11 @@ class Run(Staged):
 
     @step
     def mule(self) -> DataFrame:
-        return mule.mule_ring(self.mule_members)
+        return stage(mule.mule_ring(self.mule_members), "mule")
 
     @step
     def mule_lists(self) -> DataFrame:
-        return mule.mule_accounts(self.mule_members, self.mule)
+        return stage(mule.mule_accounts(self.mule_members, self.mule), "mule-lists")
 
     @step
     def mule_found(self) -> DataFrame:
@@ -133,7 +135,7 @@ class Run(Staged):
 
     @step
     def structuring(self) -> DataFrame:
-        return structuring.structuring_daily(self.flagged_deposits)
+        return stage(structuring.structuring_daily(self.flagged_deposits), "structuring")
 
     @step
     def structuring_lists(self) -> DataFrame:

@@ -57,14 +57,11 @@ def _over_graph(build: Callable[[patterns.Graph], DataFrame]) -> Query:
 
 
 def _landed(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple[str, dict[str, DataFrame]]:
-    """Write the named tables as JSON lines and land them again."""
+    """Write the named tables as JSON lines and load them into RAW tables."""
     run = Run.over_sample(spark, sf_dir)
     folder = new_folder(spark, "landing")
-    raw = {}
-    for name in names:
-        path = landing.write_jsonl(run.table(name), folder, name)
-        raw[name] = landing.land_raw_json(spark, path)
-    return folder, raw
+    paths = {name: landing.write_jsonl(run.table(name), folder, name) for name in names}
+    return folder, landing.load_raw(spark, new_folder(spark, "raw"), paths)
 
 
 ENTITY_TABLES = [name for name in landing.FILES if name != "ground_truth"]

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.sources.snapshots import Snapshots
+
 # The expected file of each table, and its fields with their curated types.
 FILES = {
     "customer": "customers",
@@ -72,7 +76,7 @@ def write_jsonl(table: DataFrame, folder: str, name: str, gzip: bool = True) ->
 
 
 def land_raw_json(spark: SparkSession, path: str) -> DataFrame:
-    """One VARIANT row per line of the JSON-lines files under ``path``, gzipped or not.
+    """One VARIANT row per line of the JSON-lines files under ``path``, gzipped or not, as it is read.
 
     A line that is not JSON stops the load. A gzip file is read by one task, so large inputs
     should arrive as many files.
@@ -88,6 +92,23 @@ def land_raw_json(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def load_raw(spark: SparkSession, store: str, paths: Mapping[str, str]) -> dict[str, DataFrame]:
+    """Load the files of each named table into the RAW tables under ``store``, and open those.
+
+    The tables are VARIANT Parquet, parsed and stamped once; Spark stores the fields of the documents as
+    columns beside the rest, so that curation reads only those it asks for. The load replaces
+    all tables at once or, if any line is not JSON, none.
+    """
+    Snapshots(spark, store).write({f"{name}_raw": land_raw_json(spark, path) for name, path in paths.items()})
+    return open_raw(spark, store, paths)
+
+
+def open_raw(spark: SparkSession, store: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """The RAW tables of the last load, by table name."""
+    tables = Snapshots(spark, store).read([f"{name}_raw" for name in names])
+    return {name.removesuffix("_raw"): table for name, table in tables.items()}
+
+
 def stage_listing(spark: SparkSession, folder: str) -> DataFrame:
     """Files that arrived per expected table; a table without files shows 0 of both."""
     expected = spark.createDataFrame([(f"{f}.jsonl",) for f in FILES.values()], "entity string")
