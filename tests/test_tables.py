@@ -230,6 +230,39 @@ def test_display_names(spark):
     assert [tuple(r) for r in rows] == [("Mule network", "High, Medium"), ("Some new code", "—")]
 
 
+def test_csv_copy_takes_any_text(spark, tmp_path):
+    texts = [
+        "1 Long\nStreet", "a\r\nb", 'says "hi", twice', "back\\slash", "\\n is no break", "\\\\n", "end\\", " blank ", "",
+        None, '"', "a,b", "\t", "#x", "\\\n", "NULL", "\\e", "e", "é\u2028日",
+    ]
+    rows = [("address", t, f"address|{i}") for i, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, graph_tables.CSV_SCHEMAS["node_contact"])
+    graph_tables.write_csv({"node_contact": table}, str(tmp_path))
+    back = graph_tables.read_csv(spark, str(tmp_path), ("node_contact",))["node_contact"]
+    assert sorted(map(str, back.collect())) == sorted(map(str, table.collect()))
+    lines = sum(len(p.read_bytes().splitlines()) for p in (tmp_path / "node_contact").glob("*.csv"))
+    assert lines - len(list((tmp_path / "node_contact").glob("*.csv"))) == len(rows), "each row is one line"
+
+
+def test_references_read_transactions_once(spark, tmp_path):
+    rows = [txn("t1", "A", "B"), txn("t2", "A", "X", session="S9"), txn("t3", None, "B")]
+    transactions(spark, rows).write.parquet(str(tmp_path / "transaction"))
+    transaction = spark.read.parquet(str(tmp_path / "transaction"))
+    account = accounts(spark, [("A", "c1", None), ("B", None, None)])
+    keyed = lambda name, *values: spark.createDataFrame([(v,) for v in values], f"{name} string")
+    customer, device, ip = keyed("customer_id", "c1"), keyed("device_id", "d"), keyed("ip_id", "i")
+    session = sessions(spark, [("S1", "A", "d", "i", None), ("S2", "Z", None, "i", None)])
+    found = quality.fk_violations(customer, account, device, ip, session, transaction)
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, [
+        ("account -> customer", "B", None), ("session -> account", "S2", "Z"), ("session -> device", "S2", None),
+        ("transaction -> counterparty", "t2", "X"), ("transaction -> session", "t2", "S9"),
+    ]))
+    counts = quality.orphan_check(customer, account, session, transaction)
+    assert tuple(counts.first()) == (1, 1, 0, 1)
+    for df in (found, counts):
+        assert df._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet") == 1
+
+
 def test_csv_copy_keeps_types_and_drops_loose_edges(spark, tmp_path):
     tables = {
         "node_account": spark.createDataFrame(

@@ -109,7 +109,7 @@ def test_maximal_rings_equal_subset_test(spark, revisit):
     candidates = rings.round_trip_candidates(walks, sharing)
     sets = {r.path_key: set(r.txn_ids) for r in candidates.collect()}
     want = sorted(k for k, s in sets.items() if not any(s < other for other in sets.values()))
-    assert keys(rings.maximal_rings(candidates, revisit)) == want
+    assert keys(rings.maximal_rings(candidates)) == want
     assert 0 < len(want) < len(sets)
 
 
@@ -181,18 +181,26 @@ def test_open_part_of_a_closed_path_is_no_layering(spark):
     assert keys(rings.layering(chain, found.limit(0))) == ["t1,t2,t3,t4"]
 
 
-def test_only_joined_up_choices_are_spelled_out(spark):
-    """20 parts of three to seven hops in a path of eight without a revisit; a loop adds those around it."""
-    def contained(path):
-        ids = [f"t{i}" for i in range(len(path) - 1)]
-        row = spark.createDataFrame([(len(ids), list(path), ids)], "hops int, path array<string>, txn_ids array<string>")
-        return sorted(row.select(F.explode(rings.contained_keys(3, revisit=True)).alias("k")).toPandas()["k"])
+def test_a_path_is_compared_by_its_rarest_transfer(spark):
+    """Neighbouring transfers and others, a loop left out, equal sets, a transfer that no longer path holds."""
+    def paths(*rows):
+        made = [(",".join(ids), len(ids), list(ids)) for ids in rows]
+        return spark.createDataFrame(made, "path_key string, hops int, txn_ids array<string>")
 
-    plain = contained("ABCDEFGHI")
-    runs = [",".join(f"t{i}" for i in range(s, s + n)) for n in range(3, 8) for s in range(9 - n)]
-    assert plain == sorted(runs) and len(plain) == 20
-    looped = contained("ABCBDE")
-    assert "t0,t3,t4" in looped and "t0,t2,t3" not in looped
+    longer = paths("abcdefgh", "abcxy", "bcd", "abq")
+    short = paths("abc", "aef", "bcd", "abq", "hgf", "axy", "abz", "cxd", "abcxy")
+    kept = keys(rings.drop_contained(short, longer, 3))
+    assert kept == sorted([",".join(x) for x in ("abq", "abz", "cxd", "abcxy")])
+    plan = rings.drop_contained(short, longer, 3)._jdf.queryExecution().toString()
+    assert "transform" not in plan and "LeftAnti" in plan
+
+
+def test_a_hub_transfer_is_not_looked_up(spark):
+    """All paths hold t0; each is compared only with what holds its own other transfers."""
+    rows = [(f"t0,a{i},b{i},c{i}", 4, ["t0", f"a{i}", f"b{i}", f"c{i}"]) for i in range(200)]
+    rows += [(f"t0,a{i},b{i}", 3, ["t0", f"a{i}", f"b{i}"]) for i in range(0, 200, 2)] + [("t0,q,r", 3, ["t0", "q", "r"])]
+    found = spark.createDataFrame(rows, "path_key string, hops int, txn_ids array<string>")
+    assert keys(rings.drop_contained(found, found, 3)) == sorted([r[0] for r in rows[:200]] + ["t0,q,r"])
 
 
 def test_an_end_is_multiplied_by_the_fewer_values(spark):

@@ -1,70 +1,46 @@
 """Round trips and layering chains, told apart from the money paths.
 
-"Drop what is contained in something larger" is a set comparison of every path with every
-other one. It becomes an equi-join here: each path spells out the keys of the shorter paths
-it contains (a number bounded by the hop limit), and a path whose key is among them is
-dropped. A contained path is joined up at its accounts, so only choices of transfers are spelled
-out in which each starts where the one before it ended. Without revisits an account is left
-only once per path, so these are the runs of neighbouring transfers; a path that passes an
-account twice may also leave out the loop.
+"Drop what is contained in something larger" is a set comparison of every path with every other one. Rings
+are compared only with the longer ones that hold their rarest transfer. An open path without revisits
+is contained in a longer one only if one more transfer fits before or after it, which is asked of its
+ends.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import decay_pct, path_key
+from tidewatch.functions.columns import decay_pct
 from tidewatch.operators.walks import HopRule
 
 MIN_RING_HOPS = 3
 MIN_CHAIN_HOPS = 4
 
 
-def contained_keys(shortest: int, revisit: bool) -> Column:
-    """Keys of all strictly shorter paths of at least ``shortest`` hops inside a path.
+def drop_contained(paths: DataFrame, containers: DataFrame, shortest: int) -> DataFrame:
+    """``paths`` without those whose transfers are all part of a longer path in ``containers``.
 
-    Only defined for paths longer than ``shortest``.
+    An index lists the longer paths by each of their transfers. A path is looked up by its rarest transfer
+    only, the one that the fewest of them hold, and compared with those; one that holds a transfer
+    of no longer path is compared with none.
     """
-    hops, txn_ids = F.col("hops"), F.col("txn_ids")
-    if revisit:
-        # transfer i is part of a choice if bit i is set; it goes from place i of the path to i + 1
-        masks = F.sequence(F.lit(1), F.expr("shiftleft(1, hops) - 2"))
-        places = F.sequence(F.lit(0), hops - 1)
-        choices = F.transform(
-            F.filter(masks, lambda mask: F.bit_count(mask) >= shortest),
-            lambda mask: F.filter(places, lambda i: F.getbit(mask, i) == 1),
-        )
-        joined_up = F.filter(
-            choices,
-            lambda chosen: F.forall(
-                F.sequence(F.lit(1), F.size(chosen) - 1),
-                lambda k: F.get("path", F.get(chosen, k - 1) + 1) == F.get("path", F.get(chosen, k)),
-            ),
-        )
-        return F.transform(
-            joined_up, lambda chosen: path_key(F.transform(chosen, lambda i: F.get(txn_ids, i)))
-        )
-    return F.flatten(
-        F.transform(
-            F.sequence(F.lit(shortest), hops - 1),
-            lambda n: F.transform(
-                F.sequence(F.lit(1), hops - n + 1), lambda start: path_key(F.slice(txn_ids, start, n))
-            ),
-        )
+    longer = containers.filter(F.col("hops") > shortest).select(
+        F.explode("txn_ids").alias("_txn"), F.col("hops").alias("_hops"), F.col("txn_ids").alias("_whole")
     )
-
-
-def drop_contained(
-    paths: DataFrame, containers: DataFrame, shortest: int, revisit: bool = False
-) -> DataFrame:
-    """``paths`` without those whose transfers are all part of a longer path in ``containers``."""
-    inner = (
-        containers.filter(F.col("hops") > shortest)
-        .select(F.explode(contained_keys(shortest, revisit)).alias("path_key"))
-        .distinct()
+    held = longer.groupBy("_txn").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = (
+        paths.select("path_key", F.explode("txn_ids").alias("_txn"))
+        .join(held, "_txn", "left")
+        .groupBy("path_key")
+        .agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_txn")).getField("_txn").alias("_rarest"))
+    )
+    inside = (
+        (F.col("_rarest") == F.col("_txn"))
+        & (F.col("hops") < F.col("_hops"))
+        & (F.size(F.array_intersect("txn_ids", "_whole")) == F.col("hops"))
     )
-    return paths.join(inner, "path_key", "left_anti")
+    return paths.join(rarest, "path_key").join(longer, inside, "left_anti").drop("_rarest")
 
 
 def closing_links(open_walks: DataFrame, shared: DataFrame) -> DataFrame:
@@ -110,8 +86,8 @@ def round_trip_candidates(walks: DataFrame, shared: DataFrame) -> DataFrame:
     return closed.unionByName(linked)
 
 
-def maximal_rings(candidates: DataFrame, revisit: bool = False) -> DataFrame:
-    return drop_contained(candidates, candidates, MIN_RING_HOPS, revisit)
+def maximal_rings(candidates: DataFrame) -> DataFrame:
+    return drop_contained(candidates, candidates, MIN_RING_HOPS)
 
 
 def member_links(rings: DataFrame, shared: DataFrame) -> DataFrame:
@@ -170,9 +146,9 @@ def with_shared_pairs(rings: DataFrame, shared: DataFrame) -> DataFrame:
     )
 
 
-def round_trip(candidates: DataFrame, shared: DataFrame, revisit: bool = False) -> DataFrame:
+def round_trip(candidates: DataFrame, shared: DataFrame) -> DataFrame:
     """Maximal rings with their tier: high if an identity is shared, else medium."""
-    rings = maximal_rings(candidates, revisit)
+    rings = maximal_rings(candidates)
     high = (F.col("closed_by") != "same_account") | (F.col("shared_pairs") > 0)
     return with_shared_pairs(rings, shared).select(
         "path_key",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import iso_second
@@ -147,11 +147,37 @@ def graph_tables(table) -> dict[str, DataFrame]:
 
 
 def write_csv(tables: dict[str, DataFrame], folder: str) -> None:
-    """CSV files with a header line, one folder per table; transfers in order of time."""
+    """CSV files with a header line, one folder per table; transfers in order of time.
+
+    Any text comes back as it was: it is quoted with doubled quotes, blanks at its ends stay, and an empty text, a
+    line break or a backslash is written as a backslash and a letter or two backslashes, so that each row is one
+    line, files can be split, and an empty text is told from a missing one.
+    """
     for name, df in tables.items():
         if name == "edge_sent_to":
             df = df.orderBy("txn_time")
-        df.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
+        texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+        df = df.withColumns({c: _escaped(F.col(c)) for c in texts})
+        df.write.mode("overwrite").options(header=True, **_TEXT).csv(f"{folder}/{name}")
+
+
+#: Quotes are doubled, as CSV has it, and nothing else stands for another character within the format.
+_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def _escaped(text: Column) -> Column:
+    for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return F.when(text == "", "\\e").otherwise(text)
+
+
+def _unescaped(text: Column) -> Column:
+    """Undo `_escaped`: between two backslashes that belong together nothing is read as a line break."""
+    parts = F.transform(
+        F.split(text, r"\\\\"),
+        lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")),
+    )
+    return F.when(text == "\\e", "").otherwise(F.array_join(parts, "\\"))
 
 
 def read_csv(spark: SparkSession, folder: str, names=tuple(CSV_SCHEMAS)) -> dict[str, DataFrame]:
@@ -163,8 +189,11 @@ def read_csv(spark: SparkSession, folder: str, names=tuple(CSV_SCHEMAS)) -> dict
             .option("header", True)
             .option("mode", "FAILFAST")
             .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss")
+            .options(**_TEXT)
             .csv(f"{folder}/{name}")
         )
+        texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+        df = df.withColumns({c: _unescaped(F.col(c)) for c in texts})
         if name == "node_ip":
             df = df.withColumn("is_vpn", F.lower("is_vpn") == "true")
         tables[name] = df

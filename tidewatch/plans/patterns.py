@@ -71,7 +71,7 @@ class Graph(Staged):
 
     @step
     def rings(self) -> DataFrame:
-        return stage(rings.round_trip(self.closing, self.shared, revisit=True), "graph-rings")
+        return stage(rings.round_trip(self.closing, self.shared), "graph-rings")
 
 
 def cycles(graph: Graph, shortest: int = 3, longest: int = 8) -> DataFrame:
@@ -142,7 +142,7 @@ def open_chains(graph: Graph) -> DataFrame:
     transfer in common with any closing path."""
     long_paths = graph.paths.filter(F.col("hops") >= rings.MIN_CHAIN_HOPS)
     still_open = long_paths.join(graph.closing.select("path_key"), "path_key", "left_anti")
-    maximal = rings.drop_contained(still_open, long_paths, rings.MIN_CHAIN_HOPS, revisit=True)
+    maximal = rings.drop_contained(still_open, long_paths, rings.MIN_CHAIN_HOPS)
     return rings.drop_overlapping(maximal, graph.closing)
 
 

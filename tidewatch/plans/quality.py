@@ -14,30 +14,42 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _references(child: DataFrame, rules: dict[str, tuple[str, str]], *keep: Column, nullable: bool = False) -> DataFrame:
+    """``rule, parent, missing_key`` for each reference of a row, all from one reading of the table; ``rules``
+    names the column and the parent of each."""
+    each = F.array(*[
+        F.struct(F.lit(rule).alias("rule"), F.lit(parent).alias("parent"), F.col(key).alias("missing_key"))
+        for rule, (key, parent) in rules.items()
+    ])
+    found = child.select(*keep, F.inline(each))
+    return found.filter(F.col("missing_key").isNotNull()) if nullable else found
+
+
+def _parents(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    return _union([
+        table.select(F.lit(name).alias("parent"), F.col(key).alias("missing_key")) for name, (table, key) in tables.items()
+    ])
+
+
 def orphan_check(
     customer: DataFrame, account: DataFrame, session: DataFrame, transaction: DataFrame
 ) -> DataFrame:
     """Four counts in one row; every one should be 0. A null owner or account is an orphan too,
-    but a transaction may lack either side."""
-
-    def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, label: str):
-        keys = parent.select(F.col(parent_key).alias(key))
-        used = child.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        found = used.join(keys, key, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-        return found.select(F.lit(label).alias("label"), "n")
-
-    checks = [
-        (account, "customer_id", customer, "customer_id", "orphan_accounts"),
-        (session, "account_id", account, "account_id", "orphan_sessions"),
-        (transaction.filter("account_id is not null"), "account_id", account, "account_id",
-         "orphan_txn_src"),
-        (transaction.filter("counterparty_account_id is not null"), "counterparty_account_id",
-         account, "account_id", "orphan_txn_dst"),
-    ]
-    counts = _union([orphans(*check) for check in checks])
-    return counts.agg(
-        *[F.sum(F.when(F.col("label") == c[4], F.col("n"))).alias(c[4]) for c in checks]
+    but a transaction may lack either side. References are counted by key before they are looked up."""
+    asked = _union([
+        _references(account, {"orphan_accounts": ("customer_id", "customer")}),
+        _references(session, {"orphan_sessions": ("account_id", "account")}),
+        _references(transaction, {
+            "orphan_txn_src": ("account_id", "account"), "orphan_txn_dst": ("counterparty_account_id", "account"),
+        }, nullable=True),
+    ])
+    found = (
+        asked.groupBy("rule", "parent", "missing_key").agg(F.count(F.lit(1)).alias("n"))
+        .join(_parents({"customer": (customer, "customer_id"), "account": (account, "account_id")}),
+              ["parent", "missing_key"], "left_anti")
     )
+    names = ("orphan_accounts", "orphan_sessions", "orphan_txn_src", "orphan_txn_dst")
+    return found.agg(*[F.coalesce(F.sum(F.when(F.col("rule") == x, F.col("n"))), F.lit(0)).alias(x) for x in names])
 
 
 def null_landing_check(transaction: DataFrame) -> DataFrame:
@@ -83,28 +95,23 @@ def fk_violations(
     """``(rule, row_id, missing_key)`` for every reference that leads nowhere. Transactions may
     leave theirs null; accounts and sessions may not."""
 
-    def broken(child: DataFrame, row_id: str, key: str, parent: DataFrame, parent_key: str, rule: str,
-               nullable: bool = False) -> DataFrame:
-        keys = parent.select(F.col(parent_key).alias(key))
-        rows = child.select(F.col(row_id).alias("row_id"), key)
-        if nullable:
-            rows = rows.filter(F.col(key).isNotNull())
-        return rows.join(keys, key, "left_anti").select(
-            F.lit(rule).alias("rule"), "row_id", F.col(key).alias("missing_key")
-        )
-
-    return _union([
-        broken(account, "account_id", "customer_id", customer, "customer_id", "account -> customer"),
-        broken(session, "session_id", "account_id", account, "account_id", "session -> account"),
-        broken(session, "session_id", "device_id", device, "device_id", "session -> device"),
-        broken(session, "session_id", "ip_id", ip_address, "ip_id", "session -> ip"),
-        broken(transaction, "transaction_id", "account_id", account, "account_id",
-               "transaction -> account", nullable=True),
-        broken(transaction, "transaction_id", "counterparty_account_id", account, "account_id",
-               "transaction -> counterparty", nullable=True),
-        broken(transaction, "transaction_id", "session_id", session, "session_id",
-               "transaction -> session", nullable=True),
+    asked = _union([
+        _references(account, {"account -> customer": ("customer_id", "customer")}, F.col("account_id").alias("row_id")),
+        _references(session, {
+            "session -> account": ("account_id", "account"), "session -> device": ("device_id", "device"),
+            "session -> ip": ("ip_id", "ip"),
+        }, F.col("session_id").alias("row_id")),
+        _references(transaction, {
+            "transaction -> account": ("account_id", "account"),
+            "transaction -> counterparty": ("counterparty_account_id", "account"),
+            "transaction -> session": ("session_id", "session"),
+        }, F.col("transaction_id").alias("row_id"), nullable=True),
     ])
+    parents = _parents({
+        "customer": (customer, "customer_id"), "account": (account, "account_id"), "device": (device, "device_id"),
+        "ip": (ip_address, "ip_id"), "session": (session, "session_id"),
+    })
+    return asked.join(parents, ["parent", "missing_key"], "left_anti").select("rule", "row_id", "missing_key")
 
 
 def session_owner_violations(transaction: DataFrame, session: DataFrame) -> DataFrame:
