@@ -6,12 +6,12 @@ counted, in two passes over documents that stay where they were dealt:
 
 1. Each part counts its own runs by hash and sends them to the hash partition that owns them. The
    partition merges what it gets into one Misra-Gries summary. Its capacity exceeds the
-   partition's mass divided by the threshold, so what the summary takes off any count, in all, is
+   partition's mass divided by the threshold (`ROOM` times over), so what the summary takes off any count, in all, is
    below the threshold: whatever reaches it is still there, and a run whose count and loss
    together stay below it is surely too rare. The answer to a part is those of its hashes that survive. A
    count that a part sends stops at the threshold, as it then proves itself; a run that is everywhere adds
    no more to the mass than that for each part.
-2. Parts count the surviving runs as text, and their sums are exact. Hashes or marks that collide can only
+2. Parts count the surviving runs as text, and their sums are exact. Hashes that collide can only
    let a run survive that the exact count then drops.
 
 Both parts of a frequent phrase are at least as frequent, so all counts that a score needs are there.
@@ -24,7 +24,6 @@ phrases. Memory: a part's run hashes (about 80 bytes for a word), the longest te
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +41,10 @@ NO_LANGUAGE = "und"
 KEY_BITS = 40
 #: Bytes of text to each run that a part sends, about; only the number of partitions depends on it.
 _BYTES_A_RUN = 5
-#: Texts are taken in slices of about so many bytes.
-SLICE = 4 << 20
+#: Texts are taken in slices of about so many bytes; a part's runs are merged when there are so many.
+SLICE, MERGE = 1 << 20, 1 << 20
+#: Counters of a summary for each threshold's worth of mass. One would do; with more, fewer rare runs survive.
+ROOM = 4
 #: Shares in which a language's best phrases are chosen before they meet.
 _SHARES = 64
 _U = np.uint64
@@ -150,16 +151,22 @@ class Summary:
 
 
 class _Marks:
-    """Which keys are in a set, and a few more: one bit of a table by the low bits of the key."""
+    """Which keys are in a set. ``maybe`` is quick and true of a few others, by the low bits of the key."""
 
     def __init__(self, keys: np.ndarray, bits: int):
+        self.keys = np.sort(keys)
         self.mask = _U((1 << bits) - 1)
         self.table = np.zeros(1 << bits, bool)
         self.table[keys & self.mask] = True
 
-    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+    def maybe(self, keys: np.ndarray) -> np.ndarray:
         return self.table[keys & self.mask]
 
+    def among(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(keys), bool)
+        return self.keys[np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)] == keys
+
 
 def _judge(got: pa.Table, least: int) -> pa.Table:
     """Merge what the parts sent to a partition, and return to each which of its runs survive."""
@@ -167,7 +174,8 @@ def _judge(got: pa.Table, least: int) -> pa.Table:
     for raw in got["sent"].to_pylist():
         low, high, counts = unpack(raw, np.uint32, np.uint8, _count_type(least))
         sent.append((low.astype(_U) | (high.astype(_U) << _U(32)), counts))
-    summary = Summary(sum(int(counts.sum(dtype=np.int64)) for _, counts in sent) // least + 1, least)
+    mass = sum(int(counts.sum(dtype=np.int64)) for _, counts in sent)
+    summary = Summary(ROOM * mass // least + 1, least)
     waiting, size = [], 0
     for i, (keys, counts) in enumerate(sent):
         waiting.append((keys, counts))
@@ -178,7 +186,8 @@ def _judge(got: pa.Table, least: int) -> pa.Table:
     stay = _Marks(summary.survivors(), 22)
     answers = []
     for keys, _ in sent:
-        keys = keys[stay[keys]]
+        keys = keys[stay.maybe(keys)]
+        keys = keys[stay.among(keys)]
         answers.append(keys.astype(np.uint32).tobytes() + (keys >> _U(32)).astype(np.uint8).tobytes())
     return pa.table(
         {
@@ -210,6 +219,17 @@ def _texts(runs: Runs, start: np.ndarray, length: int) -> pa.Array:
     return pa.array(texts, pa.binary())
 
 
+def _merged(found: list[tuple]) -> tuple:
+    """Runs of several slices, each once, with their counts summed."""
+    one, two, often, length, lang = (np.concatenate([f[i] for f in found]) for i in range(5))
+    order, new = distinct(one, two)
+    begin = np.flatnonzero(new)
+    kept = order[begin]
+    sums = np.add.reduceat(often[order], begin) if len(begin) else often
+    texts = pa.concat_arrays([f[5] for f in found]).take(pa.array(kept))
+    return one[kept], two[kept], sums, length[kept], lang[kept], texts
+
+
 def _count(docs: pa.Table, answers: pa.Table, longest: int, blocks: int) -> pa.Table:
     """Counts of a part's surviving runs as text, and of all its words (``n_words`` 0) by language."""
     keys = [np.zeros(0, _U)]
@@ -217,42 +237,45 @@ def _count(docs: pa.Table, answers: pa.Table, longest: int, blocks: int) -> pa.T
         low, high = unpack(raw, np.uint32, np.uint8)
         keys.append(low.astype(_U) | (high.astype(_U) << _U(32)) | _U(block << KEY_BITS))
     stay = _Marks(np.concatenate(keys), 24)
-    languages = column(docs, "lang")
-    n_words: Counter = Counter()
+    languages = column(docs, "lang").dictionary_encode()
+    code = languages.indices.to_numpy()
+    n_words = np.zeros(len(languages.dictionary), np.int64)
     found: list[tuple] = []
+    waiting = 0
     for runs in _all_runs(docs):
-        first, of = runs.part.first, runs.words.documents()
-        counts = runs.words.counts()
-        for d, n in enumerate(counts.tolist()):
-            n_words[languages[first + d].as_py()] += n
+        own = code[runs.part.first : runs.part.first + len(runs.part)]
+        np.add.at(n_words, own, runs.words.counts())
+        own = own[runs.words.documents()]
         other = Rolling(mix(runs.hashes), TWO)
         for length in range(1, longest + 1):
             start = runs.starts(length)
             one = runs.of(start, length)
-            mine = stay[one >> _U(64 - _bits(blocks))]
+            mine = stay.maybe(one >> _U(64 - _bits(blocks)))
             start, one = start[mine], one[mine]
             two = other.of(start, start + length) ^ runs.salts[start]
             order, new = distinct(one, two)
             begin = np.flatnonzero(new)
             often = np.diff(np.append(begin, len(order)))
             begin = order[begin]
+            real = stay.among(one[begin] >> _U(64 - _bits(blocks)))
+            begin, often = begin[real], often[real]
             found.append((
-                one[begin], two[begin], often, np.full(len(begin), length, np.int32), first + of[start[begin]],
+                one[begin], two[begin], often, np.full(len(begin), length, np.int32), own[start[begin]],
                 _texts(runs, start[begin], length),
             ))
+            waiting += len(begin)
+        if waiting > MERGE:
+            found = [_merged(found)]
+            waiting = 0
     if found:
-        one, two, often, length, document = (np.concatenate([f[i] for f in found]) for i in range(5))
-        order, new = distinct(one, two)
-        begin = np.flatnonzero(new)
-        kept = order[begin]
-        sums = np.add.reduceat(often[order], begin) if len(begin) else often
+        _, _, sums, length, lang, texts = _merged(found)
         made = [
-            languages.take(pa.array(document[kept])), pa.array(length[kept]),
-            pa.concat_arrays([f[5] for f in found]).take(pa.array(kept)).cast(pa.string()), pa.array(sums.astype(np.int64)),
+            languages.dictionary.take(pa.array(lang)), pa.array(length), texts.cast(pa.string()),
+            pa.array(sums.astype(np.int64)),
         ]
     else:
         made = [pa.array([], t) for t in (pa.string(), pa.int32(), pa.string(), pa.int64())]
-    totals = list(n_words.items())
+    totals = list(zip(languages.dictionary.to_pylist(), n_words.tolist(), strict=True))
     names = ["lang", "n_words", "phrase", "n"]
     return pa.concat_tables([
         pa.table(made, names=names),
