@@ -93,6 +93,34 @@ def test_pairs_among_documents_that_share_a_template(docs_of, common):
     assert found == {i: i % 10_000 for i, _ in rows}
 
 
+def two_words_changed(n, seed=21):
+    """Texts of 60 words, each with two of a template's words changed."""
+    draw = random.Random(seed)
+    template, rows = [f"w{draw.randrange(10**9)}" for _ in range(60)], []
+    for i in range(n):
+        text = list(template)
+        for place in draw.sample(range(60), 2):
+            text[place] = f"x{draw.randrange(10**9)}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def test_copies_below_the_threshold_do_not_meet(docs_of, spark):
+    """They share nearly all shingles, but the pairs that could link are few, and all are found."""
+    met = {}
+    for n in (500, 1000):
+        rows = two_words_changed(n)
+        texts = docs_of(rows).selectExpr("doc_id as id", "text", "doc_id as component")
+        pairs = {tuple(r) for r in minhash_dedup.crowded_pairs(texts, 3, 85, 1).collect()}
+        sets = [shingle_set(t, 3) for _, t in rows]
+        links = {
+            (a, b) for a, b in itertools.combinations(range(n), 2) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+        }
+        assert links <= pairs and links
+        met[n] = len(pairs)
+    assert met[1000] < 4000, "a tenth of the pairs that share a prefix"
+
+
 def test_odd_documents(docs_of):
     rows = odd_rows()
     found = minhash_dedup.near_duplicates(docs_of(rows), 3, 85).collect()

@@ -16,15 +16,18 @@ misses a pair of it at the threshold. Classes with more than ``MISS`` are crowde
 below the threshold, say) and go through an exact join after the forest: shingles ordered by their
 frequency among the crowded classes, rarest first, of two sets that link a prefix of the larger one,
 ``n - ceil(p n) + 1`` long, shares a shingle with a prefix of the smaller one, ``n - ceil(2 p n / (1 + p)) + 1``
-long. A template below the threshold lies behind those prefixes. Only pairs between the components
-that the forest left apart go on. Any order gives the same links, so frequencies are counted in a table of
-fixed size.
-
-Each class confirms its most frequent candidate on the full sets; the candidates between the
+long. Sets with few shingles of their own bring a shared template into their prefixes, so two bounds that no
+pair that links can miss are part of the join: the places of the shingle in both orders leave enough
+shingles behind it, and the sets' parities by 256 residues of the hash differ in no more places than the sets may
+differ in shingles. Only pairs between the components that the forest left apart go on, and all of
+them are compared on the full sets. Any order gives the same links, so frequencies are counted in a table
+of fixed size.
+
+Of the forest's candidates each class confirms its most frequent one on the full sets; those between the
 components that result follow, unless the whole signatures put them more than five standard
-deviations below the threshold. So a large group of copies costs a few confirmations for each copy
-and no candidate that could join two components is left out. Links have a Jaccard similarity of
-at least ``percent`` / 100, in whole numbers, on 64-bit hashes of the shingles.
+deviations below the threshold. So a large group of copies costs a few confirmations for each copy.
+Links have a Jaccard similarity of at least ``percent`` / 100, in whole numbers, on 64-bit hashes of the
+shingles.
 
 Rows: null text is empty; a null ``doc_id`` is linked with nothing and kept; rows that share an id
 are one document.
@@ -224,7 +227,8 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(k: int, percent: int, packed: bytes):
-    """The prefix of each set; ``first`` marks the part that a larger set's prefix must meet."""
+    """The prefix of each set with the places of its shingles, and the set's parities; ``first`` marks the
+    part that a larger set's prefix must meet."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = np.frombuffer(packed, np.uint8)
@@ -238,12 +242,16 @@ def _prefixes(k: int, percent: int, packed: bytes):
                 kept = [x[np.argsort(levels[x >> _U(64 - BITS)], kind="stable")][:m] for x, m in zip(sets, long, strict=True)]
                 place = np.concatenate([np.arange(m) for m in long])
                 row = np.repeat(np.arange(len(n)), long)
+                odd = np.array([np.bincount((x & _U(255)).astype(np.int64), minlength=256) & 1 for x in sets], np.uint8)
+                parity = np.packbits(odd, axis=1).view(np.int64)[row]
                 yield pa.record_batch(
                     {
                         "token": pa.array(np.concatenate(kept).view(np.int64)),
                         "id": rows["id"].take(pa.array(row)),
                         "component": rows["component"].take(pa.array(row)),
                         "n": pa.array(n[row], pa.int64()),
+                        "place": pa.array(place, pa.int64()),
+                        **{f"odd{i}": pa.array(np.ascontiguousarray(parity[:, i])) for i in range(4)},
                         "first": pa.array(place < (n + 2 * percent * n // -(100 + percent) + 1)[row]),
                     }
                 )
@@ -259,16 +267,24 @@ def crowded_pairs(texts: DataFrame, k: int, percent: int, files: int) -> DataFra
     levels = np.zeros(1 << BITS, np.uint8)
     for r in tables:
         levels = np.maximum(levels, np.frombuffer(r.levels, np.uint8))
-    columns = "token bigint, id bigint, component bigint, n bigint, first boolean"
+    odd = [f"odd{i}" for i in range(4)]
+    columns = f"token bigint, id bigint, component bigint, n bigint, place bigint, {' bigint, '.join(odd)} bigint, first boolean"
     rows = stage(texts.mapInArrow(_prefixes(k, percent, levels.tobytes()), columns).coalesce(files), "prefixes")
     # a shingle within one component joins nothing, however many sets have it
     between = rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     between = between.where("low < high").select("token")
     rows = stage(rows.join(between.hint("merge"), "token", "left_semi").coalesce(files), "between")
-    side = lambda name: [F.col("token"), *[F.col(c).alias(f"{c}_{name}") for c in ("id", "component", "n")]]
+    side = lambda name: [F.col("token"), *[F.col(c).alias(f"{c}_{name}") for c in ("id", "component", "n", "place", *odd)]]
     met = rows.select(*side("x")).join(rows.where("first").select(*side("y")), "token")
     smaller = F.struct("n_y", "id_y") < F.struct(F.col("n_x"), F.col("id_x"))
-    met = met.where((F.col("component_x") != F.col("component_y")) & smaller & (100 * F.col("n_y") >= percent * F.col("n_x")))
+    both = F.col("n_x") + F.col("n_y")
+    # a pair meets at its first common shingle too, and shares nothing before it
+    behind = F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
+    differ = sum(F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in odd)
+    met = met.where(
+        (F.col("component_x") != F.col("component_y")) & smaller & (100 * F.col("n_y") >= percent * F.col("n_x"))
+        & ((100 + percent) * behind >= percent * both) & ((100 + percent) * differ <= (100 - percent) * both)
+    )
     return met.select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
 
 
@@ -344,7 +360,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         label = written(components(links), "labels").select(F.col("node").alias("id"), "component")
         crowd = crowded.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
         crowd = texts.select("id", "text").join(crowd.hint("merge"), "id")
-        links = links.unionByName(linked(written(crowded_pairs(crowd, shingle, percent, files), "met")))
+        met = written(crowded_pairs(crowd, shingle, percent, files), "met")
+        links = links.unionByName(written(confirmed(met), "links"))
 
     found = components(links).select(F.col("node").alias("rep"), "component")
     known = written(
