@@ -67,9 +67,30 @@ def test_odd_rows_pass_all_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_extra_columns_keep_their_values(spark):
+    """Columns named as helper columns of the stages pass through all of them unchanged."""
+    import corpus_pipeline
+    from tidewatch.staging import stage
+
+    names = [
+        "score", "predicted", "text to score", "row", "_doc_id", "_mark", "mark", "gone id", "kept", "component_id", "rid", "id",
+        "found", "cleaned", "label", "quality", "print0", "component", "a b.c",
+    ]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, docs["doc_id"] * 100 + i)
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        docs = stage(step(spark, docs, SF_DIR), name)
+    assert docs.columns[-len(names) :] == names
+    rows = docs.collect()
+    assert rows and all(r[name] == r.doc_id * 100 + i for r in rows for i, name in enumerate(names))
+    mixed = corpus_pipeline.mixed(spark, docs, SF_DIR)
+    assert mixed.count() == len(rows)
+
+
 def test_all_queries_are_registered():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert set(__spark_entry__.oracle_sql()) <= names

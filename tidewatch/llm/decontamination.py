@@ -249,6 +249,5 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 def without(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates."""
     bad = stage(contaminated(docs, items).select("doc_id", "mark").distinct(), "bad")
-    bad = bad.select(F.col("doc_id").alias("_doc_id"), F.col("mark").alias("_mark"))
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_doc_id")) & (F.xxhash64("text") == F.col("_mark"))
+    same = docs["doc_id"].cast("bigint").eqNullSafe(bad["doc_id"]) & (F.xxhash64(docs["text"]) == bad["mark"])
     return docs.join(bad, same, "left_anti")

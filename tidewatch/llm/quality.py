@@ -209,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Network:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = (
         texts.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST).join(known, "doc_id")
-        .orderBy("doc_id", "quality", "text").toArrow()
+        .orderBy("doc_id", "quality", "text").limit(SAMPLE).toArrow()
     )
     return learn([t or "" for t in rows["text"].to_pylist()], rows["quality"].to_numpy())
 
@@ -226,3 +226,9 @@ def score(docs: DataFrame, net: Network, keep: tuple[str, ...] = ("doc_id",)) ->
     schema = T.StructType([*plain.schema.fields[:-1], T.StructField("score", T.DoubleType())])
     names = schema.names
     return plain.mapInArrow(work, schema).withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def accepted(docs: DataFrame, net: Network) -> DataFrame:
+    """The rows of ``docs`` that the network predicts to be good, whatever their columns are named."""
+    row = docs.select(F.struct("*").alias("row"), "text")
+    return score(row, net, ("row",)).where("predicted = 1").select("row.*")
