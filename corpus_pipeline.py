@@ -14,7 +14,6 @@ as the operators state; a null ``doc_id`` has no near copies, and rows that shar
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidewatch.llm import decontamination, minhash_dedup, mixing, pii, quality
 from tidewatch.staging import stage
@@ -25,14 +24,13 @@ ORACLE_SQL = None
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    columns = tuple(docs.columns)
-    return quality.score(docs, net, columns).where("predicted = 1").select(*[F.col(f"`{c}`") for c in columns])
+    return quality.accepted(docs, net)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = minhash_dedup.near_duplicates(docs)
-    gone = stage(found.where("not kept").select(F.col("doc_id").alias("gone id")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("gone id"), "left_anti")
+    gone = stage(found.where("not kept").select("doc_id").distinct(), "gone")
+    return docs.join(gone, docs["doc_id"].cast("bigint") == gone["doc_id"], "left_anti")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
