@@ -23,6 +23,20 @@ def test_pairs_are_whole_whatever_the_block(spark):
         assert sorted(map(tuple, found.collect())) == want
 
 
+def test_pair_blocks_list_what_is_asked_and_grow_with_the_members(spark):
+    rows = [("g", f"m{i:03d}", i) for i in range(120)] + [("h", "m001", 1), ("h", "y", 2), ("i", "z", 3)]
+    members = spark.createDataFrame(rows, "grp string, member string, n int")
+    listed = {tuple(r) for r in links.pairs(members, ["grp"], "member", 1000).collect()}
+    wanted = spark.createDataFrame([("m001",), ("m077",), ("z",), ("nobody",), ("m001",)], "customer string")
+    for block in (7, 1000):
+        compressed = links.PairBlocks(members, ["grp"], "member", block)
+        found = compressed.of(wanted).collect()
+        assert sorted(map(tuple, found)) == sorted(r for r in listed if {r[1], r[3]} & {"m001", "m077", "z"})
+        blocks = compressed.blocks().collect()
+        assert sum(r.pairs for r in blocks) == len(listed) == 120 * 119 // 2 + 1
+    assert len(blocks) == 2
+
+
 def test_link_counts_equal_listed_pairs(spark):
     rng = random.Random(2)
     rows = {(f"A{i}", f"C{i // 2}", rng.choice(["phone", "device"]), f"v{rng.randint(0, 9)}")

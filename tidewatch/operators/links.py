@@ -84,6 +84,63 @@ def pairs(members: DataFrame, group: list[str], member: str, block: int = BLOCK)
     )
 
 
+class PairBlocks:
+    """The pairs of members of groups as pairs of blocks of members, not listed.
+
+    A group of n members has about (n / block)² / 2 pairs of blocks, so the table grows with the members,
+    not with their pairs. It tells how many pairs there are; the pairs of given members are listed
+    out of the blocks of their groups, when they are asked for. ``members`` is as for `pairs`.
+    """
+
+    def __init__(self, members: DataFrame, group: list[str], member: str, block: int = BLOCK):
+        self.group, self.member = group, member
+        self.carried = [c for c in members.columns if c not in group]
+        large = (
+            members.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block)
+            .select(*group, F.ceil(F.col("_n") / F.lit(block)).cast("int").alias("_cuts"))
+        )
+        cuts = F.coalesce("_cuts", F.lit(1))
+        self.members = stage(
+            members.join(large, group, "left").withColumn("_cuts", cuts)
+            .withColumn("_block", F.pmod(F.xxhash64(member), F.col("_cuts")).cast("int")),
+            "pair-members",
+        )
+
+    def blocks(self) -> DataFrame:
+        """``(group, low, high, pairs)``: which blocks of a group meet, and how many pairs they make."""
+        size = self.members.groupBy(*self.group, "_block").agg(F.count(F.lit(1)).alias("_n"))
+        low = size.select(*self.group, F.col("_block").alias("low"), F.col("_n").alias("_n_low"))
+        high = size.select(*self.group, F.col("_block").alias("high"), F.col("_n").alias("_n_high"))
+        made = F.when(F.col("low") == F.col("high"), F.expr("_n_low * (_n_low - 1) div 2")).otherwise(
+            F.col("_n_low") * F.col("_n_high")
+        )
+        return (
+            low.join(high, self.group).filter("low <= high")
+            .select(*self.group, "low", "high", made.alias("pairs")).filter("pairs > 0")
+        )
+
+    def of(self, wanted: DataFrame) -> DataFrame:
+        """The pairs, as `pairs` lists them, of which one member or both are ``wanted``, a table of members.
+
+        A wanted member goes to each block of its groups, so a large group is spread over its blocks.
+        """
+        asked = wanted.select(F.col(wanted.columns[0]).alias(self.member)).distinct().withColumn("_asked", F.lit(True))
+        marked = self.members.join(asked, self.member, "left").withColumn("_asked", F.coalesce("_asked", F.lit(False)))
+        ours = marked.filter("_asked").select(
+            *self.group, F.struct(*self.carried).alias("_ours"),
+            F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1)).alias("_block"),
+        )
+        theirs = marked.select(*self.group, "_block", F.struct(*self.carried).alias("_theirs"), "_asked")
+        mine, other = F.col(f"_ours.{self.member}"), F.col(f"_theirs.{self.member}")
+        # two wanted members meet twice
+        met = ours.join(theirs, [*self.group, "_block"]).filter((mine != other) & (~F.col("_asked") | (mine < other)))
+        side = {"a": F.when(mine < other, F.col("_ours")).otherwise(F.col("_theirs")),
+                "b": F.when(mine < other, F.col("_theirs")).otherwise(F.col("_ours"))}
+        return met.select(*self.group, *[x.alias(f"_{n}") for n, x in side.items()]).select(
+            *self.group, *[F.col(f"_{n}.{c}").alias(f"{c}_{n}") for n in side for c in self.carried]
+        )
+
+
 def linked_account_pairs(shared: DataFrame) -> DataFrame:
     """Distinct ``(a, b, via)`` with a < b: accounts of different owners sharing a value."""
     return (
@@ -187,10 +244,9 @@ def value_groups(shared: DataFrame) -> DataFrame:
     )
 
 
-def _shared_place(session: DataFrame, account: DataFrame, place: str) -> DataFrame:
-    """Customer pairs seen on one device or address. Sessions are first summed up per customer
-    and place: the number of session pairs is the product of the two counts."""
-    seen = (
+def seen_at(session: DataFrame, account: DataFrame, place: str) -> DataFrame:
+    """``(place, customer_id, n, first, last)``: the sessions of each customer on each device or address."""
+    return (
         session.filter(F.col(place).isNotNull())
         .groupBy(place, "account_id")
         .agg(
@@ -202,7 +258,10 @@ def _shared_place(session: DataFrame, account: DataFrame, place: str) -> DataFra
         .groupBy(place, "customer_id")
         .agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"))
     )
-    return pairs(seen, [place], "customer_id").select(
+
+
+def _place_links(found: DataFrame, place: str) -> DataFrame:
+    return found.select(
         F.col("customer_id_a").alias("customer_a"),
         F.col("customer_id_b").alias("customer_b"),
         place,
@@ -212,6 +271,12 @@ def _shared_place(session: DataFrame, account: DataFrame, place: str) -> DataFra
     )
 
 
+def _shared_place(session: DataFrame, account: DataFrame, place: str) -> DataFrame:
+    """Customer pairs seen on one device or address. Sessions are first summed up per customer
+    and place: the number of session pairs is the product of the two counts."""
+    return _place_links(pairs(seen_at(session, account, place), [place], "customer_id"), place)
+
+
 def open_ip_sessions(session: DataFrame, ip_address: DataFrame) -> DataFrame:
     """Sessions from known addresses that are not marked as VPN; unknown counts as not."""
     not_vpn = ip_address.filter("coalesce(is_vpn, false) = false").select("ip_id")
@@ -226,13 +291,17 @@ def shared_ip_link(session: DataFrame, account: DataFrame, ip_address: DataFrame
     return _shared_place(open_ip_sessions(session, ip_address), account, "ip_id")
 
 
-def shared_contact_link(customer: DataFrame) -> DataFrame:
-    contact = (
+def contacts(customer: DataFrame) -> DataFrame:
+    """``(customer_id, match_type, match_value)`` of each contact that a customer gives."""
+    return (
         customer.select("customer_id", "email", "phone", "address")
         .unpivot("customer_id", ["email", "phone", "address"], "match_type", "match_value")
         .filter("match_value is not null")
     )
-    return pairs(contact, ["match_type", "match_value"], "customer_id").select(
+
+
+def shared_contact_link(customer: DataFrame) -> DataFrame:
+    return pairs(contacts(customer), ["match_type", "match_value"], "customer_id").select(
         F.col("customer_id_a").alias("customer_a"),
         F.col("customer_id_b").alias("customer_b"),
         "match_type",
@@ -240,6 +309,21 @@ def shared_contact_link(customer: DataFrame) -> DataFrame:
     )
 
 
+def links_of(
+    wanted: DataFrame, session: DataFrame, account: DataFrame, ip_address: DataFrame, customer: DataFrame
+) -> DataFrame:
+    """``(kind, value, customer_a, customer_b)``: what the three link tables say of the ``wanted`` customers,
+    without listing those tables."""
+    open_sessions = open_ip_sessions(session, ip_address)
+    members = (
+        seen_at(session, account, "device_id").select(F.lit("device").alias("kind"), F.col("device_id").alias("value"), "customer_id")
+        .unionByName(seen_at(open_sessions, account, "ip_id").select(F.lit("ip").alias("kind"), F.col("ip_id").alias("value"), "customer_id"))
+        .unionByName(contacts(customer).select(F.col("match_type").alias("kind"), F.col("match_value").alias("value"), "customer_id"))
+    )
+    found = PairBlocks(members, ["kind", "value"], "customer_id").of(wanted)
+    return found.select("kind", "value", F.col("customer_id_a").alias("customer_a"), F.col("customer_id_b").alias("customer_b"))
+
+
 def place_pair_count(session: DataFrame, account: DataFrame, place: str) -> DataFrame:
     """How many rows `_shared_place` has: n(n-1)/2 for a place with n customers."""
     customers = (

@@ -542,6 +542,17 @@ def _selects() -> dict[str, str]:
             f"""select c.customer_id as customer_a, d.customer_id as customer_b, '{k}' as match_type,
             c.{k} as match_value from x_customer c join x_customer d
             on c.{k} = d.{k} and c.customer_id < d.customer_id""" for k in ("email", "phone", "address")),
+        "high_risk_links": f"""select * from (with seen as (
+              select 'device' as kind, device_id as val, customer_id as cust from x_session join x_account using (account_id)
+              where device_id is not null
+              union
+              select 'ip', ip_id, customer_id from x_session join x_account using (account_id)
+              where ip_id in (select ip_id from x_ip_address where is_vpn is distinct from true)
+              {"".join(f" union select '{k}', {k}, customer_id from x_customer where {k} is not null" for k in ("email", "phone", "address"))}),
+            risky as (select customer_id from x_customer where risk_rating = 'high')
+            select kind, val as value, a.cust as customer_a, b.cust as customer_b
+            from seen a join seen b using (kind, val)
+            where a.cust < b.cust and (a.cust in (from risky) or b.cust in (from risky)))""",
         # detectors
         "money_edge": f"""select id as transaction_id, src, dst, cast(amt as double) as amount,
             {_time('ts')} as txn_time from p1_edge""",

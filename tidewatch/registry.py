@@ -306,6 +306,10 @@ RUN_QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "shared_device_link": lambda r: links.shared_device_link(*_tables(r, "session", "account")),
     "shared_ip_link": lambda r: links.shared_ip_link(*_tables(r, "session", "account", "ip_address")),
     "shared_contact_link": lambda r: links.shared_contact_link(r.table("customer")),
+    "high_risk_links": lambda r: links.links_of(
+        r.table("customer").filter("risk_rating = 'high'").select("customer_id"),
+        *_tables(r, "session", "account", "ip_address", "customer"),
+    ),
     # detectors
     "money_edge": lambda r: r.lazy_edges(),
     "acc_link": lambda r: links.acc_link(r.shared),
