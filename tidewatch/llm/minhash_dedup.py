@@ -6,7 +6,8 @@ none and is linked with nothing. Documents with equal sets are one class with it
 
 ``TREES`` sorted orders of the classes, each by ``DEPTH`` signature values, are dealt by range, so
 equal prefixes of any number spread over tasks. In an order the neighbours with the longest
-common prefix are candidates: the next ``REGION`` - 1 that share ``LEAST`` values. They come from as many
+common prefix are candidates: the next ``REGION`` - 1 that share ``LEAST`` values, less those that cannot
+link by their sizes and the parities of their sets (see below). They come from as many
 values deep as leave a region with ``REGION`` classes, so the depth is each region's own, and all
 pairs of a region of that size are among them. Regions that stay larger to the last value are
 also tied to their first row.
@@ -56,7 +57,8 @@ MISS = 1e-3
 #: Places of the table of frequencies.
 BITS = 20
 VALUES = TREES * DEPTH
-KEY = 4 * DEPTH
+#: Bytes of a key's values, and of what follows them: a set's parities and its size.
+KEY, TAIL = 4 * DEPTH, 40
 #: Documents of a written file, about, however many partitions a shuffle has.
 FILE = 8000
 #: Documents whose sets are compared at a time.
@@ -93,6 +95,21 @@ def _sets(column: pa.Array, k: int) -> list[np.ndarray]:
     return out
 
 
+def _parities(sets: list[np.ndarray]) -> np.ndarray:
+    """Whether the number of a set's hashes is odd, by 256 residues, as four numbers. Two sets differ in at least
+    as many shingles as these differ in bits."""
+    odd = np.array([np.bincount((x & _U(255)).astype(np.int64), minlength=256) & 1 for x in sets], np.uint8)
+    return np.packbits(odd.reshape(-1, 256), axis=1).view(_U)
+
+
+def _may_link(a: np.ndarray, b: np.ndarray, parity: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of rows may have the similarity, by their sizes and parities; no other can."""
+    differ = np.bitwise_count(parity[a] ^ parity[b]).sum(axis=1, dtype=np.int64)
+    both = n[a] + n[b]
+    near = (100 + percent) * differ <= (100 - percent) * both
+    return near & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
+
+
 def _sign(k: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,15 +133,21 @@ def _sign(k: int):
                         "n_shingles": pa.array(n, pa.int64()),
                         "one": marks[0].view(np.int64),
                         "two": marks[1].view(np.int64),
-                        "signature": pa.array([x.astype(">u4").tobytes() for x in low], pa.binary()),
+                        "signature": pa.array(
+                            [
+                                x.astype(">u4").tobytes() + odd.tobytes() + int(size).to_bytes(8, "little")
+                                for x, odd, size in zip(low, _parities(sets), n, strict=True)
+                            ],
+                            pa.binary(),
+                        ),
                     }
                 )
 
     return work
 
 
-def _neighbours(ends: bool):
-    """Candidates among sorted rows; with ``ends`` also the first and last rows of the partition, with
+def _neighbours(ends: bool, percent: int):
+    """Candidates among sorted rows that may link by size and parities; with ``ends`` also the first and last rows of the partition, with
     their key, and the depth of rows whose region is larger than ``REGION`` at first, with an empty key."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +156,11 @@ def _neighbours(ends: bool):
             return
         rows = pa.Table.from_batches(got)
         tree, rep = rows["tree"].to_numpy(), rows["rep"].to_numpy()
-        keys = np.frombuffer(b"".join(rows["key"].to_pylist()), ">u4").reshape(-1, DEPTH)
+        whole = rows["key"].to_pylist()
+        raw = np.frombuffer(b"".join(whole), np.uint8).reshape(-1, KEY + TAIL)
+        keys = np.ascontiguousarray(raw[:, :KEY]).view(">u4")
+        parity, sizes = np.split(np.ascontiguousarray(raw[:, KEY:]).view(_U), [4], axis=1)
+        sizes = sizes[:, 0].astype(np.int64)
         n = len(rep)
         same = np.cumprod(keys[1:] == keys[:-1], axis=1).sum(axis=1) * (tree[1:] == tree[:-1])
         # the next rows that share LEAST values, nearest first; all pairs of a small region are among them
@@ -153,11 +180,13 @@ def _neighbours(ends: bool):
         head = np.flatnonzero(head)[np.cumsum(head) - 1]
         rest = np.flatnonzero((deep > DEPTH) & (head < np.arange(n)))
         pairs.append(np.stack((head[rest], rest)))
-        a, b = rep[np.concatenate(pairs, axis=1)]
+        a, b = np.concatenate(pairs, axis=1)
+        near = _may_link(a, b, parity, sizes, percent)
+        a, b = rep[a[near]], rep[b[near]]
         yield _candidates(np.minimum(a, b), np.maximum(a, b), None)
         if ends:
             edge = np.unique(np.concatenate((np.arange(min(n, REGION)), np.arange(max(0, n - REGION), n))))
-            yield _candidates(rep[edge], tree[edge].astype(np.int64), [keys[i].tobytes() for i in edge])
+            yield _candidates(rep[edge], tree[edge].astype(np.int64), [whole[i] for i in edge])
             some = np.flatnonzero(deep > LEAST)
             yield _candidates(rep[some], deep[some], [b""] * len(some))
 
@@ -188,7 +217,10 @@ def _likely(percent: int):
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), ">u4").reshape(-1, VALUES) for c in ("sig_a", "sig_b"))
+            x, y = (
+                np.frombuffer(b"".join(s[: 4 * VALUES] for s in batch[c].to_pylist()), ">u4").reshape(-1, VALUES)
+                for c in ("sig_a", "sig_b")
+            )
             yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= least))
 
     return work
@@ -242,8 +274,7 @@ def _prefixes(k: int, percent: int, packed: bytes):
                 kept = [x[np.argsort(levels[x >> _U(64 - BITS)], kind="stable")][:m] for x, m in zip(sets, long, strict=True)]
                 place = np.concatenate([np.arange(m) for m in long])
                 row = np.repeat(np.arange(len(n)), long)
-                odd = np.array([np.bincount((x & _U(255)).astype(np.int64), minlength=256) & 1 for x in sets], np.uint8)
-                parity = np.packbits(odd, axis=1).view(np.int64)[row]
+                parity = _parities(sets).view(np.int64)[row]
                 yield pa.record_batch(
                     {
                         "token": pa.array(np.concatenate(kept).view(np.int64)),
@@ -290,7 +321,8 @@ def crowded_pairs(texts: DataFrame, k: int, percent: int, files: int) -> DataFra
 
 def candidates(reps: DataFrame, files: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """``a, b, votes``: pairs of classes that are candidates in so many orders; ``id`` of crowded classes."""
-    key = F.substring("signature", F.col("tree") * KEY + 1, F.lit(KEY))
+    values = F.substring("signature", F.col("tree") * KEY + 1, F.lit(KEY))
+    key = F.concat(values, F.substring("signature", 4 * VALUES + 1, TAIL))
     orders = reps.select("rep", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
     orders = orders.select("tree", key.alias("key"), "rep")
     parts = int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -298,13 +330,13 @@ def candidates(reps: DataFrame, files: int, percent: int) -> tuple[DataFrame, Da
     found = stage(
         orders.repartitionByRange(parts, "tree", "key", "rep")
         .sortWithinPartitions("tree", "key", "rep")
-        .mapInArrow(_neighbours(True), columns)
+        .mapInArrow(_neighbours(True, percent), columns)
         .coalesce(files),
         "neighbours",
     )
     # the ends of all partitions, a few rows of each: neighbours across a cut
     ends = found.where("length(key) > 0").select(F.col("b").cast("int").alias("tree"), "key", F.col("a").alias("rep"))
-    across = ends.coalesce(1).sortWithinPartitions("tree", "key", "rep").mapInArrow(_neighbours(False), columns)
+    across = ends.coalesce(1).sortWithinPartitions("tree", "key", "rep").mapInArrow(_neighbours(False, percent), columns)
     pairs = found.where("key is null").unionByName(across)
     lost = [math.log1p(-((min(percent, 99) / 100) ** d)) for d in range(LEAST, DEPTH + 1)] + [0.0]
     more = F.element_at(F.array(*[F.lit(x - lost[0]) for x in lost]), (F.col("b") - LEAST + 1).cast("int"))
@@ -334,7 +366,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     pairs, crowded = written(pairs, "pairs"), written(crowded, "crowded")
 
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "votes"))
-    ids = both.select(F.col("a").alias("id")).distinct()
+    ids = both.select(F.col("a").alias("id")).unionByName(crowded).distinct()
     texts = written(docs.withColumnRenamed("doc_id", "id").join(ids.hint("merge"), "id", "left_semi"), "texts")
     confirmed = lambda some: _beside(some, texts, "text", "text").mapInArrow(_confirm(shingle, percent), LINKS)
     best = both.groupBy("a").agg(F.max_by("b", F.struct("votes", F.xxhash64("a", "b"))).alias("b"))
