@@ -6,9 +6,11 @@ from decimal import Decimal
 import pytest
 from fixtures import at, edges, shared
 from test_walks import random_edges
-from tidewatch.operators import rings
+from tidewatch import registry
+from tidewatch.operators import closing, rings
 from tidewatch.operators.closing import closing_paths, hubs
 from tidewatch.operators.walks import HopRule, long_walks
+from tidewatch.plans.pipeline import Run
 from tidewatch.staging import noting
 
 LINKS = [
@@ -77,3 +79,29 @@ def test_a_hub_ring_may_close_by_identity(spark):
     (ring,) = closing_paths(edges(spark, rows), shared(spark, sharing)).collect()
     assert (ring.path_key, ring.closed_by, ring.cur) == ("i3,o7,on", "linked_device", "C")
     assert ring.path == ["A3", "HUB", "B7", "C"]
+
+
+def test_detected_transfers_list_paths_once(spark, monkeypatch):
+    """Layering needs all paths, so round trips are picked out of those and not put together once more."""
+    ours = ["A", "B", "C", "D", "E", "F", "A", "G"]
+    rows = [(f"t{i}", a, b, Decimal("100.00") - i, at(i)) for i, (a, b) in enumerate(zip(ours, ours[1:], strict=False))]
+    rows += [(f"u{i}", f"L{i}", f"L{i + 1}", Decimal("90.00") - i, at(i)) for i in range(5)]
+    tables = {"ground_truth": spark.createDataFrame(
+        [("t0", "round_trip", "x", 0), ("t1", "round_trip", "x", 1), ("u2", "layering_chain", "y", 0), ("t0", None, None, 0)],
+        "transaction_id string, pattern_label string, chain_id string, hop_index int")}
+
+    def run():
+        made = Run(tables.__getitem__)
+        made.__dict__.update(edges=edges(spark, rows), shared=shared(spark, LINKS))
+        return made
+
+    with run() as apart:
+        apart.round_trip  # noqa: B018 - before any path is listed, so from halves
+        want = rows_of(registry.evaluate.detection_txns(apart.round_trip, apart.layering))
+    listed = []
+    monkeypatch.setattr(closing, "staged_walks", lambda *_: listed.append(1))
+    with run() as made:
+        assert rows_of(registry.detection_txns(made)) == want and len(want) >= 11
+    with run() as made:
+        assert [(r.chain_id, r.hit_txn) for r in registry.best_detection(made).orderBy("chain_id").collect()] == [("x", 2), ("y", 1)]
+    assert not listed

@@ -153,6 +153,11 @@ class Run(Staged):
         together(
             lambda: self.long_walks, lambda: self.shared, lambda: self.mule_members, lambda: self.flagged_deposits
         )
+        self.detect_paths()
+
+    def detect_paths(self) -> None:
+        """Stage round trips and layering. Layering lists all paths, so round trips are picked out of those."""
+        together(lambda: self.long_walks, lambda: self.shared)
         self.candidates  # noqa: B018
         together(lambda: self.round_trip, lambda: self.layering)
 

@@ -210,9 +210,13 @@ def mule_ground_truth(run: Run) -> DataFrame:
     return evaluate.mule_ground_truth(*_tables(run, "ground_truth", "transaction"))
 
 
+def detection_txns(run: Run) -> DataFrame:
+    run.detect_paths()
+    return evaluate.detection_txns(run.round_trip, run.layering)
+
+
 def best_detection(run: Run) -> DataFrame:
-    det_txns = evaluate.detection_txns(run.round_trip, run.layering)
-    return evaluate.best_detection(evaluate.path_labels(run.table("ground_truth")), det_txns)
+    return evaluate.best_detection(evaluate.path_labels(run.table("ground_truth")), detection_txns(run))
 
 
 def _evaluation_inputs(run: Run):
@@ -379,7 +383,7 @@ RUN_QUERIES: dict[str, Callable[[Run], DataFrame]] = {
     "fp_by_detector": lambda r: serving.fp_by_detector(r.benchmark, r.alerts),
     "display_labels": lambda r: serving.display_labels(r.alerts),
     # evaluation
-    "detection_txns": lambda r: evaluate.detection_txns(r.round_trip, r.layering),
+    "detection_txns": detection_txns,
     "mule_ground_truth": mule_ground_truth,
     "mule_found": lambda r: r.mule_found.select("device_id", "account_id"),
     "structuring_ground_truth": lambda r: evaluate.structuring_ground_truth(
