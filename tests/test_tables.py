@@ -1,6 +1,8 @@
 import json
 import random
 from decimal import Decimal
+from pathlib import Path
+from threading import Barrier
 
 import pytest
 from fixtures import START, accounts, at, deposit, sessions, shared, transactions, txn
@@ -11,7 +13,8 @@ from tidewatch.functions.columns import padded_id
 from tidewatch.operators import links
 from tidewatch.plans import alerts, evaluate, governance, graph_tables, quality
 from tidewatch.sources import landing
-from tidewatch.staging import number_rows
+from tidewatch.sources.snapshots import Snapshots
+from tidewatch.staging import number_rows, together
 
 
 def test_pairs_are_whole_whatever_the_block(spark):
@@ -149,6 +152,53 @@ def test_gzip_and_time_survive_landing(spark, tmp_path):
     assert (row.session_time, row.ip_id, row.auth_method) == (at(0, 5), None, None)
 
 
+def test_a_large_table_lands_in_many_files(spark, tmp_path, monkeypatch):
+    """One task reads a gzip file, so a large table must not land in as few files as its rows came in."""
+    monkeypatch.setattr(landing, "LINES", 10)
+    table = spark.range(25).coalesce(1).select(F.col("id").cast("string").alias("device_id"))
+    path = landing.write_jsonl(table, str(tmp_path), "device")
+    assert len(list(Path(path).glob("*.json.gz"))) == 3
+    raw = landing.land_raw_json(spark, path)
+    assert sorted(int(r.device_id) for r in landing.curate(raw, "device").collect()) == list(range(25))
+
+
+def test_steps_together_do_not_share_local_properties(spark):
+    """Spark keeps the number of a running query there; a step that ends must not clear another one's."""
+    context, both = spark.sparkContext, Barrier(2, timeout=60)
+
+    def named(name):
+        context.setLocalProperty("tidewatch.step", name)
+        both.wait()
+        assert context.getLocalProperty("tidewatch.step") == name
+
+    together(lambda: named("a"), lambda: named("b"))
+
+
+def test_tables_of_a_snapshot_are_written_at_the_same_time(spark, tmp_path):
+    """A small table does not wait until a large one before it is written, and both are of one version."""
+    both = Barrier(2, timeout=60)
+
+    class Slow:
+        def __init__(self, table):
+            self.table = table
+
+        @property
+        def write(self):
+            return self
+
+        def mode(self, mode):
+            self.how = mode
+            return self
+
+        def parquet(self, path):
+            both.wait()
+            self.table.write.mode(self.how).parquet(path)
+
+    store = Snapshots(spark, str(tmp_path / "set"))
+    store.write({"a": Slow(spark.range(3)), "b": Slow(spark.range(4))})
+    assert {n: t.count() for n, t in store.read(["a", "b"]).items()} == {"a": 3, "b": 4}
+
+
 def test_roles(spark):
     customer = spark.createDataFrame(
         [("1", "Ann", START.date(), "a@x", "04", "s", "doc")],
@@ -207,6 +257,29 @@ def test_recall_counts_a_chain_only_by_one_detection(spark):
     assert got["mule (detector)"][-1] == 1 and got["structuring (detector)"][-1] == 1
 
 
+def test_benchmark_joins_transactions_once(spark):
+    """Recall and false positives ask the same of all transactions; labels and ids may be null or repeated."""
+    labels_ = spark.createDataFrame(
+        [("m1", "mule_network", "mule", 0), ("m1", "mule_network", "mule", 0), ("m2", "mule_network", "mule", 1),
+         ("d1", "structuring", "cash", None), (None, "structuring", "cash", 0), ("d1", "mule_network", "mule", 0),
+         ("n1", None, None, None)],
+        "transaction_id string, pattern_label string, chain_id string, hop_index int")
+    txns = transactions(spark, [txn("m1", "X", "A1"), txn("m2", "X", "A2"), deposit("d1", "S", "9000.00", START),
+                                deposit("d1", "S", "9000.00", START)])
+    paths = spark.createDataFrame([], "path_key string, tier string, txn_ids array<string>")
+    mules = spark.createDataFrame([("d", "A1"), ("e", "S"), ("f", "Q")], "device_id string, account_id string")
+    flagged = spark.createDataFrame([("S",), ("T",)], "account_id string")
+    inputs = (labels_, txns, paths, paths, mules, flagged)
+    found = evaluate.benchmark(*inputs)
+    assert "counterparty_account_id" not in found._jdf.queryExecution().optimizedPlan().toString()
+    apart = evaluate.pattern_recall(evaluate.chain_recall(*inputs)).unionByName(
+        evaluate.false_positives(*inputs), allowMissingColumns=True)
+    assert sorted(map(str, found.collect())) == sorted(map(str, apart.collect()))
+    got = {r.pattern_label: tuple(r)[1:] for r in found.collect()}
+    assert got["mule_network"] == (1, 1, 0, 0, "", None) and got["structuring"] == (1, 1, 0, 0, "", None)
+    assert got["mule (detector)"][-1] == 1 and got["structuring (detector)"][-1] == 1
+
+
 def test_alert_documents_leave_out_missing_fields(spark):
     path = ("path_key string, origin string, closed_on string, closed_by string, hops int, path array<string>, "
             "txn_ids array<string>, first_amount decimal(18,2), last_amount decimal(18,2), "
