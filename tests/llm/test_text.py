@@ -1,6 +1,7 @@
 """Personal data, decontamination, quality, token counts and mixing."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -352,3 +353,22 @@ def test_permutation_is_one(spark):
 def test_nothing_to_mix(docs_of):
     assert mixing.mix(docs_of([])).count() == 0
     assert [tuple(r)[1:] for r in mixing.mix(docs_of([(1, None), (2, "")])).collect()] == [(0, 0, 0.0, 0)] * 2
+
+
+def test_mix_goes_to_its_shards_in_turns(docs_of, monkeypatch, tmp_path):
+    """The disk must not hold all cut words, their shuffle and the mix at the same time."""
+    monkeypatch.setattr(mixing, "BLOCK", 4)
+    monkeypatch.setattr(mixing, "SHARD", 10)
+    docs = docs_of([(i, " ".join(f"{i}.{k}" for k in range(20)), "ab"[i % 2]) for i in range(40)])
+    seen, drop = [], mixing.drop_folder
+
+    def dropping(spark, folder):
+        seen.append({s.name for s in (tmp_path / "mix").glob("shard=*")})
+        drop(spark, folder)
+        assert not os.path.exists(folder.removeprefix("file:"))
+
+    monkeypatch.setattr(mixing, "drop_folder", dropping)
+    found = mixing.mixture(docs, str(tmp_path / "mix")).collect()
+    assert len(seen) == mixing.TURNS and all(a < b for a, b in zip(seen, seen[1:]))
+    assert seen[-1] == {f"shard={r.shard}" for r in found}
+    assert sum(len(r.words.split()) for r in found) == 1200

@@ -16,7 +16,9 @@ sums within slices of the hash, in three levels: no window holds a source.
 
 The mix is a table of slots with the words of their blocks, written in a folder for each shard. The
 ranges of documents that a slot needs go to the texts, by two hashes of the row, and only the words
-cut out there go on to the shards. Counts by document are sums over the written table.
+cut out there go on to the shards. They are staged first and go in ``TURNS`` turns, each with its own shards;
+what a turn has staged and shuffled is deleted when its shards are written, so that the disk never holds all
+movements of all words beside the mix. Counts by document are sums over the written table.
 
 Rows: null text has size 0; every row is a document of its own, also if its id is null or repeated;
 a source without words has target 0.
@@ -28,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.staging import new_folder, stage
+from tidewatch.staging import drop_folder, new_folder, shuffles_freed, stage
 
 BLOCK = 256
 #: Slots of an output shard, about.
@@ -40,8 +42,10 @@ SEED = 20240501
 #: Slices of a source, and documents of a slice of a slice, about.
 _SLICES, _ROWS = 64, 1000
 _ROUNDS, _WALKS = 4, 16
-#: Slots of a source and shard that are put together in one task.
+#: The slots of a shard are put together in one task for each such run of slot numbers.
 _RUN = 1024
+#: Turns in which the cut words go to their shards, each all words of its own shards.
+TURNS = 4
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -157,6 +161,7 @@ def _mixed(docs: DataFrame, folder: str | None) -> tuple[DataFrame, DataFrame, D
     )
     sources = stage(targets(rows), "targets").withColumn("words", F.round("target").cast("bigint"))
     drawn = stage(slots(sources), "slots")
+    turns = min(TURNS, 1 + (drawn.agg(F.max("shard")).head()[0] or 0))
 
     # a round's words before a slot: whole blocks, less what the short one lacks if it came before
     lacking = F.pmod(-F.col("source_size"), F.lit(BLOCK)).cast("bigint")
@@ -194,27 +199,38 @@ def _mixed(docs: DataFrame, folder: str | None) -> tuple[DataFrame, DataFrame, D
 
     # rows that are equal in all have one text
     same = Window.partitionBy("print0", "print1").orderBy("print0")
-    texts = named.where("size > 0").select(*prints, "text").withColumn("again", F.lag("print0").over(same))
+    worded = named.where(F.col("text").rlike(WORD)).select(*prints, "text")
+    texts = worded.withColumn("again", F.lag("print0").over(same))
     texts = texts.where("again is null").join(ranges.hint("merge"), ["print0", "print1"])
     texts = texts.select("source", "ranges", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("all"))
     cut = lambda r: F.array_join(F.slice("all", r["first"].cast("int") + 1, r["n"].cast("int")), " ")
     # the size keeps the list of words a column of its own, which is made once for each text
     cuts = F.when(F.size("all") > 0, F.transform("ranges", lambda r: r.withField("words", cut(r))))
     sent = texts.select("source", F.explode(cuts).alias("r")).select("source", "r.*")
+    sent = sent.withColumns({"run": F.floor(F.col("slot") / _RUN), "turn": (F.col("shard") % turns).cast("int")})
+    staged, folder = new_folder(spark, "cuts"), folder or new_folder(spark, "mixture")
+    with shuffles_freed(spark):
+        sent.write.partitionBy("turn").option("compression", "zstd").parquet(staged)
+        for turn in range(turns):
+            cuts = spark.read.schema(sent.schema).parquet(staged).where(F.col("turn") == turn)
+            blocks = _blocks(cuts)
+            mode = "append" if turn else "errorifexists"
+            blocks.write.mode(mode).partitionBy("shard").option("compression", "zstd").parquet(folder)
+            drop_folder(spark, f"{staged}/turn={turn}")
+    return rows, sources, spark.read.schema(blocks.schema).parquet(folder)
+
 
+def _blocks(cuts: DataFrame) -> DataFrame:
+    """``slot, source, block, words, parts, shard`` from the words that were cut out of the texts."""
     slot = ["shard", "source", "run", "slot", "block"]
-    sent = sent.withColumn("run", F.floor(F.col("slot") / _RUN)).repartition("shard", "source", "run")
-    blocks = sent.groupBy(*slot).agg(
+    blocks = cuts.repartition("shard", "run").groupBy(*slot).agg(
         F.array_sort(F.collect_list(F.struct("low", "rid", "doc_id", "n", "words"))).alias("parts")
     )
-    blocks = blocks.select(
+    return blocks.select(
         "slot", "source", "block", F.array_join(F.col("parts.words"), " ").alias("words"),
         F.transform("parts", lambda p: F.struct(p["rid"].alias("rid"), p["doc_id"].alias("doc_id"), p["n"].alias("n"))).alias("parts"),
         "shard",
     )
-    folder = folder or new_folder(spark, "mixture")
-    blocks.write.partitionBy("shard").option("compression", "zstd").parquet(folder)
-    return rows, sources, spark.read.schema(blocks.schema).parquet(folder)
 
 
 def mixture(docs: DataFrame, folder: str | None = None) -> DataFrame:
