@@ -4,6 +4,7 @@ from decimal import Decimal
 from pathlib import Path
 from threading import Barrier
 
+import pyarrow.parquet as pq
 import pytest
 from fixtures import START, accounts, at, deposit, sessions, shared, transactions, txn
 from pyspark.sql import functions as F
@@ -162,6 +163,20 @@ def test_a_large_table_lands_in_many_files(spark, tmp_path, monkeypatch):
     assert sorted(int(r.device_id) for r in landing.curate(raw, "device").collect()) == list(range(25))
 
 
+def test_documents_can_be_stored_whole(spark, tmp_path):
+    """Tables that are only listed or counted need not pay for splitting their documents; the rows are the same."""
+    table = spark.range(25).select(F.col("id").cast("string").alias("device_id"), F.lit(None).cast("string").alias("os"))
+    paths = {"device": landing.write_jsonl(table, str(tmp_path), "device")}
+    before = spark.conf.get("spark.sql.variant.writeShredding.enabled")
+    whole = landing.load_raw(spark, str(tmp_path / "whole"), paths, shredded=False)["device"]
+    assert spark.conf.get("spark.sql.variant.writeShredding.enabled") == before
+    split = landing.load_raw(spark, str(tmp_path / "split"), paths)["device"]
+    shown = [sorted(str(r) for r in t.select("src_file", F.to_json("payload")).collect()) for t in (whole, split)]
+    assert shown[0] == shown[1] and len(shown[0]) == 25
+    stored = [pq.read_schema(next(Path(t.inputFiles()[0].removeprefix("file:")).parent.glob("*.parquet"))) for t in (whole, split)]
+    assert ["typed_value" in str(s.field("payload").type) for s in stored] == [False, True]
+
+
 def test_steps_together_do_not_share_local_properties(spark):
     """Spark keeps the number of a running query there; a step that ends must not clear another one's."""
     context, both = spark.sparkContext, Barrier(2, timeout=60)

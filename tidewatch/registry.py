@@ -57,14 +57,16 @@ def _over_graph(build: Callable[[patterns.Graph], DataFrame]) -> Query:
     return query
 
 
-def _landed(spark: SparkSession, sf_dir: str, names: list[str]) -> tuple[str, dict[str, DataFrame]]:
-    """Write the named tables as JSON lines and load them into RAW tables."""
+def _landed(
+    spark: SparkSession, sf_dir: str, names: list[str], shredded: bool = True
+) -> tuple[str, dict[str, DataFrame]]:
+    """Write the named tables as JSON lines and load them into RAW tables, ``shredded`` for curation."""
     run = Run.over_sample(spark, sf_dir)
     folder = new_folder(spark, "landing")
     tables = {name: run.table(name) for name in names}
     together(*[partial(landing.write_jsonl, table, folder, name) for name, table in tables.items()])
     paths = {name: landing.jsonl_path(folder, name) for name in names}
-    return folder, landing.load_raw(spark, new_folder(spark, "raw"), paths)
+    return folder, landing.load_raw(spark, new_folder(spark, "raw"), paths, shredded)
 
 
 ENTITY_TABLES = [name for name in landing.FILES if name != "ground_truth"]
@@ -72,7 +74,7 @@ FIRST_KEY = {name: next(iter(fields)) for name, fields in landing.FIELDS.items()
 
 
 def land_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, raw = _landed(spark, sf_dir, ENTITY_TABLES)
+    _, raw = _landed(spark, sf_dir, ENTITY_TABLES, shredded=False)
     parts = [
         df.select(
             F.regexp_extract("src_file", r"([a-z_]+\.jsonl)", 1).alias("src_file"),
@@ -93,12 +95,12 @@ def land_ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, _ = _landed(spark, sf_dir, list(landing.FILES))
+    folder, _ = _landed(spark, sf_dir, list(landing.FILES), shredded=False)
     return landing.stage_listing(spark, folder).select("entity", (F.col("files") > 0).alias("arrived"))
 
 
 def raw_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, raw = _landed(spark, sf_dir, ENTITY_TABLES)
+    _, raw = _landed(spark, sf_dir, ENTITY_TABLES, shredded=False)
     return landing.row_counts({f"{name.upper()}_RAW": df for name, df in raw.items()})
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.sources.snapshots import Snapshots
+from tidewatch.staging import setting
 
 # The expected file of each table, and its fields with their curated types.
 FILES = {
@@ -68,7 +69,7 @@ def jsonl_path(folder: str, name: str) -> str:
 
 def write_jsonl(table: DataFrame, folder: str, name: str, gzip: bool = True) -> str:
     """Write a table as JSON lines with explicit nulls and ISO-8601 times ending in Z, in files of at most
-    ``LINES`` lines."""
+    ``LINES`` lines. They are read once, so gzip is asked for speed."""
     path = jsonl_path(folder, name)
     (
         table.write.mode("overwrite")
@@ -76,6 +77,7 @@ def write_jsonl(table: DataFrame, folder: str, name: str, gzip: bool = True) ->
         .option("maxRecordsPerFile", LINES)
         .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
         .option("compression", "gzip" if gzip else "none")
+        .option("zlib.compress.level", "BEST_SPEED")
         .json(path)
     )
     return path
@@ -98,14 +100,18 @@ def land_raw_json(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def load_raw(spark: SparkSession, store: str, paths: Mapping[str, str]) -> dict[str, DataFrame]:
+def load_raw(
+    spark: SparkSession, store: str, paths: Mapping[str, str], shredded: bool = True
+) -> dict[str, DataFrame]:
     """Load the files of each named table into the RAW tables under ``store``, and open those.
 
     The tables are VARIANT Parquet, parsed and stamped once; Spark stores the fields of the documents as
-    columns beside the rest, so that curation reads only those it asks for. The load replaces
-    all tables at once or, if any line is not JSON, none.
+    columns beside the rest, so that curation reads only those it asks for. Splitting the documents costs as much
+    as parsing them, so tables that are not curated can be stored whole (``shredded=False``), with the
+    same rows. The load replaces all tables at once or, if any line is not JSON, none.
     """
-    Snapshots(spark, store).write({f"{name}_raw": land_raw_json(spark, path) for name, path in paths.items()})
+    with setting(spark, "spark.sql.variant.writeShredding.enabled", str(shredded).lower()):
+        Snapshots(spark, store).write({f"{name}_raw": land_raw_json(spark, path) for name, path in paths.items()})
     return open_raw(spark, store, paths)
 
 
