@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import labels
 from tidewatch.functions.columns import padded_id
-from tidewatch.operators import links
+from tidewatch.operators import links, mule
 from tidewatch.plans import alerts, evaluate, governance, graph_tables, quality
 from tidewatch.sources import landing
 from tidewatch.sources.snapshots import Snapshots
@@ -163,6 +163,16 @@ def test_a_large_table_lands_in_many_files(spark, tmp_path, monkeypatch):
     assert sorted(int(r.device_id) for r in landing.curate(raw, "device").collect()) == list(range(25))
 
 
+def test_what_accounts_receive_is_not_sorted_to_find_what_they_pay_on(spark):
+    rows = [("t1", "A", "B", at(0), "1000"), ("t2", "B", "C", at(0, 5), "950"), ("t3", "C", "D", at(5), "900")]
+    table = spark.createDataFrame(rows, "transaction_id string, account_id string, counterparty_account_id string, txn_time timestamp_ntz, amount string")
+    table = table.withColumns({"amount": F.col("amount").cast("decimal(18,2)"), "status": F.lit("completed")})
+    found = mule.pass_through(table)
+    assert [r.account_id for r in found.collect()] == ["B"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_documents_can_be_stored_whole(spark, tmp_path):
     """Tables that are only listed or counted need not pay for splitting their documents; the rows are the same."""
     table = spark.range(25).select(F.col("id").cast("string").alias("device_id"), F.lit(None).cast("string").alias("os"))

@@ -26,9 +26,10 @@ def pass_through(
         F.col("txn_time").alias("then_time"),
         F.col("amount").alias("then_amount"),
     )
+    # a cell's payments are few, and hashing those spares a sort of everything that was received
     kept = follow_on_pairs(
         received.filter("at is not null"),
-        paid.filter("then_at is not null"),
+        paid.filter("then_at is not null").hint("shuffle_hash"),
         within_hours=within_hours,
         keep=keep,
         how="left_semi",
