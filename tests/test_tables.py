@@ -4,11 +4,13 @@ from decimal import Decimal
 from pathlib import Path
 from threading import Barrier
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from fixtures import START, accounts, at, deposit, sessions, shared, transactions, txn
 from pyspark.sql import functions as F
 
+from tidewatch import registry, staging
 from tidewatch.functions import labels
 from tidewatch.functions.columns import padded_id
 from tidewatch.operators import links, mule
@@ -187,6 +189,83 @@ def test_documents_can_be_stored_whole(spark, tmp_path):
     assert ["typed_value" in str(s.field("payload").type) for s in stored] == [False, True]
 
 
+def test_landed_files_can_go_as_they_are_loaded(spark, tmp_path):
+    """The disk need not hold all files and all RAW tables; a load with a bad line leaves the tables as they were."""
+    def land(*ids):
+        table = spark.createDataFrame([(i,) for i in ids], "device_id string")
+        return {"device": landing.write_jsonl(table, str(tmp_path / "landed"), "device")}
+
+    store = str(tmp_path / "raw")
+    paths = land("a", "b", None)
+    landing.load_raw(spark, store, paths)
+    assert Path(paths["device"]).exists()
+    raw = landing.load_raw(spark, store, paths, once=True)["device"]
+    assert not Path(paths["device"]).exists()
+    assert sorted(r.device_id or "" for r in landing.curate(raw, "device").collect()) == ["", "a", "b"]
+    bad = tmp_path / "bad.jsonl"
+    bad.write_text("{broken")
+    with pytest.raises(Exception):
+        landing.load_raw(spark, store, {**land("c"), "account": str(bad)}, once=True)
+    assert landing.open_raw(spark, store, ["device"])["device"].count() == 3 and bad.exists()
+
+
+def test_transactions_are_clustered_in_turns(spark, tmp_path, monkeypatch):
+    """The disk must not hold the shuffle of the whole table; files are ranges of time, and all rows are there."""
+    rows = [txn(f"t{k}", f"A{k % 3}", "B", time=at(k * 7 % 40)) for k in range(40)]
+    rows += [rows[0], txn("none", "A", "B", time=None), txn("early", None, None, time=at(-20)), txn(None, "A", time=None)]
+    table, left, drop = transactions(spark, rows), [], landing.drop_folder
+
+    def dropping(spark, folder):
+        left.append((Path(folder).name, sum(pq.read_metadata(f).num_rows for f in (tmp_path / "_transaction").glob("*.parquet"))))
+        drop(spark, folder)
+        assert not Path(folder.removeprefix("file:")).exists()
+
+    monkeypatch.setattr(landing, "drop_folder", dropping)
+    for again in (table.limit(3), table):  # the second table replaces the first
+        left.clear()
+        landing.write_curated(again, str(tmp_path), "transaction")
+    assert [name for name, _ in left[:-1]] == [f"_turn={k}" for k in range(landing.TURNS)]
+    assert left[0][1] < left[1][1] < left[2][1] < left[3][1] == len(rows)
+    path = tmp_path / "transaction"
+    written = spark.read.parquet(str(path))
+    assert written.schema == table.schema
+    assert sorted(map(str, written.collect())) == sorted(map(str, table.collect()))
+    assert not (tmp_path / "_transaction").exists()
+    times = [[r["txn_time"] for r in pq.read_table(f).to_pylist()] for f in path.glob("*.parquet")]
+    ranges = sorted((min(t), max(t)) for t in ([x for x in t if x] for t in times) if t)
+    assert len(ranges) > 3 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+@pytest.mark.parametrize("times", [[], [None, None, None], [START] * 30])
+def test_clustering_copes_with_few_times(spark, tmp_path, times):
+    table = transactions(spark, [txn(f"t{k}", "A", "B", time=t) for k, t in enumerate(times)])
+    landing.write_curated(table, str(tmp_path), "transaction")
+    written = spark.read.parquet(str(tmp_path / "transaction"))
+    assert written.schema == table.schema and sorted(written.collect()) == sorted(table.collect())
+
+
+def test_reset_leaves_only_the_curated_tables(spark, tmp_path, monkeypatch):
+    """What both runs land and load must not stay on disk beside the curated tables."""
+    tables = {
+        "customer": [{"c_custkey": k, "c_name": f"c{k}", "c_nationkey": 0, "c_acctbal": 1.5, "c_mktsegment": "BUILDING"} for k in range(4)],
+        "nation": [{"n_nationkey": 0, "n_name": "X", "n_regionkey": 0}],
+        "events": [{"event_id": k, "ts": at(k), "user_id": k % 5, "event_type": "view", "value": 2.5} for k in range(20)],
+        "orders": [{"o_orderkey": k, "o_custkey": k, "o_totalprice": 9.0, "o_orderdate": at(k), "o_orderpriority": "1"} for k in range(1, 9)],
+        "lineitem": [
+            {"l_orderkey": k, "l_partkey": k, "l_suppkey": 1, "l_linenumber": 1, "l_quantity": 7.0, "l_extendedprice": 3.0,
+             "l_returnflag": "N", "l_linestatus": "F", "l_shipdate": at(k)} for k in range(1, 7)
+        ],
+    }
+    for name, rows in tables.items():
+        pq.write_table(pa.Table.from_pylist(rows), tmp_path / f"{name}.parquet")
+    monkeypatch.setattr(staging, "shared_folder", lambda spark: str(tmp_path / "shared"))
+    counts = {r.tbl: r.n for r in registry.reset_curated(spark, str(tmp_path)).collect()}
+    assert (counts["CUSTOMER"], counts["SESSION"], counts["ACCOUNT"], counts["GROUND_TRUTH"]) == (4, 20, 5, 34)
+    assert counts["TRANSACTION"] == 20 + 6 + 8 + 5  # transfers, deposits, withdrawals, one ring
+    folder, = (tmp_path / "shared").iterdir()
+    assert sorted(p.name for p in folder.iterdir()) == sorted(landing.FILES)
+
+
 def test_steps_together_do_not_share_local_properties(spark):
     """Spark keeps the number of a running query there; a step that ends must not clear another one's."""
     context, both = spark.sparkContext, Barrier(2, timeout=60)
